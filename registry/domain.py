@@ -9,32 +9,44 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaflow.operators import features, gold, silver
-from vendaflow.operators import ranking, weekly_queue
+from vendaflow.operators import features, gold, ranking, silver, weekly_queue
 from vendaflow.operators.metrics import score_bands
+from vendaflow.session import materialize
 
 # Cut-offs inside the date range of the benchmark orders.
 TRAIN_REF, SCORE_REF = "2001-07-01", "2001-08-01"
 AS_OF = SCORE_REF
-EVENT_SHIFT_DAYS = 8249
-STAGES = ["Prospecção", "Qualificação", "Proposta enviada", "Negociação", "Fechado ganho",
-          "Fechado perdido"]
-
-
-def _text(c: Column) -> Column:
-    return c.cast("string")
 
+# Declared, so that no job is spent on reading file footers for a schema.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
+def _mixed(day: str, br: str) -> str:
+    """A date as text, in the Brazilian layout where `br` holds."""
+    return f"CASE WHEN {br} THEN date_format({day}, 'dd/MM/yyyy') ELSE date_format({day}, 'yyyy-MM-dd') END"
 
-def _money(c: Column) -> Column:
-    return c.cast("decimal(18,2)")
 
-
-def _mixed(d: Column, br: Column) -> Column:
-    """A date as text, in the Brazilian layout where `br` holds."""
-    return F.when(br, F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "yyyy-MM-dd"))
+_EVENT_DAY = "date_sub(CAST(ts AS DATE), 8249)"
+_SIGNED = "IF(l_returnflag = 'R', -CAST(l_quantity AS INT), CAST(l_quantity AS INT))"
+_PRICE = "CAST(p_retailprice AS DECIMAL(18,2))"
+_ITEM_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey)"
+_STAGES = ("array('Prospecção', 'Qualificação', 'Proposta enviada', 'Negociação', 'Fechado ganho', "
+           "'Fechado perdido')")
 
 
 class Domain:
@@ -42,151 +54,131 @@ class Domain:
         self.spark, self.dir = spark, sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
 
-    @cached_property
-    def reps_count(self) -> Column:
-        return self.table("supplier").agg(F.count("*").alias("n")).scalar()
+    def _with_reps(self, df: DataFrame) -> DataFrame:
+        """Adds the number of reps as `_n` (a scalar subquery)."""
+        n = self.table("supplier").agg(F.count("*").alias("n")).scalar()
+        return df.withColumn("_n", n)
 
-    def _places(self, df: DataFrame, nation_key: str) -> DataFrame:
-        nation, region = self.table("nation"), self.table("region")
-        return (df.join(nation, F.col(nation_key) == F.col("n_nationkey"))
-                .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+    def _places(self, name: str, nation_key: str) -> DataFrame:
+        return (self.table(name).join(self.table("nation"), F.col(nation_key) == F.col("n_nationkey"))
+                .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")))
 
     # ---- raw text -------------------------------------------------------------------------------
 
     @cached_property
     def raw_clientes(self) -> DataFrame:
-        k = F.col("c_custkey")
-        root = F.when(k % 50 == 49, k - 1).otherwise(k)
-        digits = F.lpad(_text(root * 13 + 42), 14, "0")
-        dotted = F.concat(F.substring(digits, 1, 2), F.lit("."), F.substring(digits, 3, 3), F.lit("."),
-                          F.substring(digits, 6, 3), F.lit("/"), F.substring(digits, 9, 4), F.lit("-"),
-                          F.substring(digits, 13, 2))
-        cnpj = (F.when(k % 3 == 0, dotted).when(k % 3 == 1, F.concat(F.lit(" "), digits, F.lit(" ")))
-                .otherwise(_text(root * 13 + 42)))
-        name = F.concat(F.lit("casa  "), F.lower("c_name"))
-        since = F.date_add(F.lit("1994-01-01").cast("date"), (k % 365).cast("int"))
-        return self._places(self.table("customer"), "c_nationkey").select(
-            F.when(k % 7 == 0, F.concat(F.lit(" "), _text(k))).otherwise(_text(k)).alias("cliente_id"),
-            cnpj.alias("cnpj"), F.when(k % 5 == 0, F.upper(name)).otherwise(name).alias("razao_social"),
-            F.col("c_mktsegment").alias("segmento"), F.col("n_name").alias("cidade"),
-            F.col("r_name").alias("uf"), F.concat(F.lit("Bairro "), _text(k % 20)).alias("bairro"),
-            F.when(k % 97 == 0, F.lit("1994-1-5")).otherwise(_mixed(since, k % 4 == 0)).alias("data_cadastro"),
-            F.when(k % 33 == 0, F.lit(None).cast("string")).when(k % 10 == 0, "N").otherwise("S").alias("ativo"))
+        numbered = self._places("customer", "c_nationkey").selectExpr(
+            "*", "c_custkey AS k", "IF(c_custkey % 50 = 49, c_custkey - 1, c_custkey) * 13 + 42 AS num")
+        since = _mixed("date_add(DATE '1994-01-01', CAST(k % 365 AS INT))", "k % 4 = 0")
+        return numbered.selectExpr("*", "lpad(num, 14, '0') AS g").selectExpr(
+            "IF(k % 7 = 0, ' ', '') || k AS cliente_id",
+            "CASE WHEN k % 3 = 0 THEN concat(substr(g, 1, 2), '.', substr(g, 3, 3), '.', substr(g, 6, 3), '/', "
+            "substr(g, 9, 4), '-', substr(g, 13, 2)) WHEN k % 3 = 1 THEN ' ' || g || ' ' "
+            "ELSE CAST(num AS STRING) END AS cnpj",
+            "IF(k % 5 = 0, upper('casa  ' || lower(c_name)), 'casa  ' || lower(c_name)) AS razao_social",
+            "c_mktsegment AS segmento", "n_name AS cidade", "r_name AS uf", "'Bairro ' || (k % 20) AS bairro",
+            f"IF(k % 97 = 0, '1994-1-5', {since}) AS data_cadastro",
+            "CASE WHEN k % 33 = 0 THEN NULL WHEN k % 10 = 0 THEN 'N' ELSE 'S' END AS ativo")
 
     @cached_property
     def raw_vendedores(self) -> DataFrame:
-        k = F.col("s_suppkey")
-        return self._places(self.table("supplier"), "s_nationkey").select(
-            _text(k).alias("vendedor_id"),
-            F.concat(F.lit("Rep "), _text(F.when(k % 20 == 19, k - 1).otherwise(k))).alias("nome"),
-            F.col("r_name").alias("regiao"), F.col("n_name").alias("uf"),
-            _mixed(F.date_add(F.lit("1993-01-01").cast("date"), (k % 300).cast("int")), k % 3 == 0)
-            .alias("data_admissao"),
-            F.when(k % 14 == 0, F.lit("31/12/2000")).when(k % 7 == 0, F.lit("2000-12-31"))
-            .alias("data_desligamento"),
-            _text(40000 + 15000 * (k % 5)).alias("meta_mensal"))
+        hired = _mixed("date_add(DATE '1993-01-01', CAST(k % 300 AS INT))", "k % 3 = 0")
+        return self._places("supplier", "s_nationkey").withColumnRenamed("s_suppkey", "k").selectExpr(
+            "CAST(k AS STRING) AS vendedor_id", "'Rep ' || IF(k % 20 = 19, k - 1, k) AS nome",
+            "r_name AS regiao", "n_name AS uf", f"{hired} AS data_admissao",
+            "CASE WHEN k % 14 = 0 THEN '31/12/2000' WHEN k % 7 = 0 THEN '2000-12-31' END AS data_desligamento",
+            "CAST(40000 + 15000 * (k % 5) AS STRING) AS meta_mensal")
 
     @cached_property
     def raw_produtos(self) -> DataFrame:
-        k, price = F.col("p_partkey"), _money(F.col("p_retailprice"))
-        launch = F.date_add(F.lit("2001-01-01").cast("date"), (k % 200).cast("int"))
-        return self.table("part").select(
-            _text(k).alias("sku"), F.concat(F.lit(" "), F.col("p_name")).alias("descricao"),
-            F.col("p_type").alias("categoria"), F.col("p_brand").alias("marca"),
-            F.concat(F.lit("Nota "), _text(F.col("p_size") % 12)).alias("nota_olfativa"),
-            _text(price).alias("preco_tabela"),
-            _text(_money(price * F.lit("0.60").cast("decimal(3,2)"))).alias("custo_unitario"),
-            F.when(k % 2 == 0, "UN").otherwise("CX").alias("unidade"),
-            F.when(F.col("p_size") % 10 == 0, "N").otherwise("S").alias("ativo"),
-            F.when(k % 6 == 0, _mixed(launch, k % 12 == 0)).alias("data_lancamento"))
+        launch = _mixed("date_add(DATE '2001-01-01', CAST(p_partkey % 200 AS INT))", "p_partkey % 12 = 0")
+        return self.table("part").selectExpr(
+            "CAST(p_partkey AS STRING) AS sku", "' ' || p_name AS descricao", "p_type AS categoria",
+            "p_brand AS marca", "'Nota ' || (p_size % 12) AS nota_olfativa",
+            f"CAST({_PRICE} AS STRING) AS preco_tabela",
+            f"CAST(CAST({_PRICE} * 0.60 AS DECIMAL(18,2)) AS STRING) AS custo_unitario",
+            "IF(p_partkey % 2 = 0, 'UN', 'CX') AS unidade", "IF(p_size % 10 = 0, 'N', 'S') AS ativo",
+            f"CASE WHEN p_partkey % 6 = 0 THEN {launch} END AS data_lancamento")
 
     @cached_property
     def raw_pedidos(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        return self.table("orders").select(
-            F.concat(_text(k), F.lit(" ")).alias("pedido_id"), _text(F.col("o_custkey")).alias("cliente_id"),
-            _text(k % self.reps_count).alias("vendedor_id"),
-            _mixed(F.col("o_orderdate").cast("date"), k % 3 == 0).alias("data_pedido"),
-            F.col("o_orderpriority").alias("canal"),
-            F.when(F.col("o_orderstatus") == "P", " Cancelado").otherwise("Faturado").alias("status"),
-            F.when(k % 1000 == 7, F.lit("abc")).otherwise(_text(_money(F.col("o_totalprice")))).alias("valor_total"))
+        return self._with_reps(self.table("orders")).selectExpr(
+            "o_orderkey || ' ' AS pedido_id", "CAST(o_custkey AS STRING) AS cliente_id",
+            "CAST(o_orderkey % _n AS STRING) AS vendedor_id",
+            f"{_mixed('CAST(o_orderdate AS DATE)', 'o_orderkey % 3 = 0')} AS data_pedido",
+            "o_orderpriority AS canal", "IF(o_orderstatus = 'P', ' Cancelado', 'Faturado') AS status",
+            "IF(o_orderkey % 1000 = 7, 'abc', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)) AS valor_total")
+
+    def _lines(self, *part_columns: str) -> DataFrame:
+        part = self.table("part").select("p_partkey", *part_columns)
+        return (self.table("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+                .selectExpr("*", f"{_SIGNED} AS q", f"{_PRICE} AS preco"))
 
     @cached_property
     def raw_itens(self) -> DataFrame:
-        line = self.table("lineitem").join(
-            self.table("part").select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
-        q, price = self._signed(), _money(F.col("p_retailprice"))
-        bad = self._bad_line()
-        return line.select(
-            self._item_id().alias("item_id"), _text(F.col("l_orderkey")).alias("pedido_id"),
-            _text(F.col("l_partkey")).alias("sku"),
-            F.when(bad, F.lit("abc")).otherwise(_text(q)).alias("quantidade"),
-            _text(price).alias("preco_praticado"),
-            _text(_money(F.col("l_discount") * 100)).alias("desconto_pct"),
-            _text(_money(q * price)).alias("valor_bruto"))
+        return self._lines("p_retailprice").selectExpr(
+            f"{_ITEM_ID} AS item_id", "CAST(l_orderkey AS STRING) AS pedido_id", "CAST(l_partkey AS STRING) AS sku",
+            "IF(l_orderkey % 997 = 5, 'abc', CAST(q AS STRING)) AS quantidade",
+            "CAST(preco AS STRING) AS preco_praticado",
+            "CAST(CAST(l_discount * 100 AS DECIMAL(18,2)) AS STRING) AS desconto_pct",
+            "CAST(CAST(q * preco AS DECIMAL(18,2)) AS STRING) AS valor_bruto")
 
     @cached_property
     def raw_pagamentos(self) -> DataFrame:
-        p = self.pagamentos
-        return p.select(
-            "pagamento_id", "pedido_id", "forma_pagamento", _text(F.col("parcelas")).alias("parcelas"),
-            _text(F.col("valor")).alias("valor"), _text(F.col("taxa_pct")).alias("taxa_pct"),
-            _text(F.col("valor_liquido")).alias("valor_liquido"),
-            _mixed(F.col("data_vencimento"), F.col("parcelas") > 3).alias("data_vencimento"),
-            _mixed(F.col("data_pagamento"), F.col("parcelas") > 3).alias("data_pagamento"),
-            F.concat(F.lit(" "), F.col("status_pagamento")).alias("status_pagamento"))
+        return self.pagamentos.selectExpr(
+            "pagamento_id", "pedido_id", "forma_pagamento", "CAST(parcelas AS STRING) AS parcelas",
+            "CAST(valor AS STRING) AS valor", "CAST(taxa_pct AS STRING) AS taxa_pct",
+            "CAST(valor_liquido AS STRING) AS valor_liquido",
+            f"{_mixed('data_vencimento', 'parcelas > 3')} AS data_vencimento",
+            f"{_mixed('data_pagamento', 'parcelas > 3')} AS data_pagamento",
+            "' ' || status_pagamento AS status_pagamento")
 
     @cached_property
     def raw_estoque(self) -> DataFrame:
-        k, w = F.col("p_partkey"), F.col("w")
-        saldo = (F.when(k % 211 == 0, F.lit("-1")).when(k % 307 == 0, F.lit("x"))
-                 .otherwise(_text((k * 7 + w * 3) % 50)))
-        day = F.date_add(F.lit("2001-07-04").cast("date"), (w * 7).cast("int"))
-        return (self.table("part").withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(3))))
-                .select(_mixed(day, w % 2 == 0).alias("data_snapshot"), _text(k).alias("sku"),
-                        saldo.alias("saldo"), F.lit("N").alias("ruptura")))
+        day = _mixed("date_add(DATE '2001-07-04', w * 7)", "w % 2 = 0")
+        return (self.table("part").selectExpr("p_partkey AS k", "explode(sequence(0, 3)) AS w").selectExpr(
+            f"{day} AS data_snapshot", "CAST(k AS STRING) AS sku",
+            "CASE WHEN k % 211 = 0 THEN '-1' WHEN k % 307 = 0 THEN 'x' "
+            "ELSE CAST((k * 7 + w * 3) % 50 AS STRING) END AS saldo", "'N' AS ruptura"))
 
     @cached_property
     def raw_carteira(self) -> DataFrame:
         """One assignment per customer; every tenth customer gets a later second one."""
-        k, n = F.col("c_custkey"), self.reps_count
-        customers = self.table("customer").select("c_custkey")
-        first = customers.select(
-            F.concat(F.lit("A"), _text(k)).alias("carteira_id"), _text(k).alias("cliente_id"),
-            _text(k % n).alias("vendedor_id"), F.lit("01/03/1995").alias("data_inicio"),
-            F.when(k % 6 == 0, F.lit("2000-01-31")).alias("data_fim"))
-        second = customers.filter(k % 10 == 3).select(
-            F.concat(F.lit("B"), _text(k)).alias("carteira_id"), _text(k).alias("cliente_id"),
-            _text((k + 1) % n).alias("vendedor_id"), F.lit("1999-05-01").alias("data_inicio"),
-            F.lit(None).cast("string").alias("data_fim"))
+        customers = self._with_reps(self.table("customer").selectExpr("c_custkey AS k"))
+        first = customers.selectExpr(
+            "'A' || k AS carteira_id", "CAST(k AS STRING) AS cliente_id", "CAST(k % _n AS STRING) AS vendedor_id",
+            "'01/03/1995' AS data_inicio", "CASE WHEN k % 6 = 0 THEN '2000-01-31' END AS data_fim")
+        second = customers.filter("k % 10 = 3").selectExpr(
+            "'B' || k AS carteira_id", "CAST(k AS STRING) AS cliente_id",
+            "CAST((k + 1) % _n AS STRING) AS vendedor_id", "'1999-05-01' AS data_inicio",
+            "CAST(NULL AS STRING) AS data_fim")
         return first.unionByName(second)
 
     @cached_property
     def raw_oportunidades(self) -> DataFrame:
-        e, s = F.col("event_id"), F.col("event_id") % 6
-        day = self._event_day()
-        closed = F.date_add(day, (e % 60).cast("int"))
-        return self.table("events").filter(F.col("event_type").isin("click", "view")).select(
-            _text(e).alias("oportunidade_id"), _text(F.col("user_id")).alias("cliente_id"),
-            _text(F.col("user_id") % self.reps_count).alias("vendedor_id"),
-            F.col("event_type").alias("origem"), _mixed(day, e % 2 == 0).alias("data_abertura"),
-            F.element_at(F.array(*[F.lit(x) for x in STAGES]), (s + 1).cast("int")).alias("etapa"),
-            _text(e % 100).alias("probabilidade_pct"), _text(_money(F.col("value"))).alias("valor_estimado"),
-            F.when(s >= 4, _mixed(closed, e % 3 == 0)).alias("data_fechamento"),
-            _text(e % 60).alias("ciclo_dias"), F.when(s == 5, F.lit("Preço ")).alias("motivo_perda"))
+        closed = _mixed(f"date_add({_EVENT_DAY}, CAST(event_id % 60 AS INT))", "event_id % 3 = 0")
+        return self._with_reps(self.table("events").filter("event_type IN ('click', 'view')")).selectExpr(
+            "CAST(event_id AS STRING) AS oportunidade_id", "CAST(user_id AS STRING) AS cliente_id",
+            "CAST(user_id % _n AS STRING) AS vendedor_id", "event_type AS origem",
+            f"{_mixed(_EVENT_DAY, 'event_id % 2 = 0')} AS data_abertura",
+            f"element_at({_STAGES}, CAST(event_id % 6 + 1 AS INT)) AS etapa",
+            "CAST(event_id % 100 AS STRING) AS probabilidade_pct",
+            "CAST(CAST(value AS DECIMAL(18,2)) AS STRING) AS valor_estimado",
+            f"CASE WHEN event_id % 6 >= 4 THEN {closed} END AS data_fechamento",
+            "CAST(event_id % 60 AS STRING) AS ciclo_dias",
+            "CASE WHEN event_id % 6 = 5 THEN 'Preço ' END AS motivo_perda")
 
     @cached_property
     def raw_visitas(self) -> DataFrame:
-        e = F.col("event_id")
-        return self.table("events").filter(F.col("event_type").isin("purchase", "signup", "error")).select(
-            _text(e).alias("visita_id"), _text(F.col("user_id")).alias("cliente_id"),
-            _text(F.col("user_id") % self.reps_count).alias("vendedor_id"),
-            _mixed(self._event_day(), e % 5 == 0).alias("data_visita"),
-            F.when(F.col("event_type") == "purchase", " Pedido realizado").otherwise("Sem interesse")
-            .alias("resultado"),
-            F.when(e % 401 == 0, F.lit("?")).otherwise(_text(e % 90)).alias("duracao_min"))
+        rows = self.table("events").filter("event_type IN ('purchase', 'signup', 'error')")
+        return self._with_reps(rows).selectExpr(
+            "CAST(event_id AS STRING) AS visita_id", "CAST(user_id AS STRING) AS cliente_id",
+            "CAST(user_id % _n AS STRING) AS vendedor_id",
+            f"{_mixed(_EVENT_DAY, 'event_id % 5 = 0')} AS data_visita",
+            "IF(event_type = 'purchase', ' Pedido realizado', 'Sem interesse') AS resultado",
+            "IF(event_id % 401 = 0, '?', CAST(event_id % 90 AS STRING)) AS duracao_min")
 
     def raw(self) -> dict[str, DataFrame]:
         return {"produtos": self.raw_produtos, "pedidos": self.raw_pedidos, "itens_pedido": self.raw_itens,
@@ -195,28 +187,16 @@ class Domain:
                 "carteira": self.raw_carteira, "oportunidades": self.raw_oportunidades,
                 "visitas": self.raw_visitas}
 
-    # ---- shared expressions ---------------------------------------------------------------------
-
-    def _signed(self) -> Column:
-        q = F.col("l_quantity").cast("int")
-        return F.when(F.col("l_returnflag") == "R", -q).otherwise(q)
-
-    def _bad_line(self) -> Column:
-        return F.col("l_orderkey") % 997 == 5
-
-    def _item_id(self) -> Column:
-        return F.concat_ws("-", _text(F.col("l_orderkey")), _text(F.col("l_linenumber")),
-                           _text(F.col("l_partkey")))
-
-    def _event_day(self) -> Column:
-        return F.date_sub(F.col("ts").cast("date"), EVENT_SHIFT_DAYS)
-
     # ---- typed ----------------------------------------------------------------------------------
 
     @cached_property
     def clientes(self) -> DataFrame:
         return silver.clientes(self.raw_clientes)
 
+    @cached_property
+    def clientes_unicos(self) -> DataFrame:
+        return silver.deduplicated(self.raw_clientes)
+
     @cached_property
     def vendedores(self) -> DataFrame:
         return silver.vendedores(self.raw_vendedores)
@@ -227,45 +207,36 @@ class Domain:
 
     @cached_property
     def pedidos(self) -> DataFrame:
-        k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-        total = F.when(k % 1000 != 7, _money(F.col("o_totalprice")))
-        cancelled = F.col("o_orderstatus") == "P"
-        return self.table("orders").select(
-            _text(k).alias("pedido_id"), _text(F.col("o_custkey")).alias("cliente_id"),
-            _text(k % self.reps_count).alias("vendedor_id"), day.alias("data_pedido"),
-            F.col("o_orderpriority").alias("canal"), total.alias("valor_total"),
-            cancelled.alias("cancelado"),
-            F.when(cancelled, F.lit(0).cast("decimal(18,2)")).otherwise(total).alias("valor_liquido"),
-            F.year(day).alias("ano"), F.month(day).alias("mes"))
+        return (self._with_reps(self.table("orders")).selectExpr(
+            "CAST(o_orderkey AS STRING) AS pedido_id", "CAST(o_custkey AS STRING) AS cliente_id",
+            "CAST(o_orderkey % _n AS STRING) AS vendedor_id", "CAST(o_orderdate AS DATE) AS data_pedido",
+            "o_orderpriority AS canal",
+            "CASE WHEN o_orderkey % 1000 <> 7 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS valor_total",
+            "o_orderstatus = 'P' AS cancelado").selectExpr(
+            "*", "IF(cancelado, CAST(0 AS DECIMAL(18,2)), valor_total) AS valor_liquido",
+            "year(data_pedido) AS ano", "month(data_pedido) AS mes"))
 
     @cached_property
     def itens(self) -> DataFrame:
-        part = self.table("part").select("p_partkey", "p_retailprice", "p_size")
-        line = self.table("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-        q, price = self._signed(), _money(F.col("p_retailprice"))
-        qty = F.when(~self._bad_line(), q)
-        return line.select(
-            self._item_id().alias("item_id"), _text(F.col("l_orderkey")).alias("pedido_id"),
-            _text(F.col("l_partkey")).alias("sku"), qty.alias("quantidade"),
-            F.abs(qty).alias("quantidade_abs"), (qty < 0).alias("devolucao"),
-            price.alias("preco_praticado"), _money(F.col("l_discount") * 100).alias("desconto_pct"),
-            _money(q * price).alias("valor_bruto"),
-            _money(price * F.lit("0.60").cast("decimal(3,2)")).alias("custo_unitario"),
-            (F.col("p_size") % 10 == 0).alias("sku_descontinuado"))
+        return (self._lines("p_retailprice", "p_size")
+                .selectExpr("*", "CASE WHEN l_orderkey % 997 <> 5 THEN q END AS quantidade").selectExpr(
+            f"{_ITEM_ID} AS item_id", "CAST(l_orderkey AS STRING) AS pedido_id", "CAST(l_partkey AS STRING) AS sku",
+            "quantidade", "abs(quantidade) AS quantidade_abs", "quantidade < 0 AS devolucao",
+            "preco AS preco_praticado", "CAST(l_discount * 100 AS DECIMAL(18,2)) AS desconto_pct",
+            "CAST(q * preco AS DECIMAL(18,2)) AS valor_bruto",
+            "CAST(preco * 0.60 AS DECIMAL(18,2)) AS custo_unitario", "p_size % 10 = 0 AS sku_descontinuado"))
 
     @cached_property
     def pagamentos(self) -> DataFrame:
-        k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-        value = _money(F.col("o_totalprice"))
-        paid = F.when(k % 9 != 0, F.date_add(day, (30 + k % 11).cast("int")))
-        return self.table("orders").select(
-            F.concat(F.lit("P"), _text(k)).alias("pagamento_id"), _text(k).alias("pedido_id"),
-            F.element_at(F.array(F.lit("Boleto"), F.lit("Cartão"), F.lit("Pix")), (k % 3 + 1).cast("int"))
-            .alias("forma_pagamento"),
-            (1 + k % 6).cast("int").alias("parcelas"), value.alias("valor"),
-            _money(value - (k % 5)).alias("valor_liquido"), (k % 5).cast("decimal(5,2)").alias("taxa_pct"),
-            F.date_add(day, 30).alias("data_vencimento"), paid.alias("data_pagamento"),
-            F.when(k % 9 != 0, "Pago").otherwise("Aberto").alias("status_pagamento"))
+        return self.table("orders").selectExpr(
+            "o_orderkey AS k", "CAST(o_orderdate AS DATE) AS dia", "CAST(o_totalprice AS DECIMAL(18,2)) AS valor"
+        ).selectExpr(
+            "'P' || k AS pagamento_id", "CAST(k AS STRING) AS pedido_id",
+            "element_at(array('Boleto', 'Cartão', 'Pix'), CAST(k % 3 + 1 AS INT)) AS forma_pagamento",
+            "CAST(1 + k % 6 AS INT) AS parcelas", "valor", "CAST(valor - k % 5 AS DECIMAL(18,2)) AS valor_liquido",
+            "CAST(k % 5 AS DECIMAL(5,2)) AS taxa_pct", "date_add(dia, 30) AS data_vencimento",
+            "CASE WHEN k % 9 <> 0 THEN date_add(dia, CAST(30 + k % 11 AS INT)) END AS data_pagamento",
+            "IF(k % 9 <> 0, 'Pago', 'Aberto') AS status_pagamento")
 
     @cached_property
     def estoque(self) -> DataFrame:
@@ -287,11 +258,11 @@ class Domain:
 
     @cached_property
     def fato(self) -> DataFrame:
-        return gold.fato_vendas(self.pedidos, self.itens, self.produtos, self.clientes)
+        return gold.fato_vendas(self.pedidos, self.itens, self.produtos, self.clientes_unicos)
 
     @cached_property
     def dim_cliente(self) -> DataFrame:
-        return gold.dim_cliente(self.clientes, self.pedidos, self.itens, AS_OF)
+        return gold.dim_cliente(self.clientes_unicos, self.pedidos, self.itens, AS_OF)
 
     @cached_property
     def dim_produto(self) -> DataFrame:
@@ -301,8 +272,9 @@ class Domain:
     def mart_vendedor(self) -> DataFrame:
         return gold.mart_vendas_por_vendedor(self.fato, self.vendedores)
 
-    def features(self, ref: str = SCORE_REF) -> DataFrame:
-        return features.feature_table(self.fato, self.oportunidades, self.visitas, self.produtos, ref)
+    def features(self, ref: str = SCORE_REF, fact: DataFrame | None = None) -> DataFrame:
+        return features.feature_table(self.fato if fact is None else fact, self.oportunidades, self.visitas,
+                                      self.produtos, ref)
 
     @cached_property
     def training(self) -> DataFrame:
@@ -311,29 +283,48 @@ class Domain:
     @cached_property
     def rule_scores(self) -> DataFrame:
         """A fixed score in (0, 1] that both engines can compute: recent buyers first."""
-        return (features.rfm_and_rhythm(self.fato, SCORE_REF)
-                .select("cliente_id", F.round(1 / (1 + F.col("recencia_dias")), 6).alias("score")))
+        return self.saved_features.select(
+            "cliente_id", F.round(1 / (1 + F.col("recencia_dias")), 6).alias("score"))
 
     @cached_property
     def banded_scores(self) -> DataFrame:
         return score_bands(self.rule_scores)
 
+    # ---- written tables, as in the nightly run: read by several branches of one query -------------
+
     @cached_property
-    def fila(self) -> DataFrame:
-        return weekly_queue.weekly_queue(
-            self.banded_scores, self.carteira, self.vendedores, self.dim_cliente, self.features(),
-            self.fato, self.dim_produto, self.estoque, AS_OF)
+    def saved_fact(self) -> DataFrame:
+        return materialize(self.fato, "fato")
+
+    @cached_property
+    def saved_features(self) -> DataFrame:
+        return materialize(self.features(SCORE_REF), "features")
+
+    @cached_property
+    def saved_training(self) -> DataFrame:
+        return materialize(self.training, "treino")
+
+    @cached_property
+    def saved_scores(self) -> DataFrame:
+        return materialize(self.banded_scores, "scores")
+
+    @cached_property
+    def saved_shelf(self) -> DataFrame:
+        return materialize(ranking.shelf(self.dim_produto, self.estoque), "estante")
 
     @cached_property
     def elegiveis(self) -> DataFrame:
-        return weekly_queue.eligible(self.banded_scores, self.carteira, self.vendedores,
-                                     self.dim_cliente, self.features())
+        return weekly_queue.eligible(self.saved_scores, self.carteira, self.vendedores,
+                                     self.dim_cliente, self.saved_features)
 
     @cached_property
     def top_ids(self) -> DataFrame:
-        return weekly_queue.bounded(
-            weekly_queue.top_customers(self.elegiveis).select("cliente_id"), weekly_queue.QUEUE_SIZE)
+        """Ids of the queue's customers; the LIMIT bounds the broadcast."""
+        top = weekly_queue.top_customers(self.elegiveis).select("cliente_id")
+        return weekly_queue.bounded(materialize(top, "top"), weekly_queue.QUEUE_SIZE)
 
     @cached_property
-    def estante(self) -> DataFrame:
-        return ranking.shelf(self.dim_produto, self.estoque)
+    def fila(self) -> DataFrame:
+        return weekly_queue.weekly_queue(
+            self.saved_scores, self.carteira, self.vendedores, self.dim_cliente, self.saved_features,
+            self.saved_fact, self.dim_produto, self.estoque, AS_OF)

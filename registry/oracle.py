@@ -32,6 +32,11 @@ def money(s: str) -> str:
     return f"TRY_CAST({s} AS DECIMAL(18,2))"
 
 
+def half_up(expr: str, digits: int) -> str:
+    """Round a double half away from zero on its decimal digits, as decimal arithmetic would."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+
+
 R: dict[str, str] = {}
 
 # ---- raw text -----------------------------------------------------------------------------------
@@ -196,16 +201,16 @@ FROM d_clientes c LEFT JOIN (
          min(p.data_pedido) AS primeiro_pedido, max(p.data_pedido) AS ultimo_pedido
   FROM d_pedidos p JOIN d_itens i ON p.pedido_id = i.pedido_id WHERE NOT p.cancelado GROUP BY 1) t
 ON c.cliente_id = t.cliente_id"""
-R["d_mart_vendedor"] = """
+R["d_mart_vendedor"] = f"""
 SELECT f.vendedor_id, ano, mes, count(DISTINCT pedido_id) AS pedidos_unicos, count(DISTINCT cliente_id) AS clientes_atendidos,
   CAST(sum(receita) AS DOUBLE) AS receita, CAST(sum(margem) AS DOUBLE) AS margem,
   CAST(sum(receita) - sum(margem) AS DOUBLE) AS custo, CAST(meta_mensal AS DOUBLE) AS meta_mensal,
-  CASE WHEN meta_mensal > 0 THEN round(CAST(sum(receita) AS DOUBLE) / CAST(meta_mensal AS DOUBLE) * 100, 2) END AS atingimento_pct,
-  round(CAST(sum(receita) AS DOUBLE) / count(DISTINCT cliente_id), 2) AS ticket_por_cliente
+  CASE WHEN meta_mensal > 0 THEN {half_up('CAST(sum(receita) AS DOUBLE) / CAST(meta_mensal AS DOUBLE) * 100', 2)} END AS atingimento_pct,
+  {half_up('CAST(sum(receita) AS DOUBLE) / count(DISTINCT cliente_id)', 2)} AS ticket_por_cliente
 FROM d_fato f JOIN d_vendedores v ON f.vendedor_id = v.vendedor_id GROUP BY f.vendedor_id, ano, mes, meta_mensal"""
-R["d_sku_mes"] = """
+R["d_sku_mes"] = f"""
 SELECT sku, categoria, marca, ano, mes, CAST(sum(quantidade_abs) AS BIGINT) AS quantidade, sum(receita) AS receita,
-  sum(margem) AS margem, round(CAST(sum(margem) AS DOUBLE) / nullif(CAST(sum(receita) AS DOUBLE), 0) * 100, 2) AS margem_pct
+  sum(margem) AS margem, {half_up('CAST(sum(margem) AS DOUBLE) / nullif(CAST(sum(receita) AS DOUBLE), 0) * 100', 2)} AS margem_pct
 FROM d_fato GROUP BY ALL"""
 R["d_abc"] = """
 SELECT sku, categoria, marca, ano, mes, quantidade, CAST(receita AS DOUBLE) AS receita, CAST(margem AS DOUBLE) AS margem,
@@ -270,7 +275,7 @@ SELECT DISTINCT cliente_id FROM d_fato f JOIN d_produtos p ON f.sku = p.sku
 WHERE f.data_pedido < {d} AND p.data_lancamento >= {d} - 120"""
     R[f"d_mix_{tag}"] = f"""
 SELECT m.cliente_id, skus_distintos, categorias_distintas, marcas_distintas, melhor / nullif(total, 0) AS concentracao_marca_top,
-  CASE WHEN l.cliente_id IS NULL THEN 0.0 ELSE 1.0 END AS comprou_lancamento
+  CAST(l.cliente_id IS NOT NULL AS DOUBLE) AS comprou_lancamento
 FROM (SELECT cliente_id, CAST(count(DISTINCT sku) AS DOUBLE) AS skus_distintos, CAST(sum(receita) AS DOUBLE) AS total,
         CAST(count(DISTINCT categoria) AS DOUBLE) AS categorias_distintas, CAST(count(DISTINCT marca) AS DOUBLE) AS marcas_distintas
       FROM d_fato WHERE data_pedido < {d} GROUP BY cliente_id) m
@@ -347,7 +352,7 @@ CASE WHEN atraso_relativo > 3 THEN 'Compra a cada ' || format('{:,.0f}', interva
      ELSE 'Dentro do ritmo. Contato de manutenção.' END"""
 R["d_fila"] = f"""
 SELECT t.vendedor, CAST(row_number() OVER (PARTITION BY t.vendedor_id ORDER BY t.score DESC, t.cliente_id) AS INTEGER) AS ordem,
-  t.cliente_id, t.razao_social, t.cidade, t.uf, round(t.score, 4) AS score, t.faixa, round(t.ticket_medio, 2) AS ticket_medio,
+  t.cliente_id, t.razao_social, t.cidade, t.uf, round(t.score, 4) AS score, t.faixa, {half_up('t.ticket_medio', 2)} AS ticket_medio,
   {REASON} AS motivo,
   coalesce(s.sku || ' — ' || s.nome || ' (Saldo: ' || s.saldo || ')', 'Sem sugestão disponível no momento') AS sugestao,
   t.vendedor_id

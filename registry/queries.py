@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registry.domain import AS_OF, SCORE_REF, TRAIN_REF, Domain
-from registry.oracle import REASON, sql
+from registry.oracle import REASON, half_up, sql
 from vendaflow import schemas, session
 from vendaflow.functions import text
 from vendaflow.functions.dates import date_window
@@ -464,7 +464,7 @@ def _(d):
 # ---- metrics ------------------------------------------------------------------------------------
 
 def _scored_training(d: Domain) -> DataFrame:
-    return d.training.withColumn("score", F.round(1 / (1 + F.col("recencia_dias")), 6))
+    return d.saved_training.withColumn("score", F.round(1 / (1 + F.col("recencia_dias")), 6))
 
 
 _HOLD = "row_number() OVER (PARTITION BY comprou_em_7d ORDER BY md5(cliente_id || '|42')[1:12], md5(cliente_id), cliente_id)"
@@ -474,12 +474,11 @@ _HOLD = "row_number() OVER (PARTITION BY comprou_em_7d ORDER BY md5(cliente_id |
 SELECT cliente_id, CAST(comprou_em_7d AS DOUBLE) AS comprou_em_7d, rk <= ceil(n * 0.25) AS holdout, CAST(rk % 5 AS INTEGER) AS fold
 FROM (SELECT *, {_HOLD} AS rk, count(*) OVER (PARTITION BY comprou_em_7d) AS n FROM d_treino)""")
 def _(d):
-    return metrics.stratified_split(d.training).select("cliente_id", schemas.LABEL, "holdout", "fold")
+    return metrics.stratified_split(d.saved_training).select("cliente_id", schemas.LABEL, "holdout", "fold")
 
 
-def _pairs(score: str, relation: str, extra: str = "") -> str:
-    """AUC by the Mann-Whitney rank sum with average ranks."""
-    return f"""(sum(CASE WHEN y = 1 THEN rank_medio END) - (sum(y) * (sum(y) + 1)) / 2.0) / nullif(sum(y) * (count(*) - sum(y)), 0)"""
+# AUC by the Mann-Whitney rank sum with average ranks.
+_AUC = """(sum(CASE WHEN y = 1 THEN rank_medio END) - (sum(y) * (sum(y) + 1)) / 2.0) / nullif(sum(y) * (count(*) - sum(y)), 0)"""
 
 
 _RANKED = "(rank() OVER (PARTITION BY regra ORDER BY s)) + (count(*) OVER (PARTITION BY regra, s) - 1) / 2.0"
@@ -487,13 +486,13 @@ _RANKED = "(rank() OVER (PARTITION BY regra ORDER BY s)) + (count(*) OVER (PARTI
 
 @query("baseline_auc", f"""
 SELECT regra, round(auc, 6) AS auc, regra = first_value(regra) OVER (ORDER BY auc DESC, regra) AS melhor FROM (
-  SELECT regra, {_pairs('s', '')} AS auc FROM (
+  SELECT regra, {_AUC} AS auc FROM (
     SELECT regra, y, {_RANKED} AS rank_medio FROM (
       SELECT 'recencia' AS regra, CAST(comprou_em_7d AS DOUBLE) AS y, -recencia_dias AS s FROM d_treino
       UNION ALL SELECT 'valor', CAST(comprou_em_7d AS DOUBLE), valor_total FROM d_treino
       UNION ALL SELECT 'atraso', CAST(comprou_em_7d AS DOUBLE), coalesce(atraso_relativo, 0) FROM d_treino)) GROUP BY regra)""")
 def _(d):
-    return metrics.baseline_auc(d.training)
+    return metrics.baseline_auc(d.saved_training)
 
 
 # Distinct, tie and AUC checks need values both engines hold bit for bit, so features are rounded.
@@ -503,12 +502,12 @@ _UNPIVOT = " UNION ALL ".join(
 
 
 def _rounded_training(d: Domain) -> DataFrame:
-    return d.training.withColumns({c: F.round(c, 6) for c in schemas.FEATURES})
+    return d.saved_training.withColumns({c: F.round(c, 6) for c in schemas.FEATURES})
 
 
 @query("univariate_auc", f"""
 SELECT regra AS feature, round(greatest(auc, 1 - auc), 6) AS auc, auc < 0.5 AS invertida FROM (
-  SELECT regra, {_pairs('s', '')} AS auc FROM (
+  SELECT regra, {_AUC} AS auc FROM (
     SELECT regra, y, {_RANKED} AS rank_medio FROM (SELECT regra, y, coalesce(s, -999) AS s FROM ({_UNPIVOT}))) GROUP BY regra)""")
 def _(d):
     return metrics.univariate_auc(_rounded_training(d))
@@ -565,7 +564,7 @@ def _(d):
 
 @query("big_customer_threshold", "SELECT round(limite, 6) AS limite FROM d_limite")
 def _(d):
-    return exact_quantiles(d.features(), "valor_total", {"limite": 0.75}, interpolate=False)
+    return exact_quantiles(d.saved_features, "valor_total", {"limite": 0.75}, interpolate=False)
 
 
 @query("big_customer_threshold_approx")
@@ -580,7 +579,7 @@ _FILL = ", ".join(
 
 @query("impute_features", f"SELECT cliente_id, {_FILL} FROM d_treino")
 def _(d):
-    out = model.impute(d.training)
+    out = model.impute(d.saved_training)
     return out.select("cliente_id", *[f"{c}_{s}" for c in model.NULLABLE for s in ("cheio", "ausente")])
 
 
@@ -588,14 +587,14 @@ def _(d):
 
 def _fit_input(d: Domain) -> DataFrame:
     """The split training table, materialised once: boosting scans it at every tree level."""
-    return session.cut_lineage(metrics.stratified_split(d.training))
+    return session.materialize(metrics.stratified_split(d.saved_training), "divisao")
 
 
 @query("score_customers")
 def _(d):
     fitted = model.fit(_fit_input(d))
     scored = model.predict(fitted, d.features(SCORE_REF)).select("cliente_id", "score")
-    return metrics.score_bands(session.cut_lineage(scored))
+    return metrics.score_bands(session.materialize(scored, "scores"))
 
 
 @query("oof_scores")
@@ -645,26 +644,27 @@ def _(d):
 
 @query("queue_reason", f"SELECT cliente_id, {REASON} AS motivo FROM d_feat_s")
 def _(d):
-    return weekly_queue.with_reason(d.features(), d.features()).select("cliente_id", "motivo")
+    return weekly_queue.with_reason(d.saved_features, d.saved_features).select("cliente_id", "motivo")
 
 
 @query("top_customers_semi", "SELECT cliente_id, count(*) AS linhas, CAST(sum(receita) AS DOUBLE) AS receita FROM d_fato WHERE cliente_id IN (SELECT cliente_id FROM d_top) GROUP BY 1")
 def _(d):
-    return (d.fato.join(d.top_ids, "cliente_id", "left_semi").groupBy("cliente_id")
+    return (d.saved_fact.join(d.top_ids, "cliente_id", "left_semi").groupBy("cliente_id")
             .agg(F.count("*").alias("linhas"), F.sum("receita").alias("receita")))
 
 
 @query("crosssell_candidates", "SELECT cliente_id, marca, sku, nome, saldo, candidatos FROM d_pares_top WHERE rn = 1")
 def _(d):
-    ids = d.top_ids
-    bought = ranking.recent_skus(d.fato.join(ids, "cliente_id", "left_semi"), AS_OF)
-    return ranking.suggestions(ranking.preferred_brand(d.fato, ids, AS_OF), d.dim_produto, d.estoque, bought)
+    ids, fact = d.top_ids, d.saved_fact
+    bought = ranking.recent_skus(fact.join(ids, "cliente_id", "left_semi"), AS_OF)
+    return ranking.suggestions(ranking.preferred_brand(fact, ids, AS_OF), d.saved_shelf, bought)
 
 
 @query("best_stock_suggestion", "SELECT cliente_id, marca, sku, nome, saldo, candidatos FROM d_pares_todos WHERE rn = 1")
 def _(d):
-    return ranking.suggestions(ranking.preferred_brand(d.fato, d.elegiveis, AS_OF), d.dim_produto, d.estoque,
-                               ranking.recent_skus(d.fato, AS_OF))
+    fact = d.saved_fact
+    return ranking.suggestions(ranking.preferred_brand(fact, d.elegiveis, AS_OF), d.saved_shelf,
+                               ranking.recent_skus(fact, AS_OF))
 
 
 _QUEUE_COLUMNS = "vendedor, ordem, cliente_id, razao_social, cidade, uf, score, faixa, ticket_medio, motivo, sugestao, vendedor_id"
@@ -697,9 +697,9 @@ def _(d):
 
 # ---- lookups ------------------------------------------------------------------------------------
 
-@query("customer_context", """
-SELECT c.cliente_id, c.razao_social, c.cidade, c.uf, coalesce(round(f.ticket_medio, 2), 0) AS ticket_medio,
-  coalesce(round(f.valor_total, 2), 0) AS valor_total, b1.marca AS marca_pref, b2.marca AS segunda_marca,
+@query("customer_context", f"""
+SELECT c.cliente_id, c.razao_social, c.cidade, c.uf, coalesce({half_up('f.ticket_medio', 2)}, 0) AS ticket_medio,
+  coalesce({half_up('f.valor_total', 2)}, 0) AS valor_total, b1.marca AS marca_pref, b2.marca AS segunda_marca,
   h.ultima_compra, c.total_pedidos AS pedidos_totais, s.score AS saldo_score, s.faixa AS saldo_faixa
 FROM d_dim_cliente c LEFT JOIN d_feat_s f ON c.cliente_id = f.cliente_id LEFT JOIN d_faixas s ON c.cliente_id = s.cliente_id
 LEFT JOIN (SELECT cliente_id, marca, row_number() OVER (PARTITION BY cliente_id ORDER BY sum(receita) DESC, marca) AS rn
@@ -708,7 +708,7 @@ LEFT JOIN (SELECT cliente_id, marca, row_number() OVER (PARTITION BY cliente_id
            FROM d_fato GROUP BY 1, 2) b2 ON b2.cliente_id = c.cliente_id AND b2.rn = 2
 LEFT JOIN (SELECT cliente_id, max(data_pedido) AS ultima_compra FROM d_fato GROUP BY 1) h ON h.cliente_id = c.cliente_id""")
 def _(d):
-    return serving.customer_context(d.dim_cliente, d.features(), d.banded_scores, d.fato)
+    return serving.customer_context(d.dim_cliente, d.saved_features, d.banded_scores, d.saved_fact)
 
 
 def _suggest_oracle(strict: bool) -> str:
@@ -833,9 +833,9 @@ def _(d):
     return serving.stockouts(d.dim_produto, d.estoque)
 
 
-@query("margin_by_brand", """
+@query("margin_by_brand", f"""
 SELECT marca, count(DISTINCT sku) AS total_skus, CAST(sum(receita) AS DOUBLE) AS receita_total,
-  round(CAST(sum(margem) AS DOUBLE) * 100 / nullif(CAST(sum(receita) AS DOUBLE), 0), 2) AS margem_pct
+  {half_up('CAST(sum(margem) AS DOUBLE) * 100 / nullif(CAST(sum(receita) AS DOUBLE), 0)', 2)} AS margem_pct
 FROM d_fato WHERE NOT devolucao GROUP BY marca""")
 def _(d):
     return serving.margin_by_brand(d.fato)
@@ -853,8 +853,8 @@ def _(d):
     return serving.longest_inactive(d.dim_cliente)
 
 
-@query("most_late_customers", """
-SELECT c.razao_social, f.recencia_dias, round(f.intervalo_medio_dias, 1) AS intervalo_medio, round(f.atraso_relativo, 1) AS atraso
+@query("most_late_customers", f"""
+SELECT c.razao_social, f.recencia_dias, {half_up('f.intervalo_medio_dias', 1)} AS intervalo_medio, {half_up('f.atraso_relativo', 1)} AS atraso
 FROM d_feat_s f JOIN d_dim_cliente c ON f.cliente_id = c.cliente_id ORDER BY f.atraso_relativo DESC NULLS LAST, f.cliente_id LIMIT 10""")
 def _(d):
     return serving.most_late_customers(d.features(), d.dim_cliente)
@@ -862,10 +862,6 @@ def _(d):
 
 # ---- quality ------------------------------------------------------------------------------------
 
-_QUALITY = """
-WITH_F AS (SELECT sum(receita) AS receita, count(*) AS linhas, count(*) FILTER ((receita < 0 AND NOT devolucao) OR (receita >= 0 AND devolucao)) AS erradas FROM d_fato)"""
-
-
 @query("quality_suite", """
 SELECT '1 receita gold = silver' AS teste, CAST((SELECT sum(receita) FROM d_fato) AS VARCHAR) AS observado,
   CAST((SELECT sum(valor_liquido) FROM d_pedidos) AS VARCHAR) AS esperado,
@@ -882,8 +878,9 @@ UNION ALL SELECT '8 mart = fato', CAST((SELECT sum(receita) FROM d_sku_mes) AS V
   abs((SELECT sum(receita) FROM d_sku_mes) - (SELECT sum(receita) FROM d_fato)) <= 0.01
 UNION ALL SELECT '9 cnpj 14 digitos', CAST(count(*) FILTER (length(cnpj) <> 14) AS VARCHAR), '0', count(*) FILTER (length(cnpj) <> 14) = 0 FROM d_dim_cliente""")
 def _(d):
-    return quality.quality_suite(d.fato, d.clientes, d.pedidos, d.dim_cliente,
-                                 gold.mart_produto_performance(d.fato))
+    fact = d.saved_fact
+    return quality.quality_suite(fact, d.clientes, d.pedidos, d.dim_cliente,
+                                 gold.mart_produto_performance(fact))
 
 
 @query("test_orphan_orders", "SELECT pedido_id FROM d_fato f WHERE NOT EXISTS (SELECT 1 FROM d_pedidos p WHERE p.pedido_id = f.pedido_id AND p.canal <> '5-LOW') GROUP BY pedido_id")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendaflow.functions.dates import as_date
-from vendaflow.operators.ordering import join_null_safe, running_totals
+from vendaflow.operators.ordering import join_whole, running_totals
 
 # Peak months of the trade, ABC limits.
 PEAK_MONTHS = (4, 6, 10)
@@ -137,7 +137,7 @@ def mart_produto_performance(fact: DataFrame) -> DataFrame:
     classed = curve.select(
         "ano", "mes", "receita", F.when(share <= ABC_A, "A").when(share <= ABC_B, "B")
         .otherwise("C").alias("curva_abc"))
-    return (join_null_safe(base, classed, ["ano", "mes", "receita"])
+    return (join_whole(base, classed, ["ano", "mes", "receita"])
             .select("sku", "categoria", "marca", "ano", "mes", "quantidade", "receita", "margem",
                     "margem_pct", "curva_abc"))
 

@@ -9,8 +9,6 @@ into one row before any ordering, so a value shared by a third of the rows costs
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,18 +20,27 @@ _OFFSET = 1075 * BUCKETS_PER_DOUBLING
 _SLOT_DIGITS = 3
 
 
+# Bucket of NULL: before every number, as in an ascending sort.
+_NULL_BUCKET = -(2 * 1075 * BUCKETS_PER_DOUBLING) - 1
+
+
 def order_bucket(value: Column) -> Column:
-    """Monotone non-decreasing bucket number of a finite number."""
+    """Monotone non-decreasing bucket number of a finite number; NULL sorts first."""
     v = value.cast("double")
     size = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_DOUBLING) + _OFFSET
-    return F.when(v > 0, size).when(v < 0, -size).when(v == 0, F.lit(0))
+    return (F.when(v > 0, size).when(v < 0, -size).when(v == 0, F.lit(0))
+            .otherwise(F.lit(_NULL_BUCKET)))
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on equally named keys where NULL matches NULL; keeps the left keys."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+def join_whole(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on equally named keys where NULL matches NULL.
+
+    Structs compare field by field and hold NULLs, so this stays a plain hash-partitioned equi-join;
+    a null-safe operator would be planned on derived keys and shuffle both sides again.
+    """
+    key = F.struct(*keys)
+    r = right.withColumn("_j", key).drop(*keys)
+    return left.withColumn("_j", key).join(r, "_j", how).drop("_j")
 
 
 def running_totals(df: DataFrame, part: list[str], value: str, amounts: dict[str, Column],
@@ -41,25 +48,25 @@ def running_totals(df: DataFrame, part: list[str], value: str, amounts: dict[str
     """One row per (part, value) with, for every amount `a`, columns `a` (sum of the value's rows),
     `a_ate` (running sum including ties) and `a_total` (sum of the part)."""
     names = list(amounts)
-    tied = df.groupBy(*part, value).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
+    group = F.struct(*part).alias("_g") if part else F.struct(F.lit(0)).alias("_g")
+    tied = df.groupBy(group, value).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
     bucket = order_bucket(F.col(value))
     tied = tied.withColumn("_bucket", -bucket if descending else bucket)
 
-    heads = tied.groupBy(*part, "_bucket").agg(*[F.sum(n).alias(f"_h_{n}") for n in names])
-    before = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*part)
+    heads = tied.groupBy("_g", "_bucket").agg(*[F.sum(n).alias(f"_h_{n}") for n in names])
+    before = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_g")
     heads = heads.select(
-        *part, "_bucket",
+        "_g", "_bucket",
         *[F.coalesce(F.sum(f"_h_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in names],
         *[F.sum(f"_h_{n}").over(whole).alias(f"{n}_total") for n in names])
 
     axis = F.col(value).desc() if descending else F.col(value).asc()
-    inside = (Window.partitionBy(*part, "_bucket").orderBy(axis)
+    inside = (Window.partitionBy("_g", "_bucket").orderBy(axis)
               .rowsBetween(Window.unboundedPreceding, 0))
-    local = tied.withColumns({f"_l_{n}": F.sum(n).over(inside) for n in names})
-    joined = join_null_safe(local, heads, [*part, "_bucket"])
-    return joined.select(
-        *part, value, *names,
+    local = tied.select("*", *[F.sum(n).over(inside).alias(f"_l_{n}") for n in names])
+    return local.join(heads, ["_g", "_bucket"]).select(
+        *[F.col(f"_g.{c}").alias(c) for c in part], value, *names,
         *[(F.col(f"_b_{n}") + F.col(f"_l_{n}")).alias(f"{n}_ate") for n in names],
         *[f"{n}_total" for n in names])
 
@@ -70,21 +77,22 @@ def row_numbers(df: DataFrame, part: list[str], value: str, key: str, out: str,
 
     Order: value, then the MD5 of the key, then the key. The hash only decides between equal values;
     it spreads the holders of one hot value over 4,096 slots that are numbered independently.
+    `df` is read twice, so pass a written table when it is expensive.
     """
-    tie = F.md5(F.col(key).cast("string").cast("binary"))
-    rows = df.withColumn("_tie", tie).withColumn("_slot", F.substring("_tie", 1, _SLOT_DIGITS))
-    slots = rows.groupBy(*part, value, "_slot").agg(F.count("*").alias("_n"))
-    values = running_totals(slots, part, value, {"_q": F.col("_n")}, descending)
-    earlier = (Window.partitionBy(*part, value).orderBy("_slot")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    slots = slots.withColumn("_in_value", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    offsets = join_null_safe(slots, values, [*part, value]).select(
-        *part, value, "_slot", (F.col("_q_ate") - F.col("_q") + F.col("_in_value")).alias("_offset"),
-        F.col("_q_total").alias(f"{out}_n"))
-    local = F.row_number().over(Window.partitionBy(*part, value, "_slot").orderBy("_tie", key))
-    numbered = join_null_safe(rows.withColumn("_local", local), offsets, [*part, value, "_slot"])
-    return (numbered.withColumn(out, F.col("_offset") + F.col("_local"))
-            .select(*df.columns, out, f"{out}_n"))
+    at = F.struct(*part, value).alias("_at")
+    tie = F.coalesce(F.md5(F.col(key).cast("string").cast("binary")), F.lit(""))
+    rows = df.select("*", at, tie.alias("_tie"), F.substring(tie, 1, _SLOT_DIGITS).alias("_slot"))
+    slots = rows.groupBy("_at", "_slot").agg(F.count("*").alias("_n"))
+    values = running_totals(slots.select("_n", "_at.*"), part, value, {"_q": F.col("_n")}, descending)
+    values = values.select(at, (F.col("_q_ate") - F.col("_q")).alias("_antes"),
+                           F.col("_q_total").alias(f"{out}_n"))
+    earlier = Window.partitionBy("_at").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.select("_at", "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_no_valor"))
+    offsets = slots.join(values, "_at")
+    local = F.row_number().over(Window.partitionBy("_at", "_slot").orderBy("_tie", key))
+    return (rows.select("*", local.alias("_local")).join(offsets, ["_at", "_slot"])
+            .select(*df.columns, (F.col("_antes") + F.col("_no_valor") + F.col("_local")).alias(out),
+                    f"{out}_n"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], part: list[str] | None = None,

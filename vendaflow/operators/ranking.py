@@ -7,8 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendaflow.functions.dates import as_date, date_window, days_before
-from vendaflow.operators.ordering import row_numbers
+from vendaflow.functions.dates import date_window, days_before
+from vendaflow.operators.ordering import row_numbers, running_totals
 
 # Fixed value: days that count as a recent purchase.
 LOOKBACK_DAYS = 90
@@ -59,29 +59,25 @@ def shelf(products: DataFrame, stock: DataFrame) -> DataFrame:
     return row_numbers(available, ["marca"], "saldo", "sku", "estante")
 
 
-def suggestions(preferred: DataFrame, products: DataFrame, stock: DataFrame, bought: DataFrame
-                ) -> DataFrame:
+def suggestions(preferred: DataFrame, places: DataFrame, bought: DataFrame) -> DataFrame:
     """Per customer the fullest in-stock SKU of the preferred brand that is not in `bought`.
 
-    Pairing every customer with every SKU of the brand would grow with their product. Instead the
-    brand's shelf is numbered once, the customer's own recent SKUs are looked up on it, and the
-    answer is the first shelf place missing among them: places 1..m all taken means place m + 1.
+    `places` is `shelf(...)`, best as a written table since it is read twice. Pairing every customer
+    with every SKU of the brand would grow with their product. Instead the customer's own recent
+    SKUs are looked up on the shelf, and the answer is the first place missing among them: places
+    1..m all taken means place m + 1.
     """
-    places = shelf(products, stock)
-    on_shelf = places.select("sku", F.col("marca").alias("_marca"), "estante")
-    mine = (bought.join(preferred.select("cliente_id", "marca"), "cliente_id").join(on_shelf, "sku")
-            .filter(F.col("marca") == F.col("_marca")))
-    counts = mine.groupBy("cliente_id").agg(F.count("*").alias("excluidos"))
-    # Place p is part of the gapless run when p of the customer's SKUs sit at or before it.
-    taken = row_numbers(mine.select("cliente_id", "sku", "estante"), ["cliente_id"], "estante", "sku",
-                        "_k", descending=False)
-    run = taken.filter(F.col("estante") == F.col("_k")).groupBy("cliente_id").agg(
-        F.count("*").alias("_corrida"))
-    wanted = (preferred.join(counts, "cliente_id", "left").join(run, "cliente_id", "left")
+    on_shelf = places.select("sku", "marca", "estante")
+    mine = (bought.join(preferred.select("cliente_id", "marca"), "cliente_id")
+            .join(on_shelf, ["sku", "marca"]).select("cliente_id", "sku", "estante"))
+    # Place p closes a gapless run when exactly p of the customer's SKUs sit at or before it.
+    counted = running_totals(mine, ["cliente_id"], "estante", {"_q": F.lit(1)})
+    taken = counted.groupBy("cliente_id").agg(
+        F.max("_q_total").alias("excluidos"), F.count_if(F.col("estante") == F.col("_q_ate")).alias("_corrida"))
+    wanted = (preferred.join(taken, "cliente_id", "left")
               .select("cliente_id", "marca", F.coalesce("excluidos", F.lit(0)).alias("excluidos"),
                       (F.coalesce("_corrida", F.lit(0)) + 1).alias("estante")))
-    picks = places.select("marca", "estante", "sku", "nome", "saldo", F.col("estante_n"))
-    return (wanted.join(picks, ["marca", "estante"])
+    return (wanted.join(places, ["marca", "estante"])
             .select("cliente_id", "marca", "sku", "nome", "saldo",
                     (F.col("estante_n") - F.col("excluidos")).alias("candidatos")))
 
@@ -99,6 +95,3 @@ def preferred_brand(fact: DataFrame, customers: DataFrame, as_of: str | date,
 def big_customer_threshold(features: DataFrame, q: float = 0.75, accuracy: int = 10_000) -> DataFrame:
     return features.agg(F.percentile_approx("valor_total", q, accuracy).alias("limite"))
 
-
-def snapshot_on(as_of: str | date):
-    return F.lit(as_date(as_of))

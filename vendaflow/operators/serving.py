@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendaflow.functions.dates import as_date, date_window, days_before
+from vendaflow.functions.dates import date_window, days_before
 from vendaflow.operators.gold import ratio
 from vendaflow.operators.ranking import LOOKBACK_DAYS, last_purchase, latest_stock, ranked_brands
 
@@ -233,6 +233,3 @@ def most_late_customers(features: DataFrame, customers: DataFrame, k: int = LATE
             .select("razao_social", "recencia_dias", F.round("intervalo_medio_dias", 1).alias("intervalo_medio"),
                     F.round("atraso_relativo", 1).alias("atraso")))
 
-
-def month_start(as_of: str | date) -> date:
-    return as_date(as_of).replace(day=1)

@@ -48,6 +48,11 @@ def duplicate_map(customers: DataFrame) -> DataFrame:
             .select("cliente_id", "cliente_id_mantido", "cnpj", "qtd_registros").distinct())
 
 
+def deduplicated(raw: DataFrame) -> DataFrame:
+    """Surviving registrations without the list of discarded ids."""
+    return _survivors(typed(raw, "clientes"))
+
+
 def clientes(raw: DataFrame) -> DataFrame:
     customers = typed(raw, "clientes")
     kept = _survivors(customers)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaflow.operators.ordering import exact_quantiles
-from vendaflow.operators.ranking import LOOKBACK_DAYS, preferred_brand, recent_skus, suggestions
+from vendaflow.operators.ranking import LOOKBACK_DAYS, preferred_brand, recent_skus, shelf, suggestions
 from vendaflow.schemas import QUEUE_SCHEMA
+from vendaflow.session import materialize
 
 # Queue length, cascade limits, quantile of a big customer.
 QUEUE_SIZE, VERY_LATE, LATE, BIG_CUSTOMER_Q = 200, 3, 1.5, 0.75
@@ -83,12 +84,16 @@ def weekly_queue(scores: DataFrame, portfolio: DataFrame, reps: DataFrame, custo
                  features: DataFrame, fact: DataFrame, products: DataFrame, stock: DataFrame,
                  as_of: str | date, k: int = QUEUE_SIZE,
                  lookback_days: int | None = LOOKBACK_DAYS) -> DataFrame:
-    """Filter, limit, then number per rep; one row per customer."""
-    top = top_customers(eligible(scores, portfolio, reps, customers, features), k)
+    """Filter, limit, then number per rep; one row per customer.
+
+    The k customers and the numbered shelf feed several branches, so both are written once.
+    """
+    top = materialize(top_customers(eligible(scores, portfolio, reps, customers, features), k), "top")
+    places = materialize(shelf(products, stock), "estante")
     ids = bounded(top.select("cliente_id"), k)
     preferred = preferred_brand(fact, ids, as_of, lookback_days)
     bought = recent_skus(fact.join(ids, "cliente_id", "left_semi"), as_of)
-    picks = suggestions(preferred, products, stock, bought).select(
+    picks = suggestions(preferred, places, bought).select(
         "cliente_id", F.concat("sku", F.lit(TEXT_SUGGESTION[0]), "nome", F.lit(TEXT_SUGGESTION[1]),
                                F.col("saldo").cast("string"), F.lit(TEXT_SUGGESTION[2])).alias("_sug"))
     per_rep = Window.partitionBy("vendedor_id").orderBy(F.desc("score"), "cliente_id")

@@ -44,9 +44,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/vendaflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so that lost executors do not replay the whole plan."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "parte") -> DataFrame:
+    """Write to the shared folder and read back, so that several consumers (or many passes) share one
+    computation and a lost executor re-reads files instead of replaying the plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
