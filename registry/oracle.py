@@ -33,8 +33,14 @@ def money(s: str) -> str:
 
 
 def half_up(expr: str, digits: int) -> str:
-    """Round a double half away from zero on its decimal digits, as decimal arithmetic would."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+    """Round a double half away from zero on its shortest decimal text."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
+def quotient(num: str, den: str, factor: int, digits: int) -> str:
+    """round(num / den * factor) in decimal arithmetic, where the quotient keeps six digits."""
+    q = f"CAST(CAST(CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) AS DECIMAL(28,10)) AS DECIMAL(28,6))"
+    return f"CAST(round({q} * {factor}, {digits}) AS DOUBLE)"
 
 
 R: dict[str, str] = {}
@@ -205,12 +211,12 @@ R["d_mart_vendedor"] = f"""
 SELECT f.vendedor_id, ano, mes, count(DISTINCT pedido_id) AS pedidos_unicos, count(DISTINCT cliente_id) AS clientes_atendidos,
   CAST(sum(receita) AS DOUBLE) AS receita, CAST(sum(margem) AS DOUBLE) AS margem,
   CAST(sum(receita) - sum(margem) AS DOUBLE) AS custo, CAST(meta_mensal AS DOUBLE) AS meta_mensal,
-  CASE WHEN meta_mensal > 0 THEN {half_up('CAST(sum(receita) AS DOUBLE) / CAST(meta_mensal AS DOUBLE) * 100', 2)} END AS atingimento_pct,
-  {half_up('CAST(sum(receita) AS DOUBLE) / count(DISTINCT cliente_id)', 2)} AS ticket_por_cliente
+  CASE WHEN meta_mensal > 0 THEN {quotient('sum(receita)', 'meta_mensal', 100, 2)} END AS atingimento_pct,
+  {quotient('sum(receita)', 'count(DISTINCT cliente_id)', 1, 2)} AS ticket_por_cliente
 FROM d_fato f JOIN d_vendedores v ON f.vendedor_id = v.vendedor_id GROUP BY f.vendedor_id, ano, mes, meta_mensal"""
 R["d_sku_mes"] = f"""
 SELECT sku, categoria, marca, ano, mes, CAST(sum(quantidade_abs) AS BIGINT) AS quantidade, sum(receita) AS receita,
-  sum(margem) AS margem, {half_up('CAST(sum(margem) AS DOUBLE) / nullif(CAST(sum(receita) AS DOUBLE), 0) * 100', 2)} AS margem_pct
+  sum(margem) AS margem, {quotient('sum(margem)', 'nullif(sum(receita), 0)', 100, 2)} AS margem_pct
 FROM d_fato GROUP BY ALL"""
 R["d_abc"] = """
 SELECT sku, categoria, marca, ano, mes, quantidade, CAST(receita AS DOUBLE) AS receita, CAST(margem AS DOUBLE) AS margem,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registry.domain import AS_OF, SCORE_REF, TRAIN_REF, Domain
-from registry.oracle import REASON, half_up, sql
+from registry.oracle import REASON, half_up, quotient, sql
 from vendaflow import schemas, session
 from vendaflow.functions import text
 from vendaflow.functions.dates import date_window
@@ -835,7 +835,7 @@ def _(d):
 
 @query("margin_by_brand", f"""
 SELECT marca, count(DISTINCT sku) AS total_skus, CAST(sum(receita) AS DOUBLE) AS receita_total,
-  {half_up('CAST(sum(margem) AS DOUBLE) * 100 / nullif(CAST(sum(receita) AS DOUBLE), 0)', 2)} AS margem_pct
+  {quotient('sum(margem) * 100', 'nullif(sum(receita), 0)', 1, 2)} AS margem_pct
 FROM d_fato WHERE NOT devolucao GROUP BY marca""")
 def _(d):
     return serving.margin_by_brand(d.fato)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vendaflow.functions.dates import as_date
@@ -15,9 +15,9 @@ PEAK_MONTHS = (4, 6, 10)
 ABC_A, ABC_B = 0.80, 0.95
 
 
-def ratio(num, den):
-    """Division that yields NULL on a zero denominator."""
-    return num / F.nullif(den, F.lit(0).cast("double"))
+def ratio(num: Column, den: Column) -> Column:
+    """Division that yields NULL on a zero denominator; decimals stay decimal."""
+    return num / F.nullif(den, F.lit(0))
 
 
 def dim_cliente(customers: DataFrame, orders: DataFrame, lines: DataFrame, as_of: str | date) -> DataFrame:
@@ -110,14 +110,13 @@ def mart_vendas_por_vendedor(fact: DataFrame, reps: DataFrame) -> DataFrame:
                .agg(F.countDistinct("pedido_id").alias("pedidos_unicos"),
                     F.countDistinct("cliente_id").alias("clientes_atendidos"),
                     F.sum("receita").alias("receita"), F.sum("margem").alias("margem")))
-    r, meta = F.col("receita").cast("double"), F.col("meta_mensal").cast("double")
+    r, meta = F.col("receita"), F.col("meta_mensal")
     return (monthly.join(reps.select("vendedor_id", "meta_mensal"), "vendedor_id")
             .select("vendedor_id", "ano", "mes", "pedidos_unicos", "clientes_atendidos",
                     F.round("receita", 2).alias("receita"), F.round("margem", 2).alias("margem"),
                     F.round(F.col("receita") - F.col("margem"), 2).alias("custo"), "meta_mensal",
                     F.when(meta > 0, F.round(r / meta * 100, 2)).alias("atingimento_pct"),
-                    F.round(ratio(r, F.col("clientes_atendidos").cast("double")), 2)
-                    .alias("ticket_por_cliente")))
+                    F.round(ratio(r, F.col("clientes_atendidos")), 2).alias("ticket_por_cliente")))
 
 
 def sku_month(fact: DataFrame) -> DataFrame:
@@ -125,8 +124,7 @@ def sku_month(fact: DataFrame) -> DataFrame:
             .agg(F.sum("quantidade_abs").alias("quantidade"),
                  F.round(F.sum("receita"), 2).alias("receita"),
                  F.round(F.sum("margem"), 2).alias("margem"))
-            .withColumn("margem_pct", F.round(ratio(F.col("margem").cast("double"),
-                                                    F.col("receita").cast("double")) * 100, 2)))
+            .withColumn("margem_pct", F.round(ratio(F.col("margem"), F.col("receita")) * 100, 2)))
 
 
 def mart_produto_performance(fact: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vendaflow.operators.metrics import FOLDS, lift_at_k, rank_auc, shuffle_key, stratified_split
 from vendaflow.operators.ordering import row_numbers
 from vendaflow.schemas import FEATURES, LABEL
+from vendaflow.session import materialize
 
 # Boosting parameters and acceptance limits.
 ITERATIONS, LEARNING_RATE, DEPTH, MIN_LEAF, SEED = 150, 0.1, 5, 10, 42
@@ -55,8 +56,7 @@ def imputer() -> Imputer:
 def _imputable(df: DataFrame) -> DataFrame:
     """A column without a single value has no mean; give it zeros so that the imputer accepts it."""
     known = df.agg(*[F.count(c).alias(c) for c in NULLABLE]).first()
-    return df.withColumns({c: F.lit(0.0) for c in NULLABLE if known[c] == 0} or {})\
-        if any(known[c] == 0 for c in NULLABLE) else df
+    return df.withColumns({c: F.lit(0.0) if known[c] == 0 else F.col(c) for c in NULLABLE})
 
 
 def impute(df: DataFrame) -> DataFrame:
@@ -80,16 +80,22 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
             .select(*df.columns, "score"))
 
 
-def out_of_fold(train: DataFrame, iterations: int = ITERATIONS, folds: int = FOLDS,
-                parallel: int = FOLDS) -> DataFrame:
+def _fit_many(jobs: list, parallel: int) -> list:
+    """Run independent fits from a few driver threads; Spark schedules their stages side by side."""
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
+def out_of_fold(train: DataFrame, iterations: int = ITERATIONS, folds: int = FOLDS) -> DataFrame:
     """Every row scored by a model that never saw its fold; `train` carries the `fold` column."""
-    def one(i: int) -> DataFrame:
-        model = fit(train.filter(F.col("fold") != i), iterations)
-        return predict(model, train.filter(F.col("fold") == i))
+    models = _fit_many([partial(fit, train.filter(F.col("fold") != i), iterations)
+                        for i in range(folds)], folds)
+    return _held_out(models, train)
 
-    with ThreadPoolExecutor(parallel) as pool:
-        parts = list(pool.map(one, range(folds)))
-    return reduce(DataFrame.unionByName, parts)
+
+def _held_out(models: list[PipelineModel], train: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [predict(m, train.filter(F.col("fold") == i))
+                                          for i, m in enumerate(models)])
 
 
 def permutation_importance(model: PipelineModel, data: DataFrame, repeats: int = PERMUTATIONS,
@@ -190,10 +196,12 @@ def evaluate(train: DataFrame, baselines: DataFrame, iterations: int = ITERATION
     on the other 75 % only.
     """
     split = train if "fold" in train.columns else stratified_split(train)
-    oof = out_of_fold(split, iterations)
+    *models, held = _fit_many(
+        [partial(fit, split.filter(F.col("fold") != i), iterations) for i in range(FOLDS)]
+        + [partial(fit, split.filter(~F.col("holdout")), iterations)], FOLDS + 1)
+    oof = materialize(_held_out(models, split), "oof")
+    holdout = materialize(predict(held, split.filter("holdout")), "holdout")
     lift = lift_at_k(oof, k=TOP_K).first()
-    held = fit(split.filter(~F.col("holdout")), iterations)
-    holdout = predict(held, split.filter("holdout"))
     top = None
     if importance:
         top = permutation_importance(held, split.filter("holdout")).first()["feature"]

@@ -211,7 +211,7 @@ def margin_by_brand(fact: DataFrame) -> DataFrame:
                                                      F.sum("margem").alias("margem"))
     return (per_sku.groupBy("marca")
             .agg(F.count("sku").alias("total_skus"), F.sum("receita").alias("receita_total"),
-                 F.round(_margin_pct(), 2).alias("margem_pct"))
+                 F.round(ratio(F.sum("margem") * 100, F.sum("receita")), 2).alias("margem_pct"))
             .orderBy(F.desc("receita_total"), "marca"))
 
 

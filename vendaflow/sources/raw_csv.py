@@ -27,10 +27,10 @@ def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.csv(raw_path(root, table), header=True, schema=raw_schema(table))
 
 
-def with_source(df: DataFrame) -> DataFrame:
-    """Ingest time and file name."""
+def with_source(df: DataFrame, table: str) -> DataFrame:
+    """Ingest time and the name of the extract."""
     return df.withColumns({"_ingerido_em": F.current_timestamp(),
-                           "_arquivo_origem": F.col("_metadata.file_name")})
+                           "_arquivo_origem": F.lit(RAW_TABLES[table][1])})
 
 
 def _present(spark: SparkSession, path: str) -> bool:

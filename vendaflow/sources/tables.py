@@ -24,31 +24,33 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("linhas")), seen
 
 
-def overwrite(df: DataFrame, table: str, comment: str | None = None) -> int:
+def _clustered(df: DataFrame, keys: list[str], files_per_key: int) -> DataFrame:
+    """Cluster rows by the partition keys so that a partition gets few files; a partition too large
+    for one task is spread over `files_per_key` of them by row hash."""
+    others = [c for c in df.columns if c not in keys]
+    slot = F.pmod(F.xxhash64(*others), F.lit(files_per_key))
+    return df.repartition(*keys, slot).select(*others, *keys)
+
+
+def overwrite(df: DataFrame, table: str, comment: str | None = None,
+              partition_by: list[str] | None = None, files_per_key: int = 8) -> int:
     """Full refresh; returns the rows written without a second scan."""
-    watched, seen = _counted(df)
-    watched.write.mode("overwrite").format("parquet").saveAsTable(table)
+    watched, seen = _counted(_clustered(df, partition_by, files_per_key) if partition_by else df)
+    writer = watched.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
     if comment:
         text = comment.replace("'", "''")
         df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{text}'")
     return int(seen.get["linhas"])
 
 
-def overwrite_partitions(df: DataFrame, table: str, keys: list[str], files_per_key: int = 1) -> int:
-    """Partitioned refresh that replaces only the partitions present in `df`.
-
-    Rows are clustered by the keys first, so a partition gets few files. `files_per_key` spreads a
-    partition over several tasks by row hash, for partitions too large for one.
-    """
-    spark = df.sparkSession
-    others = [c for c in df.columns if c not in keys]
-    slot = F.pmod(F.xxhash64(*others), F.lit(files_per_key))
-    watched, seen = _counted(df.repartition(*keys, slot).select(*others, *keys))
-    if spark.catalog.tableExists(table):
-        (watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .insertInto(table))
-    else:
-        watched.write.partitionBy(*keys).format("parquet").saveAsTable(table)
+def overwrite_partitions(df: DataFrame, table: str, keys: list[str], files_per_key: int = 8) -> int:
+    """Refresh that replaces only the partitions present in `df`; the table must exist."""
+    watched, seen = _counted(_clustered(df, keys, files_per_key))
+    watched.select(*df.sparkSession.table(table).columns).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").insertInto(table)
     return int(seen.get["linhas"])
 
 
