@@ -58,14 +58,19 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def reason(threshold: Column) -> Column:
-    """First matching branch wins, rarest first."""
+    """First matching branch wins, rarest first.
+
+    Lateness is only quoted for customers with a known interval: after a single order it is the
+    ceiling value by definition, and a text built from the missing interval would be NULL.
+    """
+    rhythm = F.col("intervalo_medio_dias").isNotNull()
     a, b, c = TEXT_VERY_LATE
     very_late = F.concat(F.lit(a), F.format_number("intervalo_medio_dias", 0), F.lit(b),
                          F.format_number("recencia_dias", 0), F.lit(c))
     late = F.concat(F.lit(TEXT_LATE[0]), F.format_number("atraso_relativo", 1), F.lit(TEXT_LATE[1]))
     big = F.concat(F.lit(TEXT_BIG[0]), F.format_number("valor_total", 2), F.lit(TEXT_BIG[1]))
-    return (F.when(F.col("atraso_relativo") > VERY_LATE, very_late)
-            .when(F.col("atraso_relativo") > LATE, late)
+    return (F.when(rhythm & (F.col("atraso_relativo") > VERY_LATE), very_late)
+            .when(rhythm & (F.col("atraso_relativo") > LATE), late)
             .when(F.col("comprou_lancamento") == 1, F.lit(TEXT_LAUNCH))
             .when(F.col("valor_total") >= threshold, big)
             .otherwise(F.lit(TEXT_STEADY)))
