@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vendaflow.operators import features, gold, ranking, silver, weekly_queue
 from vendaflow.operators.metrics import score_bands
-from vendaflow.session import materialize
+from vendaflow.session import materialize, tune
 
 # Cut-offs inside the date range of the benchmark orders.
 TRAIN_REF, SCORE_REF = "2001-07-01", "2001-08-01"
@@ -51,7 +51,7 @@ _STAGES = ("array('Prospecção', 'Qualificação', 'Proposta enviada', 'Negocia
 
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self.spark, self.dir = tune(spark), sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
@@ -272,13 +272,12 @@ class Domain:
     def mart_vendedor(self) -> DataFrame:
         return gold.mart_vendas_por_vendedor(self.fato, self.vendedores)
 
-    def features(self, ref: str = SCORE_REF, fact: DataFrame | None = None) -> DataFrame:
-        return features.feature_table(self.fato if fact is None else fact, self.oportunidades, self.visitas,
-                                      self.produtos, ref)
+    def features(self, ref: str = SCORE_REF) -> DataFrame:
+        return features.feature_table(self.saved_fact, self.oportunidades, self.visitas, self.produtos, ref)
 
     @cached_property
     def training(self) -> DataFrame:
-        return features.training_table(self.features(TRAIN_REF), self.fato, TRAIN_REF)
+        return features.training_table(self.features(TRAIN_REF), self.saved_fact, TRAIN_REF)
 
     @cached_property
     def rule_scores(self) -> DataFrame:

@@ -356,7 +356,8 @@ def _(d):
 SELECT sku, ano, mes, CAST(receita AS DOUBLE) AS receita,
   row_number() OVER (PARTITION BY ano, mes ORDER BY receita DESC, md5(sku), sku) AS posicao FROM d_sku_mes""")
 def _(d):
-    return (row_numbers(gold.sku_month(d.fato), ["ano", "mes"], "receita", "sku", "posicao")
+    monthly = session.materialize(gold.sku_month(d.fato), "sku_mes")
+    return (row_numbers(monthly, ["ano", "mes"], "receita", "sku", "posicao")
             .select("sku", "ano", "mes", "receita", "posicao"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vendaflow.functions.dates import as_date
 from vendaflow.operators.ordering import join_whole, running_totals
+from vendaflow.session import materialize
 
 # Peak months of the trade, ABC limits.
 PEAK_MONTHS = (4, 6, 10)
@@ -78,8 +79,10 @@ def calendar_spanning(df: DataFrame, column: str) -> DataFrame:
 def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Order-line fact: cancelled orders out, returns in with their negative sign.
 
-    The joins carry no hints. Products and customers are broadcast only when their measured size
-    allows it; otherwise adaptive execution splits the partitions of a hot order, SKU or customer.
+    Customer attributes are joined to orders, which are far fewer than lines, so lines are shuffled
+    once (by order). No join is hinted: products and customers are broadcast only when their
+    measured size allows it; otherwise adaptive execution splits the partitions of a hot order,
+    SKU or customer.
     """
     o = (orders.filter(~F.col("cancelado"))
          .select("pedido_id", "cliente_id", "data_pedido", "ano", "mes", "canal", "vendedor_id"))
@@ -91,7 +94,7 @@ def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, custom
     c = customers.select("cliente_id", "razao_social", "segmento", "cidade")
     receita = F.col("quantidade") * F.col("preco_praticado")
     custo = F.col("quantidade_abs") * F.col("custo_unitario")
-    return (i.join(p, "sku").join(o, "pedido_id").join(c, "cliente_id", "left")
+    return (i.join(o.join(c, "cliente_id", "left"), "pedido_id").join(p, "sku")
             .select("pedido_id", "item_id", "cliente_id", "razao_social", "segmento", "cidade",
                     "data_pedido", "ano", "mes", "canal", "sku", "categoria", "marca",
                     "nota_olfativa", "vendedor_id", "quantidade", "quantidade_abs",
@@ -128,8 +131,12 @@ def sku_month(fact: DataFrame) -> DataFrame:
 
 
 def mart_produto_performance(fact: DataFrame) -> DataFrame:
-    """SKU and month with its ABC class by accumulated revenue; tied SKUs share the running total."""
-    base = sku_month(fact)
+    """SKU and month with its ABC class by accumulated revenue; tied SKUs share the running total.
+
+    The SKU-month rollup feeds both the curve and the result, so it is written once; otherwise the
+    fact would be scanned for each.
+    """
+    base = materialize(sku_month(fact), "sku_mes")
     curve = running_totals(base, ["ano", "mes"], "receita", {"_r": F.col("receita")}, descending=True)
     share = ratio(F.col("_r_ate").cast("double"), F.col("_r_total").cast("double"))
     classed = curve.select(

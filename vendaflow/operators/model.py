@@ -109,8 +109,8 @@ def permutation_importance(model: PipelineModel, data: DataFrame, repeats: int =
     rows = data.select(key, LABEL, *FEATURES)
     pairs = []
     for r in range(repeats):
-        order = row_numbers(rows.withColumn("_h", shuffle_key(key, seed + r)), [], "_h", key, "_r",
-                            descending=False)
+        order = materialize(row_numbers(rows.withColumn("_h", shuffle_key(key, seed + r)), [], "_h", key,
+                                        "_r", descending=False), "ordem")
         donor = order.select((F.col("_r") % F.col("_r_n") + 1).alias("_r"),
                              F.struct(*FEATURES).alias("_doador"))
         pairs.append(order.join(donor, "_r").select(F.lit(r).alias("rodada"), LABEL, *FEATURES, "_doador"))

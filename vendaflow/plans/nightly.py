@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vendaflow import schemas
 from vendaflow.functions.dates import as_date
 from vendaflow.operators import (features, gold, metrics, model, quality, silver, weekly_queue)
-from vendaflow.session import materialize, shared_dir
+from vendaflow.session import materialize, shared_dir, tune
 from vendaflow.sources import raw_csv, tables
 
 
@@ -42,7 +42,7 @@ class Settings:
 
 class Nightly:
     def __init__(self, spark: SparkSession, settings: Settings):
-        self.spark, self.s = spark, settings
+        self.spark, self.s = tune(spark), settings
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.s.prefix}{layer}.{table}"

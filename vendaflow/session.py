@@ -10,6 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+# Runtime settings the operators rely on: joins carry no salt of their own, so a hot order, SKU,
+# customer or rep is split by adaptive execution, also where that costs an extra shuffle.
+SKEW_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the skew settings to an existing session."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "vendaflow", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution, skew splitting and UTC dates; `conf` overrides."""
     builder = SparkSession.builder.appName(app)
@@ -17,8 +33,7 @@ def build_session(app: str = "vendaflow", master: str | None = None, **conf: str
         builder = builder.master(master)
     defaults = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
+        **SKEW_SETTINGS,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
