@@ -102,7 +102,7 @@ _OP7 = rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
      b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
      windows AS (
-       SELECT item_id, least(10, len(w)) AS n, unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), i -> array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS gram
+       SELECT item_id, least(10, len(w)) AS n, unnest(list_transform(range(1, len(w) - least(10, len(w)) + 2), lambda i: array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS gram
        FROM b WHERE len(w) > 0),
      lengths AS (SELECT DISTINCT n FROM windows),
      starts AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lengths WHERE len(w) >= n),
