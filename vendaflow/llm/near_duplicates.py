@@ -17,8 +17,9 @@ from vendaflow.session import materialize
 SHINGLE = 5
 #: Retained values per document, values that feed inverted lists, members of a list that one task compares at once.
 KEEP, LISTED, BLOCK = 128, 16, 256
-#: Share of the deviation of the sketch estimate that a link may fall below the limit: about 4.5 standard errors.
+#: Standard errors of the sketch estimate (values drawn from the union without replacement) that a link may fall below the limit.
 SLACK = 4.5
+_STEP = np.uint64(0x9FB21C651E98DF25)
 _BYTES = 1 << 20
 _SIG = "id {kind}, n long, d1 long, d2 long, keys array<long>"
 _PAD = np.uint64(2**64 - 1)
@@ -38,7 +39,7 @@ def _signatures(batches):
             listed = np.minimum(n, LISTED)
             where = np.repeat(at, listed) + np.arange(listed.sum()) - np.repeat(np.cumsum(listed) - listed, listed)
             before = np.where(where == np.repeat(at, listed), np.uint64(1), values[np.maximum(where - 1, 0)] if len(values) else np.uint64(0))
-            key = mix(before * np.uint64(0x9FB21C651E98DF25) + values[where]) if len(where) else np.zeros(0, np.uint64)
+            key = mix(before * _STEP + values[where]) if len(where) else np.zeros(0, np.uint64)
             parts.append((n, *digests, key.view(np.int64), listed))
         if parts:
             n, d1, d2, key, listed = (np.concatenate([p[i] for p in parts]) for i in range(5))
@@ -72,11 +73,27 @@ def _estimates(sketch: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.nda
 
 def _comparer(percent: int, by_component: bool):
     limit = percent / 100
-    cut = limit - SLACK * math.sqrt(limit * (1 - limit) / KEEP)
 
-    def compare(ids, n, block, component, values, lengths):
-        """Passing pairs (i, j, common, union, exact) of one list or pair of blocks."""
-        m = len(ids)
+    def least(small, large):
+        """Lowest estimate with which sets of these sizes may still be linked."""
+        union = (small + large) / (1 + limit)
+        return limit - SLACK * math.sqrt(limit * (1 - limit) / KEEP) * np.sqrt(np.clip((union - KEEP) / np.maximum(union - 1, 1), 0, 1))
+
+    def first_common(padded, lengths, i, j, key):
+        """Whether this list is the first, by key, of those that hold both."""
+        heads = padded[:, :LISTED]
+        before = np.concatenate([np.ones((len(heads), 1), np.uint64), heads[:, :-1]], 1)
+        keys = np.where(np.arange(LISTED) < lengths[:, None], mix(before * _STEP + heads), np.uint64(0))
+        out = np.zeros(len(i), bool)
+        for s in range(0, len(i), 4096):
+            a, b = keys[i[s:s + 4096]], keys[j[s:s + 4096]]
+            both = (a[:, :, None] == b[:, None, :]).any(2) & (a != 0)
+            out[s:s + 4096] = np.where(both, a, _PAD).min(1) == key
+        return out
+
+    def compare(n, block, component, key, values, lengths):
+        """Passing pairs (i, j, common, union, exact) of one list or pair of blocks, each in the first of its lists only."""
+        m = len(n)
         at = np.cumsum(lengths) - lengths
         _, codes = np.unique(values, return_inverse=True)
         marks = np.zeros((m, codes.max() + 1), np.float32)
@@ -90,7 +107,7 @@ def _comparer(percent: int, by_component: bool):
             left = right = np.arange(m)
             shared = np.triu(marks @ marks.T, 1)
             small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
-        maybe = (100 * small >= percent * large) & (shared >= cut * np.minimum(KEEP, large) - 1e-6) & (shared > 0)
+        maybe = (100 * small >= percent * large) & (shared >= least(small, large) * np.minimum(KEEP, large) - 1e-6) & (shared > 0)
         if by_component:
             maybe &= component[left][:, None] != component[right][None, :]
         i, j = np.nonzero(maybe)
@@ -99,10 +116,14 @@ def _comparer(percent: int, by_component: bool):
             return i, j, i, i, i
         padded = np.full((m, KEEP), _PAD)
         padded[np.repeat(np.arange(m), lengths), np.arange(len(values)) - np.repeat(at, lengths)] = values
+        mine = first_common(padded, lengths, i, j, key)
+        i, j = i[mine], j[mine]
+        if not len(i):
+            return i, j, i, i, i
         parts = [_estimates(padded, i[s:s + 4096], j[s:s + 4096]) for s in range(0, len(i), 4096)]
         common, union = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         exact = (n[i] <= KEEP) & (n[j] <= KEEP)
-        ok = np.where(exact, 100 * common >= percent * union, common >= cut * union)
+        ok = np.where(exact, 100 * common >= percent * union, common >= least(n[i], n[j]) * union)
         return i[ok], j[ok], common[ok], union[ok], exact[ok]
 
     def forest(i, j, weight, m):
@@ -125,7 +146,7 @@ def _comparer(percent: int, by_component: bool):
 
     def run(batches):
         for table in whole_groups(batches, "g", 512):
-            ids, n, block = (table[c].to_numpy() for c in ("id", "n", "block"))
+            ids, n, block, key = (table[c].to_numpy() for c in ("id", "n", "block", "key"))
             component = table["component"].to_numpy() if by_component else ids
             data, offsets = text_bytes(column(table, "sketch"))
             values = np.frombuffer(data.tobytes(), np.uint64)
@@ -135,7 +156,7 @@ def _comparer(percent: int, by_component: bool):
             for a, b in zip(edges, edges[1:]):
                 if b - a < 2 or (by_component and (component[a:b] == component[a]).all()):
                     continue
-                i, j, common, union, exact = compare(ids[a:b], n[a:b], block[a:b], component[a:b], values[ends[a]:ends[b]], lengths[a:b])
+                i, j, common, union, exact = compare(n[a:b], block[a:b], component[a:b], key[a:a + 1].view(np.uint64)[0], values[ends[a]:ends[b]], lengths[a:b])
                 if len(i) and not by_component:
                     kept = forest(i, j, common / union, b - a)
                     i, j, exact = i[kept], j[kept], exact[kept]
@@ -168,8 +189,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     A document keeps the k smallest hashes of its set. Documents with equal sets form a class (a combine before the shuffle,
     so huge groups of copies are cheap) and only its smallest id goes on. Inverted lists hold each class under every run of two
     neighbouring values (the first: from the start) among its 16 smallest; two sets at the limit have no such run in common with
-    a probability of about 2e-6. Long lists are cut into blocks, and tasks compare blocks: common values, then the estimate from
-    the union's k smallest, which may fall 4.5 standard errors below the limit. Sets of at most k values are decided there;
+    a probability of about 2e-6. Long lists are cut into blocks, and tasks compare blocks: common values, then, in the
+    first list that holds both, the estimate from the union's k smallest, which may fall 4.5 standard errors below the limit. Sets of at most k values are decided there;
     other pairs are verified on full sets. First only a heaviest spanning forest of each list is verified; then all remaining
     pairs that pass and lie in different components. So no link that would join components is lost, and a group's links are
     never written out in full.
@@ -195,7 +216,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                        .select("id", "n", "sketch", "full"), "conjuntos")
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     members = (entries.select("rep", "key", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-               .select(F.col("rep").alias("id"), "block", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("g"))
+               .select(F.col("rep").alias("id"), "block", "key", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("g"))
                .join(sets.select("id", "n", "sketch"), "id"))
 
     def pairs(rows: DataFrame, by_component: bool) -> DataFrame:
