@@ -106,8 +106,9 @@ def _phrases(length: int):
                 body = [raw[x:y + length] if s else None for x, y, s in zip(lo, hi, sent)]
                 salt = (content % salts.astype(np.uint64)).astype(np.int64)
                 keep = again | sent
+                group = mix(key.view(np.uint64) + np.where(sent, salt.astype(np.uint64), content + lo.astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mix(key.view(np.uint64) + salt.astype(np.uint64)).view(np.int64)), pa.array(key), batch.column(0).take(pa.array(a + row)),
+                    [pa.array(group.view(np.int64)), pa.array(key), batch.column(0).take(pa.array(a + row)),
                      pa.array(lo - ends[row]), pa.array(hi - ends[row]), pa.array((at - lo).astype(np.int32)), pa.array(salts > 1),
                      pa.array(again), pa.array(body, pa.binary())],
                     ["g", "key", "digest", "lo", "hi", "lead", "spread", "again", "body"]).filter(pa.array(keep))
