@@ -13,7 +13,7 @@ from vendaflow.llm.decontamination import find_benchmark_words
 from vendaflow.llm.near_duplicates import near_duplicates
 from vendaflow.llm.packing import pack
 from vendaflow.llm.pii import fit_pii, redact
-from vendaflow.llm.queries import reachable, table, training_labels
+from vendaflow.llm.queries import prepare, table, training_labels
 from vendaflow.llm.tokens import tokenizer_path
 from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
 from vendaflow.session import materialize
@@ -33,7 +33,7 @@ def _keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near-duplicates."""
-    reachable(spark)
+    prepare(spark)
     return _keep_rows(docs, materialize(near_duplicates(docs).where("kept").select("doc_id"), "mantidos"))
 
 
@@ -46,14 +46,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data replaced by its kind, and their new lengths."""
-    reachable(spark)
+    prepare(spark)
     clean = redact(docs, fit_pii(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document stands in the training sequences."""
-    reachable(spark)
+    prepare(spark)
     return pack(docs, tokenizer_path())
 
 

@@ -23,10 +23,14 @@ from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
 from vendaflow.session import scratch_path
 
 SHARDS = 40
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
-def reachable(spark: SparkSession) -> None:
-    """Let the Python workers import this library from where the driver did, unless it is installed there."""
+def prepare(spark: SparkSession) -> None:
+    """Let the Python workers import this library from where the driver did, and bound the bytes of an Arrow batch, which else
+    holds 10,000 rows of any length, unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_CONF, "0") == "0":
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(":")
     if root not in paths:
@@ -34,7 +38,7 @@ def reachable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reachable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

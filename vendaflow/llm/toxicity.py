@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,15 +222,17 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     """Columns `keep` with score (0 to 1) and predicted (1 from 0.5 on) of every whole text.
 
     One pass without a shuffle. Null text counts as empty and gets the score of a text without any vote; every row stays."""
+    given = docs.select(*keep) if text_col in keep else docs.select(*keep, text_col)
+    at = given.columns.index(text_col)
+
     def run(batches):
         for batch in batches:
-            data, offsets = text_bytes(batch.column(batch.num_columns - 1))
+            data, offsets = text_bytes(pc.fill_null(batch.column(at), ""))
             scores = [model.score(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]) for a, b in slices(offsets, _STEP_BYTES)]
             score = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(len(keep))], pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                 [*keep, "score", "predicted"])
 
-    given = docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), "score double", "predicted int"])
     return given.mapInArrow(run, schema)
