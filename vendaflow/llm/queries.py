@@ -29,7 +29,7 @@ BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 def prepare(spark: SparkSession) -> None:
     """Let the Python workers import this library from where the driver did, and bound the bytes of an Arrow batch, which else
     holds 10,000 rows of any length, unless the session has a bound of its own."""
-    if spark.conf.get(BATCH_CONF, "0") == "0":
+    if spark.conf.get(BATCH_CONF, "1b") == "1b":
         spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(":")
