@@ -191,8 +191,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     neighbouring values (the first: from the start) among its 16 smallest; two sets at the limit have no such run in common with
     a probability of about 2e-6. Long lists are cut into blocks, and tasks compare blocks: common values, then, in the
     first list that holds both, the estimate from the union's k smallest, which may fall 4.5 standard errors below the limit. Sets of at most k values are decided there;
-    other pairs are verified on full sets. First only a heaviest spanning forest of each list is verified; then all remaining
-    pairs that pass and lie in different components. So no link that would join components is lost, and a group's links are
+    other pairs are verified on full sets. First only a heaviest spanning forest of each list is verified; then, in lists that
+    still hold several components, all pairs that pass and lie in different ones. So no link that would join components is lost, and a group's links are
     never written out in full.
 
     A document without words has an empty set and links with nothing, nor does one with a null id (component null, kept
@@ -215,9 +215,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     sets = materialize(texts.mapInArrow(_sets, "id long, want long, sketch binary, full binary, n long").where("n = want")
                        .select("id", "n", "sketch", "full"), "conjuntos")
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    members = (entries.select("rep", "key", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-               .select(F.col("rep").alias("id"), "block", "key", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("g"))
-               .join(sets.select("id", "n", "sketch"), "id"))
+
+    def members(rows: DataFrame) -> DataFrame:
+        """List entries with their sketches, once for every block that their own block meets."""
+        return (rows.select("rep", "key", "component", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+                .select(F.col("rep").alias("id"), "block", "key", "component",
+                        F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("g"))
+                .join(sets.select("id", "n", "sketch"), "id"))
 
     def pairs(rows: DataFrame, by_component: bool) -> DataFrame:
         dealt = rows.repartition(parts, "g").sortWithinPartitions("g", "id")
@@ -233,11 +237,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         checked = with_both.mapInArrow(_verifier(percent), "a long, b long")
         return materialize(checked.unionAll(found.where("exact").select("a", "b")), "ligacoes")
 
-    first = connected_components(verified(pairs(members, False)))
-    first = materialize(first, "componentes")
-    labelled = members.join(first.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    rest = verified(pairs(labelled, True))
+    alone = entries.withColumn("component", F.col("rep"))
+    first = materialize(connected_components(verified(pairs(members(alone), False))), "componentes")
+    labelled = materialize(entries.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep")), "entradas")
+    mixed = materialize(labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                        .where("low < high").select("key"), "mistas")
+    rest = verified(pairs(members(labelled.join(mixed, "key")), True))
     final = materialize(connected_components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(rest)), "componentes")
     rooted = materialize(classes.select(*content, "rep").join(final.select(F.col("node").alias("rep"), "component"), "rep", "left")
                          .select(*content, F.coalesce("component", "rep").alias("component")), "raizes")
