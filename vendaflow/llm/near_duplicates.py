@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from vendaflow.llm.arrow import column, lists, runs, slices, text_bytes, whole_groups
 from vendaflow.llm.components import connected_components
 from vendaflow.llm.hashing import mix, shingle_sets
+from vendaflow.llm.tables import bucketed
 from vendaflow.session import materialize
 
 SHINGLE = 5
 #: Retained values per document, values that feed inverted lists, members of a list that one task compares at once.
-KEEP, LISTED, BLOCK = 128, 16, 256
+KEEP, LISTED, BLOCK = 128, 16, 512
 #: Standard errors of the sketch estimate (values drawn from the union without replacement) that a link may fall below the limit.
 SLACK = 4.5
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -95,9 +96,12 @@ def _comparer(percent: int, by_component: bool):
         """Passing pairs (i, j, common, union, exact) of one list or pair of blocks, each in the first of its lists only."""
         m = len(n)
         at = np.cumsum(lengths) - lengths
-        _, codes = np.unique(values, return_inverse=True)
-        marks = np.zeros((m, codes.max() + 1), np.float32)
-        marks[np.repeat(np.arange(m), lengths), codes] = 1
+        _, codes, often = np.unique(values, return_inverse=True, return_counts=True)
+        twice = often > 1
+        number = np.cumsum(twice) - 1
+        mine = twice[codes]
+        marks = np.zeros((m, int(twice.sum())), np.float32)
+        marks[np.repeat(np.arange(m), lengths)[mine], number[codes[mine]]] = 1
         split = block != block[0]
         if split.any():
             left, right = np.flatnonzero(~split), np.flatnonzero(split)
@@ -212,8 +216,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     wanted = entries.select("rep").distinct().join(classes.select("rep", *content), "rep").select(
         F.col("rep").alias("id"), F.col("n").alias("want"))
     texts = given.join(wanted, "id").select("id", "want", "text")
-    sets = materialize(texts.mapInArrow(_sets, "id long, want long, sketch binary, full binary, n long").where("n = want")
-                       .select("id", "n", "sketch", "full"), "conjuntos")
+    sets = bucketed(texts.mapInArrow(_sets, "id long, want long, sketch binary, full binary, n long").where("n = want")
+                    .select("id", "n", "sketch", "full"), "id", "conjuntos")
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
 
     def members(rows: DataFrame) -> DataFrame:
