@@ -215,7 +215,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     entries = materialize(listed.join(multiple, "key").select("rep", "key", "blocks"), "entradas")
     wanted = entries.select("rep").distinct().join(classes.select("rep", *content), "rep").select(
         F.col("rep").alias("id"), F.col("n").alias("want"))
-    texts = given.join(wanted, "id").select("id", "want", "text")
+    # the ids grow with the corpus: never a broadcast, the same plan at every size
+    texts = given.join(wanted.hint("merge"), "id").select("id", "want", "text")
     sets = bucketed(texts.mapInArrow(_sets, "id long, want long, sketch binary, full binary, n long").where("n = want")
                     .select("id", "n", "sketch", "full"), "id", "conjuntos")
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
