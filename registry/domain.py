@@ -318,9 +318,9 @@ class Domain:
 
     @cached_property
     def top_ids(self) -> DataFrame:
-        """Ids of the queue's customers; the LIMIT bounds the broadcast."""
+        """Ids of the queue's customers, written once; Spark knows their size."""
         top = weekly_queue.top_customers(self.elegiveis).select("cliente_id")
-        return weekly_queue.bounded(materialize(top, "top"), weekly_queue.QUEUE_SIZE)
+        return materialize(top, "top")
 
     @cached_property
     def fila(self) -> DataFrame:

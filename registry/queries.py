@@ -144,9 +144,7 @@ def _(d):
 # ---- cleansing ----------------------------------------------------------------------------------
 
 @query("silver_clientes", """
-SELECT cliente_id, cnpj, razao_social, data_cadastro, ativo, segmento, cidade, uf, bairro, qtd_registros,
-  CASE WHEN qtd_registros > 1 THEN array_to_string(list_sort(list_filter(ids, lambda x: x <> cliente_id)), ',') END AS cliente_ids_duplicados
-FROM d_clientes""")
+SELECT cliente_id, cnpj, razao_social, data_cadastro, ativo, segmento, cidade, uf, bairro, qtd_registros FROM d_clientes""")
 def _(d):
     return d.clientes
 
@@ -249,6 +247,8 @@ def _(d):
 SELECT count(*) AS clientes, count(*) FILTER (cnpj LIKE '%.%') AS cnpj_pontuado,
   count(*) FILTER (cnpj <> trim(cnpj)) AS cnpj_com_espaco,
   count(*) FILTER (regexp_replace(trim(cnpj), '[^0-9]', '', 'g') LIKE '0%') AS cnpj_zero_a_esquerda,
+  count(*) FILTER (length(regexp_replace(trim(cnpj), '[^0-9]', '', 'g')) > 14) AS cnpj_longo,
+  count(*) FILTER (coalesce(regexp_replace(trim(cnpj), '[^0-9]', '', 'g'), '') = '') AS cnpj_sem_digito,
   count(*) FILTER (data_cadastro LIKE '%/%') AS data_formato_br,
   count(*) FILTER (razao_social = upper(razao_social)) AS razao_caixa_alta FROM d_clientes_raw""")
 def _(d):
@@ -772,7 +772,7 @@ def _(d):
 
 @query("top_brands", "SELECT marca, CAST(sum(receita) AS DOUBLE) AS receita FROM d_dimensoes GROUP BY marca ORDER BY sum(receita) DESC, marca LIMIT 10")
 def _(d):
-    return serving.top_brands(serving.sales_by_dimensions(d.fato))
+    return serving.top_brands(d.fato)
 
 
 _PCT = "round(CAST(sum(margem) AS DOUBLE) * 100 / nullif(CAST(sum(receita) AS DOUBLE), 0), 6)"
@@ -780,17 +780,17 @@ _PCT = "round(CAST(sum(margem) AS DOUBLE) * 100 / nullif(CAST(sum(receita) AS DO
 
 @query("margin_by_category", f"SELECT categoria, {_PCT} AS margem_pct FROM d_dimensoes GROUP BY categoria")
 def _(d):
-    return serving.margin_by_category(serving.sales_by_dimensions(d.fato))
+    return serving.margin_by_category(d.fato)
 
 
 @query("sales_by_channel", "SELECT canal, CAST(sum(receita) AS DOUBLE) AS receita FROM d_dimensoes GROUP BY canal")
 def _(d):
-    return serving.sales_by_channel(serving.sales_by_dimensions(d.fato))
+    return serving.sales_by_channel(d.fato)
 
 
 @query("top20_customers", f"SELECT razao_social, segmento, cidade, CAST(sum(receita) AS DOUBLE) AS receita, {_PCT} AS margem_pct FROM d_dimensoes GROUP BY 1, 2, 3 ORDER BY sum(receita) DESC, razao_social, segmento, cidade LIMIT 20")
 def _(d):
-    return serving.top20_customers(serving.sales_by_dimensions(d.fato))
+    return serving.top20_customers(d.fato)
 
 
 @query("revenue_since_month_start", "SELECT CAST(sum(receita) AS DOUBLE) AS receita_total FROM d_fato WHERE data_pedido >= DATE '2001-07-01' AND NOT devolucao")
@@ -892,6 +892,7 @@ def _(d):
 
 @query("constraint_violations", """
 SELECT 'clientes' AS tabela, 'cnpj_14_digitos' AS regra, count(*) FILTER (NOT length(cnpj) = 14) AS violacoes FROM d_clientes
+UNION ALL SELECT 'clientes', 'cnpj_com_digito', count(*) FILTER (cnpj = '00000000000000') FROM d_clientes
 UNION ALL SELECT 'clientes', 'data_cadastro_obrigatoria', count(*) FILTER (data_cadastro IS NULL) FROM d_clientes
 UNION ALL SELECT 'pedidos', 'data_pedido_obrigatoria', count(*) FILTER (data_pedido IS NULL) FROM d_pedidos
 UNION ALL SELECT 'pedidos', 'pedido_cancelado_zerado', count(*) FILTER (NOT (NOT cancelado OR valor_liquido = 0)) FROM d_pedidos

@@ -96,12 +96,6 @@ def test_weekly_queue(domain):
     assert serving.prioritize_portfolio(q, 1, rep).count() == 1
 
 
-def test_row_limit_of_broadcast(spark):
-    df = spark.range(5)
-    assert "broadcast" in weekly_queue.bounded(df, 5)._jdf.queryExecution().logical().toString().lower()
-    assert weekly_queue.bounded(df, 10**6) is df
-
-
 def test_shelf_numbers_only_stocked(spark):
     p = spark.createDataFrame([("a", "n", "M"), ("b", "n", "M"), ("c", "n", "M")], "sku string, nome string, marca string")
     s = spark.createDataFrame([(date(2026, 1, 1), "a", 3), (date(2026, 1, 1), "b", 0), (date(2026, 1, 1), "c", 7)],

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vendaflow import schemas
-from vendaflow.operators import silver
+from vendaflow.operators import quality, silver
 
 
 def raw(spark, table, rows):
@@ -30,7 +30,7 @@ def test_customer_text_rules(spark):
     assert got["1"].cnpj == "12345678000190" and got["1"].razao_social == "Maria Da Silva"
     assert got["2"].cnpj == "01234567000190" and got["2"].data_cadastro == date(2024, 12, 31)
     assert got["2"].ativo is False and got["1"].ativo is True
-    assert got["3"].cnpj == "12345678901234" and got["3"].data_cadastro is None and got["3"].ativo is False
+    assert got["3"].cnpj == "123456789012345" and got["3"].data_cadastro is None and got["3"].ativo is False
     assert got["4"].cnpj is None and got["4"].data_cadastro is None and got["4"].ativo is False
 
 
@@ -40,22 +40,34 @@ def test_dedup_keeps_oldest_then_smallest_text_id_and_lists_the_rest(spark):
             customer(7, same, "2024-05-01"), customer(5, "1")]
     got = {r.cliente_id: r for r in silver.clientes(raw(spark, "clientes", rows)).collect()}
     assert set(got) == {"10", "5"}
-    assert got["10"].cliente_ids_duplicados == ["7", "9"] and got["10"].qtd_registros == 3
-    assert got["5"].cliente_ids_duplicados is None
+    assert got["10"].qtd_registros == 3 and got["5"].qtd_registros == 1
 
 
 def test_null_tax_ids_form_one_group(spark):
     rows = [customer(1, None, "2024-01-02"), customer(2, None, "2024-01-01")]
-    got = silver.clientes(raw(spark, "clientes", rows)).collect()
-    assert [(r.cliente_id, r.cliente_ids_duplicados) for r in got] == [("2", ["1"])]
+    frame = raw(spark, "clientes", rows)
+    assert [(r.cliente_id, r.qtd_registros) for r in silver.clientes(frame).collect()] == [("2", 2)]
+    assert [r.cliente_id for r in silver.duplicate_map(silver.typed(frame, "clientes")).collect()] == ["1"]
+
+
+def test_long_and_digitless_tax_ids_are_reported(spark):
+    rows = [customer(1, "123456789012345", "2024-01-01"), customer(2, "123456789012346", "2024-01-02"), customer(3, "x-", "2024-01-03"),
+            customer(4, "7", "2024-01-03")]
+    frame = raw(spark, "clientes", rows)
+    kept = silver.clientes(frame)
+    assert {r.cliente_id: r.cnpj for r in kept.collect()} == {
+        "1": "123456789012345", "2": "123456789012346", "3": "0" * 14, "4": "0" * 13 + "7"}
+    profile = quality.dirt_profile(frame).first()
+    assert (profile.cnpj_longo, profile.cnpj_sem_digito) == (2, 1)
+    broken = {r.regra: r.violacoes for r in quality.constraint_violations({"clientes": kept}).collect()}
+    assert broken["cnpj_14_digitos"] == 2 and broken["cnpj_com_digito"] == 1
 
 
-def test_huge_group_stays_complete_in_the_long_form(spark, monkeypatch):
-    monkeypatch.setattr(silver, "ARRAY_GROUP_BOUND", 3)
+def test_group_is_complete_in_the_long_form(spark):
     rows = [customer(i, "1", f"2024-01-{i:02d}") for i in range(1, 9)]
     frame = raw(spark, "clientes", rows)
     kept = silver.clientes(frame).collect()
-    assert len(kept) == 1 and kept[0].cliente_ids_duplicados is None and kept[0].qtd_registros == 8
+    assert len(kept) == 1 and kept[0].qtd_registros == 8
     long = silver.duplicate_map(silver.typed(frame, "clientes")).collect()
     assert {r.cliente_id for r in long} == {str(i) for i in range(2, 9)}
     assert {r.cliente_id_mantido for r in long} == {"1"}

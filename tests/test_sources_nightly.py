@@ -131,3 +131,26 @@ def test_count_mismatch_stops_bronze(spark, landed):
     tables.overwrite(changed, "m_bronze._raw_arquivos")
     with pytest.raises(CountMismatch, match="produtos"):
         run.bronze()
+
+
+def test_a_dominant_partition_is_split_by_size(spark, tmp_path):
+    df = spark.range(200_000).selectExpr("id", "sha2(cast(id AS string), 256) AS texto", "2024 AS ano", "IF(id % 50 = 0, 2, 1) AS mes")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2m")
+    try:
+        written = tables.overwrite_path(df, str(tmp_path / "fato"), ["ano", "mes"])
+    finally:
+        spark.conf.set(key, before)
+    assert written.count() == 200_000
+    assert len(list((tmp_path / "fato" / "ano=2024" / "mes=1").glob("part-*"))) > 2
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from vendaflow.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: {})
+    with pytest.raises(RuntimeError):
+        shared_dir(SimpleNamespace(conf={}, sparkContext=context))

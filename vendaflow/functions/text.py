@@ -16,8 +16,9 @@ def mixed_date(c: Column) -> Column:
 
 
 def cnpj_digits(c: Column) -> Column:
-    """Digits only, left-padded; never passes through a number, so leading zeros survive."""
-    return F.lpad(F.regexp_replace(F.trim(c), "[^0-9]", ""), CNPJ_DIGITS, "0")
+    """Digits only, left-padded if short and never cut; not passed through a number, so leading zeros survive."""
+    digits = F.regexp_replace(F.trim(c), "[^0-9]", "")
+    return F.when(F.length(digits) < CNPJ_DIGITS, F.lpad(digits, CNPJ_DIGITS, "0")).otherwise(digits)
 
 
 def title_text(c: Column) -> Column:

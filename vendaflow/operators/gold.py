@@ -105,13 +105,15 @@ def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, custom
 def mart_vendas_por_vendedor(fact: DataFrame, reps: DataFrame) -> DataFrame:
     """Rep and month: revenue, target attainment, ticket per customer.
 
-    Lines collapse to orders before the two distinct counts, which otherwise multiply every line.
+    Lines collapse to orders, orders to customers; an order has one rep, month and customer, so counting rows of either step
+    replaces a distinct count, which would multiply the rows.
     """
     per_order = (fact.groupBy("vendedor_id", "ano", "mes", "pedido_id", "cliente_id")
                  .agg(F.sum("receita").alias("receita"), F.sum("margem").alias("margem")))
-    monthly = (per_order.groupBy("vendedor_id", "ano", "mes")
-               .agg(F.countDistinct("pedido_id").alias("pedidos_unicos"),
-                    F.countDistinct("cliente_id").alias("clientes_atendidos"),
+    per_customer = (per_order.groupBy("vendedor_id", "ano", "mes", "cliente_id")
+                    .agg(F.count("pedido_id").alias("pedidos"), F.sum("receita").alias("receita"), F.sum("margem").alias("margem")))
+    monthly = (per_customer.groupBy("vendedor_id", "ano", "mes")
+               .agg(F.sum("pedidos").alias("pedidos_unicos"), F.count("cliente_id").alias("clientes_atendidos"),
                     F.sum("receita").alias("receita"), F.sum("margem").alias("margem")))
     r, meta = F.col("receita"), F.col("meta_mensal")
     return (monthly.join(reps.select("vendedor_id", "meta_mensal"), "vendedor_id")
@@ -158,10 +160,18 @@ def mart_financeiro_recebimento(payments: DataFrame, as_of: str | date,
     if delay == "until_paid":
         end = F.coalesce("data_pagamento", end)
     fee = F.col("valor") * F.col("taxa_pct") / 100
-    return (payments.groupBy(F.year("data_vencimento").alias("ano"), F.month("data_vencimento").alias("mes"))
-            .agg(F.countDistinct("pedido_id").alias("pedidos"),
-                 F.countDistinct("pagamento_id").alias("pagamentos"),
+    late = F.datediff(end, "data_vencimento")
+    month = [F.year("data_vencimento").alias("ano"), F.month("data_vencimento").alias("mes")]
+    sums = ["valor", "valor_liquido", "fee", "late", "n"]
+    measures = [F.sum("valor").alias("valor"), F.sum("valor_liquido").alias("valor_liquido"), F.sum(fee).alias("fee"),
+                F.sum(late).alias("late"), F.count(late).alias("n")]
+    # a payment belongs to one order: counting rows of each step replaces the distinct counts
+    per_payment = payments.groupBy(*month, "pedido_id", "pagamento_id").agg(*measures)
+    per_order = per_payment.groupBy("ano", "mes", "pedido_id").agg(
+        F.count("pagamento_id").alias("pagamentos"), *[F.sum(c).alias(c) for c in sums])
+    return (per_order.groupBy("ano", "mes")
+            .agg(F.count("pedido_id").alias("pedidos"), F.sum("pagamentos").alias("pagamentos"),
                  F.round(F.sum("valor"), 2).alias("valor_a_receber"),
                  F.round(F.sum("valor_liquido"), 2).alias("recebido"),
-                 F.round(F.avg(F.datediff(end, "data_vencimento")), 1).alias("atraso_medio_dias"),
-                 F.round(F.sum(fee), 2).alias("custo_taxa")))
+                 F.round(F.sum("late") / F.sum("n"), 1).alias("atraso_medio_dias"),
+                 F.round(F.sum("fee"), 2).alias("custo_taxa")))

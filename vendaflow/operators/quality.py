@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vendaflow.functions.text import CNPJ_DIGITS
 from vendaflow.schemas import CHECKS
 
 # Tolerance of money totals, expected fact volume, queue length.
@@ -100,6 +101,8 @@ def dirt_profile(raw_customers: DataFrame) -> DataFrame:
         F.count("*").alias("clientes"), F.count_if(cnpj.like("%.%")).alias("cnpj_pontuado"),
         F.count_if(cnpj != F.trim(cnpj)).alias("cnpj_com_espaco"),
         F.count_if(digits.like("0%")).alias("cnpj_zero_a_esquerda"),
+        F.count_if(F.length(digits) > CNPJ_DIGITS).alias("cnpj_longo"),
+        F.count_if((digits == "") | digits.isNull()).alias("cnpj_sem_digito"),
         F.count_if(F.col("data_cadastro").like("%/%")).alias("data_formato_br"),
         F.count_if(name == F.upper(name)).alias("razao_caixa_alta"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vendaflow.functions.dates import date_window, days_before
 from vendaflow.operators.gold import ratio
-from vendaflow.operators.ranking import LOOKBACK_DAYS, last_purchase, latest_stock, ranked_brands
+from vendaflow.operators.ranking import LOOKBACK_DAYS, latest_stock
 
 # List lengths of the reports and the dimensions of the dashboard dataset.
 SUGGESTED, TOP_BRANDS, TOP_CUSTOMERS, RANKING, LATE = 20, 10, 20, 10, 10
@@ -38,14 +38,16 @@ def customer_context(customers: DataFrame, features: DataFrame, scores: DataFram
     def only(df: DataFrame) -> DataFrame:
         return df if cliente_id is None else df.filter(F.col("cliente_id") == cliente_id)
 
-    facts = only(fact)
-    brands = (ranked_brands(facts, 2).groupBy("cliente_id")
+    spent = only(fact).groupBy("cliente_id", "marca").agg(F.sum("receita").alias("receita"), F.max("data_pedido").alias("ultima"))
+    best = Window.partitionBy("cliente_id").orderBy(F.desc("receita"), "marca")
+    brands = (spent.withColumn("posicao", F.row_number().over(best)).groupBy("cliente_id")
               .agg(F.max(F.when(F.col("posicao") == 1, F.col("marca"))).alias("marca_pref"),
-                   F.max(F.when(F.col("posicao") == 2, F.col("marca"))).alias("segunda_marca")))
+                   F.max(F.when(F.col("posicao") == 2, F.col("marca"))).alias("segunda_marca"),
+                   F.max("ultima").alias("ultima_compra")))
     return (only(customers)
             .join(only(features).select("cliente_id", "ticket_medio", "valor_total"), "cliente_id", "left")
             .join(only(scores).select("cliente_id", "score", "faixa"), "cliente_id", "left")
-            .join(brands, "cliente_id", "left").join(last_purchase(facts), "cliente_id", "left")
+            .join(brands, "cliente_id", "left")
             .select("cliente_id", "razao_social", "cidade", "uf",
                     F.coalesce(F.round("ticket_medio", 2), F.lit(0.0)).alias("ticket_medio"),
                     F.coalesce(F.round("valor_total", 2), F.lit(0.0)).alias("valor_total"),
@@ -126,6 +128,7 @@ def revenue_by_month(monthly: DataFrame) -> DataFrame:
     return monthly.groupBy("data_ref").agg(F.sum("receita").alias("receita")).orderBy("data_ref")
 
 
+# The widgets below add up sums: give them the fact itself, or the saved dataset of `sales_by_dimensions`.
 def top_brands(dataset: DataFrame, k: int = TOP_BRANDS) -> DataFrame:
     return (dataset.groupBy("marca").agg(F.sum("receita").alias("receita"))
             .orderBy(F.desc("receita"), "marca").limit(k))

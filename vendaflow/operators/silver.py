@@ -13,10 +13,6 @@ CANCELLED = "Cancelado"
 STAGE_WON, WON = "Fechado ganho", "ganha"
 STAGE_LOST, LOST = "Fechado perdido", "perdida"
 
-# Discarded ids are folded into an array up to this many registrations per tax id. Larger groups
-# keep a NULL array; `duplicate_map` lists the ids of every group, whatever its size.
-ARRAY_GROUP_BOUND = 10_000
-
 
 def typed(raw: DataFrame, table: str) -> DataFrame:
     return raw.select(*typed_columns(SILVER_COLUMNS[table]))
@@ -30,8 +26,8 @@ def with_audit(df: DataFrame, source_rows: int | Column) -> DataFrame:
 
 
 def _survivors(customers: DataFrame) -> DataFrame:
-    """Oldest registration per tax id. A `min` of structs combines map-side, so a tax id shared by
-    a large part of the table costs one partial row per task instead of one sorted group."""
+    """Oldest registration per tax id. A `min` of structs combines before the shuffle (by sorting each task's rows, as
+    the struct holds text), so a tax id shared by a large part of the table sends one row per task."""
     rest = [c for c in customers.columns if c not in ("cnpj", "data_cadastro", "cliente_id")]
     record = F.struct("data_cadastro", "cliente_id", *rest)
     kept = customers.groupBy("cnpj").agg(F.min(record).alias("r"), F.count("*").alias("qtd_registros"))
@@ -54,18 +50,9 @@ def deduplicated(raw: DataFrame) -> DataFrame:
 
 
 def clientes(raw: DataFrame) -> DataFrame:
-    customers = typed(raw, "clientes")
-    kept = _survivors(customers)
-    ids = (duplicate_map(customers).filter(F.col("qtd_registros") <= ARRAY_GROUP_BOUND)
-           .groupBy(F.col("cnpj").alias("_cnpj"))
-           .agg(F.array_sort(F.collect_list("cliente_id")).alias("_ids")))
-    return (kept.join(ids, kept.cnpj.eqNullSafe(ids["_cnpj"]), "left")
-            .select("cliente_id", "cnpj", "razao_social", "data_cadastro", "ativo", "segmento",
-                    "cidade", "uf", "bairro",
-                    F.when((F.col("qtd_registros") > 1) & (F.col("qtd_registros") <= ARRAY_GROUP_BOUND),
-                           F.coalesce("_ids", F.array().cast("array<string>")))
-                    .alias("cliente_ids_duplicados"),
-                    "qtd_registros"))
+    """Surviving registrations; `duplicate_map` lists the discarded ids, one row each."""
+    return deduplicated(raw).select("cliente_id", "cnpj", "razao_social", "data_cadastro", "ativo", "segmento",
+                                    "cidade", "uf", "bairro", "qtd_registros")
 
 
 def remap_duplicate_ids(df: DataFrame, mapping: DataFrame) -> DataFrame:

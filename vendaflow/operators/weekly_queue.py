@@ -14,8 +14,6 @@ from vendaflow.session import materialize
 
 # Queue length, cascade limits, quantile of a big customer.
 QUEUE_SIZE, VERY_LATE, LATE, BIG_CUSTOMER_Q = 200, 3, 1.5, 0.75
-# A queue up to this many rows is broadcast to the fact scans; longer ones join by shuffle.
-BROADCAST_ROWS = 10_000
 
 # Fixed texts shown to the sales rep.
 TEXT_VERY_LATE = ("Compra a cada ", " dias e está há ",
@@ -52,11 +50,6 @@ def top_customers(candidates: DataFrame, k: int = QUEUE_SIZE) -> DataFrame:
     return candidates.orderBy(F.desc("score"), "cliente_id").limit(k)
 
 
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for a frame that a LIMIT keeps within `rows`."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def reason(threshold: Column) -> Column:
     """First matching branch wins, rarest first.
 
@@ -95,7 +88,7 @@ def weekly_queue(scores: DataFrame, portfolio: DataFrame, reps: DataFrame, custo
     """
     top = materialize(top_customers(eligible(scores, portfolio, reps, customers, features), k), "top")
     places = materialize(shelf(products, stock), "estante")
-    ids = bounded(top.select("cliente_id"), k)
+    ids = top.select("cliente_id")
     preferred = preferred_brand(fact, ids, as_of, lookback_days)
     bought = recent_skus(fact.join(ids, "cliente_id", "left_semi"), as_of)
     picks = suggestions(preferred, places, bought).select(

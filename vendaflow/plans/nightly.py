@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vendaflow import schemas
 from vendaflow.functions.dates import as_date
 from vendaflow.operators import (features, gold, metrics, model, quality, silver, weekly_queue)
-from vendaflow.session import materialize, shared_dir, tune
+from vendaflow.session import materialize, tune
 from vendaflow.sources import raw_csv, tables
 
 
@@ -158,7 +158,7 @@ class Nightly:
             raise
         version = int(time.time())
         fitted = model.fit(train, self.s.iterations)
-        path = f"{(self.s.model_root or shared_dir(self.spark) + '/modelos').rstrip('/')}/{version}"
+        path = f"{(self.s.model_root or self.spark.conf.get('spark.sql.warehouse.dir') + '/modelos').rstrip('/')}/{version}"
         fitted.write().overwrite().save(path)
         self._save("gold", "modelo_artefato", self.spark.createDataFrame(
             [(str(version), path)], "versao string, caminho string"))

@@ -26,7 +26,7 @@ def register_table_functions(spark: SparkSession, as_of: str | date, prefix: str
     functions = {
         "priorizar_carteira": ("p_vendedor STRING, p_quantos INT", f"""
             SELECT vendedor, ordem, cliente_id, razao_social, cidade, uf, score, faixa, ticket_medio, motivo, sugestao
-            FROM {g}.fila_semanal WHERE p_vendedor IN (vendedor_id, vendedor) AND ordem <= p_quantos"""),
+            FROM {g}.fila_semanal WHERE vendedor_id = p_vendedor AND ordem <= p_quantos"""),
         "contexto_cliente": ("p_cliente_id STRING", f"""
             SELECT c.cliente_id, c.razao_social, c.cidade, c.uf,
               coalesce(round(f.ticket_medio, 2), 0D) AS ticket_medio, coalesce(round(f.valor_total, 2), 0D) AS valor_total,

@@ -93,6 +93,7 @@ SILVER_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
 CHECKS: dict[str, dict[str, str]] = {
     "clientes": {
         "cnpj_14_digitos": "length(cnpj) = 14",
+        "cnpj_com_digito": "cnpj <> '00000000000000'",
         "data_cadastro_obrigatoria": "data_cadastro IS NOT NULL"},
     "pedidos": {
         "data_pedido_obrigatoria": "data_pedido IS NOT NULL",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,11 +44,13 @@ def build_session(app: str = "vendaflow", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint folder, else a local one for tests."""
+    """Folder every executor can reach: the cluster's checkpoint folder; a temporary one in local mode only."""
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
+    if current is None and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     if current is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vendaflow-"))
         current = spark.sparkContext.getCheckpointDir()

@@ -24,18 +24,16 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("linhas")), seen
 
 
-def _clustered(df: DataFrame, keys: list[str], files_per_key: int) -> DataFrame:
-    """Cluster rows by the partition keys so that a partition gets few files; a partition too large
-    for one task is spread over `files_per_key` of them by row hash."""
-    others = [c for c in df.columns if c not in keys]
-    slot = F.pmod(F.xxhash64(*others), F.lit(files_per_key))
-    return df.repartition(*keys, slot).select(*others, *keys)
+def _clustered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rebalance rows on the partition keys: few files per partition, and adaptive execution splits a partition by its
+    measured size when it is too large for one task."""
+    return df.hint("rebalance", *keys).select(*[c for c in df.columns if c not in keys], *keys)
 
 
 def overwrite(df: DataFrame, table: str, comment: str | None = None,
-              partition_by: list[str] | None = None, files_per_key: int = 8) -> int:
+              partition_by: list[str] | None = None) -> int:
     """Full refresh; returns the rows written without a second scan."""
-    watched, seen = _counted(_clustered(df, partition_by, files_per_key) if partition_by else df)
+    watched, seen = _counted(_clustered(df, partition_by) if partition_by else df)
     writer = watched.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -46,9 +44,9 @@ def overwrite(df: DataFrame, table: str, comment: str | None = None,
     return int(seen.get["linhas"])
 
 
-def overwrite_partitions(df: DataFrame, table: str, keys: list[str], files_per_key: int = 8) -> int:
+def overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> int:
     """Refresh that replaces only the partitions present in `df`; the table must exist."""
-    watched, seen = _counted(_clustered(df, keys, files_per_key))
+    watched, seen = _counted(_clustered(df, keys))
     watched.select(*df.sparkSession.table(table).columns).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").insertInto(table)
     return int(seen.get["linhas"])
@@ -64,7 +62,7 @@ def overwrite_path(df: DataFrame, path: str, keys: list[str] | None = None) -> D
     """Write Parquet below `path` and return the written frame."""
     writer = df.write.mode("overwrite")
     if keys:
-        writer = df.repartition(*keys).write.mode("overwrite").partitionBy(*keys)
+        writer = _clustered(df, keys).write.mode("overwrite").partitionBy(*keys)
     writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
