@@ -25,16 +25,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
 
 
-def _keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows whose id is in `kept`, and rows without an id."""
-    named = docs.where("doc_id is not null").join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    return named.select(*docs.columns).unionAll(docs.where("doc_id is null"))
-
-
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near-duplicates."""
     prepare(spark)
-    return _keep_rows(docs, materialize(near_duplicates(docs).where("kept").select("doc_id"), "mantidos"))
+    copies = materialize(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "copias")
+    # copies grow with the corpus: never a broadcast, the same plan at every size
+    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
