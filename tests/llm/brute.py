@@ -1,9 +1,12 @@
 """Plain versions of the operators' contracts, for small tables."""
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
+SF = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.01")
+
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()

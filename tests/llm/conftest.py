@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.01")
+from brute import SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")

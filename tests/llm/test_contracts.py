@@ -6,7 +6,7 @@ from collections import defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from brute import SF
 
 from vendaflow.llm import queries
 from vendaflow.llm.tokens import tokenizer_path

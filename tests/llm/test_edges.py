@@ -122,7 +122,7 @@ def test_redaction(spark, docs):
 
 def test_pipeline_stages(spark, documents):
     """Each stage's decisions hold, and all but the last keep the columns of `documents`."""
-    from conftest import SF
+    from brute import SF
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, before = docs.columns, docs
