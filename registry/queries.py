@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from vendaflow.functions.dates import date_window
 from vendaflow.operators import (features, gold, metrics, model, quality, ranking, serving, silver,
                                  weekly_queue)
 from vendaflow.operators.ordering import exact_quantiles, row_numbers
+from vendaflow.plans import table_functions
 from vendaflow.sources import catalog, fixtures, raw_csv, tables
 
 
@@ -48,9 +51,13 @@ def edge(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, oracle: str | None = None):
+def query(name: str, oracle: str | None = None, columns: str | None = None, same_as: str | None = None):
+    """Register a query; `columns` names the columns of an oracle that is a VALUES list, `same_as` a query of equal answer."""
+    if columns:
+        oracle = f"SELECT * FROM ({oracle}) AS v({columns})"
+
     def register(fn: Callable[[Domain], DataFrame]):
-        REGISTRY[name] = Query(name, fn, sql(oracle) if oracle else None)
+        REGISTRY[name] = Query(name, fn, REGISTRY[same_as].oracle if same_as else sql(oracle) if oracle else None)
         return fn
     return register
 
@@ -65,38 +72,84 @@ def _d(*cols: str) -> str:
 
 # ---- sources and sinks --------------------------------------------------------------------------
 
-def _land(d: Domain, names: list[str]) -> str:
-    """Write raw frames as the CSV extracts the sources expect."""
+def _land(d: Domain, names: list[str] | None = None, empty: tuple[str, ...] = ()) -> str:
+    """Write raw frames as the CSV extracts the sources expect; those in `empty` get a header only."""
     root = session.scratch_path(d.spark, "raw")
     frames = d.raw()
-    for t in names:
-        frames[t].select(*schemas.RAW_TABLES[t][2]).write.csv(
+    for t in names or list(schemas.RAW_TABLES):
+        df = frames[t].select(*schemas.RAW_TABLES[t][2])
+        (df.filter("false") if t in empty else df).write.csv(
             raw_csv.raw_path(root, t), header=True, ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False)
     return root
 
 
-@query("bronze_text_scan", "SELECT vendedor_id, nome, regiao, uf, data_admissao, data_desligamento, meta_mensal FROM d_vendedores_raw")
+def _each_extract(statement: str) -> str:
+    """The statement for every extract: {t} is its table, {v} its raw relation, {f} its file, {c} its columns as one text."""
+    views = {"itens_pedido": "d_itens_raw"}
+    return "\nUNION ALL ".join(
+        statement.format(t=t, f=f, s=system, v=views.get(t, f"d_{t}_raw"),
+                         c=" || '|' || ".join(f"coalesce({c}, '<nulo>')" for c in columns))
+        for t, (system, f, columns) in schemas.RAW_TABLES.items())
+
+
+@query("bronze_text_scan", _each_extract("""
+SELECT '{t}' AS tabela, count(*) AS linhas, CAST(sum(CAST('0x' || md5({c})[1:12] AS BIGINT)) AS VARCHAR) AS resumo FROM {v}"""))
 def _(d):
-    return raw_csv.read_raw(d.spark, _land(d, ["vendedores"]), "vendedores")
+    """Rows and an order-free digest of all text of every extract, as read back."""
+    root = _land(d)
 
+    def digest(t: str) -> DataFrame:
+        whole = F.concat_ws("|", *[F.coalesce(c, F.lit("<nulo>")) for c in schemas.RAW_TABLES[t][2]])
+        number = F.conv(F.substring(F.md5(whole.cast("binary")), 1, 12), 16, 10).cast("decimal(38,0)")
+        return raw_csv.read_raw(d.spark, root, t).agg(
+            F.lit(t).alias("tabela"), F.count("*").alias("linhas"), F.sum(number).cast("string").alias("resumo"))
+    return reduce(DataFrame.unionByName, [digest(t) for t in schemas.RAW_TABLES])
 
-@query("raw_arrival_control")
+
+@query("raw_arrival_control", _each_extract(
+    "SELECT 'completa' AS entrega, '{s}' AS sistema, '{f}' AS arquivo, count(*) AS linhas, 'OK' AS status, false AS recusada FROM {v}") + """
+UNION ALL SELECT 'falha', 'erp', 'produtos.csv', count(*), 'OK', true FROM d_produtos_raw
+UNION ALL SELECT 'falha', 'erp', 'estoque.csv', 0, 'VAZIO', true
+UNION ALL SELECT 'falha', 'crm', 'visitas.csv', 0, 'FALTA', true""")
 def _(d):
-    root = _land(d, ["produtos", "pedidos", "clientes"])
-    return raw_csv.arrival_control(d.spark, root, ["produtos", "pedidos", "clientes", "visitas"])
+    """A whole delivery of ten extracts, and one with an empty and an absent extract, which the gate refuses."""
+    def checked(label: str, root: str, names: list[str] | None = None) -> DataFrame:
+        control = session.materialize(raw_csv.arrival_control(d.spark, root, names), "controle")
+        try:
+            raw_csv.require_arrival(control)
+            refused = False
+        except raw_csv.ArrivalError:
+            refused = True
+        return control.select(F.lit(label).alias("entrega"), "sistema", "arquivo", "linhas", "status",
+                              F.lit(refused).alias("recusada"))
+    broken = _land(d, ["produtos", "estoque"], empty=("estoque",))
+    return checked("completa", _land(d)).unionByName(checked("falha", broken, ["produtos", "estoque", "visitas"]))
 
 
-@query("schema_probe")
+@query("schema_probe", "VALUES " + ", ".join(
+    f"('{f}', {i + 1}, '{c}', true)" for _, f, columns in schemas.RAW_TABLES.values() for i, c in enumerate(columns)),
+       columns="arquivo, posicao, coluna, esperada")
 def _(d):
-    return raw_csv.schema_probe(d.spark, _land(d, ["clientes", "estoque"]), ["clientes", "estoque"])
+    return raw_csv.schema_probe(d.spark, _land(d))
 
 
-@query("load_fixture", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+@query("load_fixture", "\nUNION ALL ".join(
+    f"SELECT '{kind}' AS formato, CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation"
+    for kind in ("csv", "json", "json em lista")))
 def _(d):
-    path = session.scratch_path(d.spark, "fixture") + ".csv"
-    d.table("nation").write.csv(path, header=True)
-    return fixtures.load_fixture(d.spark, path)
+    """One table as CSV, as JSON lines and as one JSON array."""
+    nations, path = d.table("nation"), session.scratch_path(d.spark, "fixture")
+    nations.write.csv(path + ".csv", header=True)
+    nations.write.json(path + ".json")
+    array = nations.agg(F.to_json(F.collect_list(F.struct(*nations.columns))).alias("value"))
+    array.coalesce(1).write.text(path + "-lista.json")
+
+    def loaded(kind: str, file: str) -> DataFrame:
+        return fixtures.load_fixture(d.spark, file).select(
+            F.lit(kind).alias("formato"), F.col("n_nationkey").cast("string"), "n_name", F.col("n_regionkey").cast("string"))
+    return (loaded("csv", path + ".csv").unionByName(loaded("json", path + ".json"))
+            .unionByName(loaded("json em lista", path + "-lista.json")))
 
 
 @query("dim_calendario", """
@@ -109,9 +162,75 @@ def _(d):
     return gold.calendar_spanning(d.pedidos, "data_pedido")
 
 
-@query("schema_catalog")
-def _(d):
-    named = {"clientes": d.clientes, "pedidos": d.pedidos, "itens_pedido": d.itens, "fato_vendas": d.fato}
+# Expected columns of the saved tables, in order.
+_CATALOG = {
+    "clientes": (
+        "cliente_id string, cnpj string, razao_social string, data_cadastro date, ativo boolean, "
+        "segmento string, cidade string, uf string, bairro string, qtd_registros bigint"),
+    "pedidos": (
+        "pedido_id string, cliente_id string, vendedor_id string, data_pedido date, canal string, "
+        "valor_total decimal(18,2), cancelado boolean, valor_liquido decimal(18,2), ano int, mes int"),
+    "itens_pedido": (
+        "item_id string, pedido_id string, sku string, quantidade int, quantidade_abs int, "
+        "devolucao boolean, preco_praticado decimal(18,2), desconto_pct decimal(18,2), "
+        "valor_bruto decimal(18,2), custo_unitario decimal(18,2), sku_descontinuado boolean"),
+    "produtos": (
+        "sku string, nome string, categoria string, marca string, nota_olfativa string, "
+        "data_lancamento date, preco_tabela decimal(18,2), custo_unitario decimal(18,2), unidade string, "
+        "ativo boolean"),
+    "vendedores": (
+        "vendedor_id string, nome string, regiao string, uf string, data_admissao date, "
+        "data_desligamento date, ativo boolean, meta_mensal decimal(18,2)"),
+    "carteira": (
+        "carteira_id string, cliente_id string, vendedor_id string, data_inicio date, data_fim date, "
+        "vigente boolean, orfao_vendedor_desligado boolean"),
+    "oportunidades": (
+        "oportunidade_id string, cliente_id string, vendedor_id string, origem string, etapa string, "
+        "data_abertura date, data_fechamento date, probabilidade_pct decimal(5,2), "
+        "valor_estimado decimal(18,2), ciclo_dias int, motivo_perda string, ganancia boolean, perdida boolean"),
+    "visitas": (
+        "visita_id string, cliente_id string, vendedor_id string, data_visita date, resultado string, "
+        "duracao_min int"),
+    "pagamentos": (
+        "pagamento_id string, pedido_id string, forma_pagamento string, parcelas int, valor decimal(18,2), "
+        "valor_liquido decimal(18,2), taxa_pct decimal(5,2), data_vencimento date, data_pagamento date, "
+        "status_pagamento string"),
+    "estoque": (
+        "data_snapshot date, sku string, saldo int, ruptura boolean"),
+    "fato_vendas": (
+        "pedido_id string, item_id string, cliente_id string, razao_social string, segmento string, "
+        "cidade string, data_pedido date, ano int, mes int, canal string, sku string, categoria string, "
+        "marca string, nota_olfativa string, vendedor_id string, quantidade int, quantidade_abs int, "
+        "preco_praticado decimal(18,2), receita decimal(29,2), custo decimal(29,2), margem decimal(30,2), "
+        "devolucao boolean, sku_descontinuado boolean"),
+    "dim_cliente": (
+        "cliente_id string, cnpj string, razao_social string, segmento string, cidade string, uf string, "
+        "bairro string, data_cadastro date, ativo boolean, total_pedidos bigint, "
+        "receita_acumulada decimal(38,2), primeiro_pedido date, ultimo_pedido date, dias_sem_comprar int"),
+    "dim_produto": (
+        "sku string, nome string, categoria string, marca string, nota_olfativa string, "
+        "preco_tabela decimal(18,2), custo_unitario decimal(18,2), unidade string, ativo boolean, "
+        "data_lancamento date, descontinuado boolean"),
+    "dim_vendedor": (
+        "vendedor_id string, nome string, regiao string, uf string, meta_mensal decimal(18,2), ativo boolean"),
+}
+_COUNTED = {"itens_pedido": "d_itens", "fato_vendas": "d_fato", "dim_produto": "d_produtos", "dim_vendedor": "d_vendedores"}
+
+
+def _catalog_oracle() -> str:
+    rows = [f"('{t}', {i + 1}, '{c.split()[0]}', '{c.split()[1]}')"
+            for t, ddl in _CATALOG.items() for i, c in enumerate(ddl.split(", "))]
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS tabela, count(*) AS linhas FROM {_COUNTED.get(t, 'd_' + t)}" for t in _CATALOG)
+    return (f"SELECT tabela, posicao, coluna, tipo, CAST(NULL AS VARCHAR) AS comentario, linhas "
+            f"FROM (VALUES {', '.join(rows)}) AS v(tabela, posicao, coluna, tipo) JOIN ({counts}) USING (tabela)")
+
+
+@query("schema_catalog", _catalog_oracle())
+def _(d):
+    named = {"clientes": d.clientes, "pedidos": d.pedidos, "itens_pedido": d.itens, "produtos": d.produtos,
+             "vendedores": d.vendedores, "carteira": d.carteira, "oportunidades": d.oportunidades, "visitas": d.visitas,
+             "pagamentos": d.pagamentos, "estoque": d.estoque, "fato_vendas": d.fato, "dim_cliente": d.dim_cliente,
+             "dim_produto": d.dim_produto, "dim_vendedor": gold.dim_vendedor(d.vendedores)}
     return catalog.schema_catalog(d.spark, named).join(quality.table_counts(named), "tabela")
 
 
@@ -132,7 +251,9 @@ def _(d):
             .groupBy("ano", "mes").agg(F.count("*").alias("linhas"), F.sum("receita").alias("receita")))
 
 
-@query("commented_schema")
+@query("commented_schema", "\nUNION ALL ".join(
+    f"SELECT 'fato_vendas' AS tabela, {p} AS posicao, '{c}' AS coluna, '{t}' AS tipo, '{schemas.FACT_COMMENTS[c]}' AS comentario, count({c}) AS preenchidos FROM d_fato"
+    for p, c, t in ((16, "quantidade", "int"), (19, "receita", "decimal(29,2)"), (20, "custo", "decimal(29,2)"), (21, "margem", "decimal(30,2)"), (22, "devolucao", "boolean"), (23, "sku_descontinuado", "boolean"))))
 def _(d):
     fact = tables.overwrite_path(tables.commented(d.fato, schemas.FACT_COMMENTS),
                                  session.scratch_path(d.spark, "comentado"))
@@ -280,15 +401,12 @@ def _(d):
         "visitas": d.visitas, "pagamentos": d.pagamentos, "estoque": d.estoque})
 
 
-@query("bronze_reconcile", """
-SELECT 'clientes' AS tabela, count(*) AS na_tabela, count(*) AS no_arquivo, true AS bate FROM d_clientes_raw
-UNION ALL SELECT 'vendedores', count(*), count(*), true FROM d_vendedores_raw
-UNION ALL SELECT 'visitas', count(*), count(*), true FROM d_visitas_raw""")
+@query("bronze_reconcile", _each_extract(
+    "SELECT '{t}' AS tabela, count(*) AS na_tabela, count(*) AS no_arquivo, true AS bate FROM {v}"))
 def _(d):
-    names = ["clientes", "vendedores", "visitas"]
-    root = _land(d, names)
-    return quality.reconcile({n: raw_csv.read_raw(d.spark, root, n) for n in names},
-                             raw_csv.arrival_control(d.spark, root, names))
+    root = _land(d)
+    return quality.reconcile({n: raw_csv.read_raw(d.spark, root, n) for n in schemas.RAW_TABLES},
+                             raw_csv.arrival_control(d.spark, root))
 
 
 @query("distinct_values", """
@@ -568,9 +686,18 @@ def _(d):
     return exact_quantiles(d.saved_features, "valor_total", {"limite": 0.75}, interpolate=False)
 
 
-@query("big_customer_threshold_approx")
+@query("big_customer_threshold_approx", "SELECT count(valor_total) AS clientes, true AS dentro_da_tolerancia FROM d_feat_s")
 def _(d):
-    return ranking.big_customer_threshold(d.features())
+    """Whether the approximate threshold's rank is within n / 10,000 (one row at least) of three quarters of the customers."""
+    values = d.saved_features
+    limit = ranking.big_customer_threshold(values).scalar()
+    v = F.col("valor_total")
+    marked = values.select(v, limit.alias("limite"))
+    facts = marked.agg(F.count(v).alias("clientes"), F.count_if(v < F.col("limite")).alias("abaixo"),
+                       F.count_if(v <= F.col("limite")).alias("ate"))
+    slack = F.greatest(F.col("clientes") / 10_000, F.lit(1))
+    rank = F.col("clientes") * 0.75
+    return facts.select("clientes", ((F.col("abaixo") - slack <= rank) & (rank <= F.col("ate") + slack)).alias("dentro_da_tolerancia"))
 
 
 _FILL = ", ".join(
@@ -591,40 +718,98 @@ def _fit_input(d: Domain) -> DataFrame:
     return session.materialize(metrics.stratified_split(d.saved_training), "divisao")
 
 
-@query("score_customers")
+_RULE = "comprou_lancamento < 1"
+_PLANTED = f"SELECT cliente_id, CASE WHEN {_RULE} THEN 1.0 ELSE 0.0 END AS y FROM d_treino"
+
+
+def _planted_input(d: Domain) -> DataFrame:
+    """Training rows whose label is one feature above a cut, so that a sound learner's answers are known."""
+    planted = d.saved_training.withColumn(schemas.LABEL, F.expr(_RULE).cast("double"))
+    return session.materialize(metrics.stratified_split(planted), "divisao")
+
+
+def _valid(score: str = "score"):
+    return F.coalesce(F.col(score).between(0, 1), F.lit(False))
+
+
+@query("score_customers", """
+SELECT cliente_id, true AS valido, CAST((SELECT count(*) FROM d_feat_s) AS BIGINT) AS clientes FROM d_feat_s""")
 def _(d):
-    fitted = model.fit(_fit_input(d))
-    scored = model.predict(fitted, d.features(SCORE_REF)).select("cliente_id", "score")
-    return metrics.score_bands(session.materialize(scored, "scores"))
+    """Every customer scored once, by a model of the real label, in [0, 1] and in one of the four bands."""
+    scored = model.predict(model.fit(_fit_input(d)), d.features(SCORE_REF)).select("cliente_id", "score")
+    banded = session.materialize(metrics.score_bands(session.materialize(scored, "scores")), "faixas")
+    total = banded.agg(F.count("*").alias("n")).scalar()
+    known = F.coalesce(F.col("faixa").isin(*metrics.BANDS), F.lit(False))
+    return banded.select("cliente_id", (_valid() & known).alias("valido"), total.alias("clientes"))
 
 
-@query("oof_scores")
+@query("score_planted_signal", f"SELECT cliente_id, {_RULE} AS regra FROM d_feat_s")
 def _(d):
-    return model.out_of_fold(_fit_input(d)).select("cliente_id", "fold", schemas.LABEL, "score")
+    """Trained on the planted label, the model's decision must equal the rule on rows it has never seen."""
+    scored = model.predict(model.fit(_planted_input(d)), d.features(SCORE_REF))
+    return scored.select("cliente_id", (F.col("score") >= 0.5).alias("regra"))
 
 
-@query("permutation_importance")
+@query("oof_scores", f"""
+SELECT cliente_id, CAST(rk % 5 AS INTEGER) AS fold, CAST(comprou_em_7d AS DOUBLE) AS comprou_em_7d, true AS valido
+FROM (SELECT *, {_HOLD} AS rk FROM d_treino)""")
 def _(d):
-    split = _fit_input(d)
-    return model.permutation_importance(model.fit(split.filter(~F.col("holdout"))), split.filter("holdout"))
+    return model.out_of_fold(_fit_input(d)).select("cliente_id", "fold", schemas.LABEL, _valid().alias("valido"))
 
 
-def _evaluation(d: Domain) -> model.Evaluation:
-    split = _fit_input(d)
-    return model.evaluate(split, metrics.baseline_auc(split.filter("holdout")), importance=False)[0]
+@query("auc_per_fold", f"""
+SELECT fold, round({_AUC}, 6) AS auc FROM (
+  SELECT fold, y, (rank() OVER (PARTITION BY fold ORDER BY s)) + (count(*) OVER (PARTITION BY fold, s) - 1) / 2.0 AS rank_medio
+  FROM (SELECT CAST(rk % 5 AS INTEGER) AS fold, CAST(comprou_em_7d AS DOUBLE) AS y, round(1 / (1 + recencia_dias), 6) AS s
+        FROM (SELECT *, {_HOLD} AS rk FROM d_treino))) GROUP BY fold""")
+def _(d):
+    """One AUC per fold: folds that differ much, or one near 1, point to a leak."""
+    split = metrics.stratified_split(_scored_training(d))
+    return metrics.rank_auc(session.materialize(split, "divisao"), "score", part=["fold"])
+
+
+@query("permutation_importance", "\nUNION ALL ".join(
+    f"SELECT '{f}' AS feature, {'true' if _RULE.startswith(f + ' ') else 'false'} AS importa" for f in schemas.FEATURES))
+def _(d):
+    """On the planted label only the planted feature matters."""
+    split = _planted_input(d)
+    found = model.permutation_importance(model.fit(split.filter(~F.col("holdout"))), split.filter("holdout"))
+    return found.select("feature", (F.col("queda_auc") > 1e-9).alias("importa"))
 
 
-@query("model_gates")
+@query("model_gates", f"""
+SELECT '1 ganho sobre a melhor regra' AS teste, true AS passou
+UNION ALL SELECT '2 sem sinal de vazamento', false
+UNION ALL SELECT '3 lift da fila', least(sum(y), 200) / least(count(*), 200) / avg(y) >= 2.5 FROM ({_PLANTED})""")
 def _(d):
-    return model.gates(d.spark, _evaluation(d))
+    """A planted label is learned without fault: a gain over every rule, and a leak alarm."""
+    split = _planted_input(d)
+    figures = model.evaluate(split, metrics.baseline_auc(split.filter("holdout")), importance=False)[0]
+    return model.gates(d.spark, figures).select("teste", "passou")
 
 
-@query("metrics_append")
+def _history_oracle(version: int, rule: str) -> str:
+    top = f"(SELECT CAST(comprou_em_7d AS DOUBLE) AS y FROM d_treino ORDER BY {rule} DESC, cliente_id LIMIT 200)"
+    base = "(SELECT avg(CAST(comprou_em_7d AS DOUBLE)) FROM d_treino)"
+    auc = (f"(SELECT {_AUC} FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS rank_medio "
+           "FROM (SELECT CAST(comprou_em_7d AS DOUBLE) AS y, {s} AS s FROM d_treino)))")
+
+    def rounded(s: str) -> str:
+        return f"round(coalesce({auc.replace('{s}', s)}, 0), 6)"
+    return f"""
+SELECT CAST({version} AS BIGINT) AS versao, {rounded(rule)} AS auc,
+  round(coalesce((SELECT avg(y) FROM {top}) / nullif({base}, 0), 0), 4) AS lift_top200,
+  CAST((SELECT sum(y) FROM {top}) AS BIGINT) AS acertos_top200, round({base}, 6) AS taxa_base,
+  {rounded('-recencia_dias')} AS auc_baseline_recencia, {rounded('valor_total')} AS auc_baseline_valor,
+  {rounded('coalesce(atraso_relativo, 0)')} AS auc_baseline_atraso, '{rule}' AS feature_top_1"""
+
+
+@query("metrics_append", _history_oracle(1, "valor_total") + " UNION ALL " + _history_oracle(2, "pedidos_ultimos_90d"))
 def _(d):
     """Two runs appended to one history table."""
     split = _fit_input(d)
     rules = {r["regra"]: r["auc"] for r in metrics.baseline_auc(split).collect()}
-    path = session.scratch_path(d.spark, "metricas")
+    history = f"metricas_{uuid.uuid4().hex[:12]}"
     for version, rule in ((1, "valor_total"), (2, "pedidos_ultimos_90d")):
         scored = split.withColumn("score", F.col(rule))
         lift = metrics.lift_at_k(scored).first()
@@ -632,8 +817,8 @@ def _(d):
             auc=metrics.rank_auc(scored, "score").first()["auc"] or 0.0, auc_holdout=0.0,
             lift_top=lift["lift"] or 0.0, acertos_top=lift["acertos"], taxa_base=lift["taxa_base"],
             baselines=rules, feature_top_1=rule, linhas=split.count())
-        model.metrics_row(d.spark, figures, version).write.mode("append").parquet(path)
-    return d.spark.read.parquet(path).drop("_treinado_em")
+        tables.append(model.metrics_row(d.spark, figures, version), history)
+    return d.spark.table(history).drop("_treinado_em")
 
 
 # ---- queue --------------------------------------------------------------------------------------
@@ -699,30 +884,27 @@ def _(d):
 # ---- lookups ------------------------------------------------------------------------------------
 
 @query("customer_context", f"""
-SELECT c.cliente_id, c.razao_social, c.cidade, c.uf, coalesce({half_up('f.ticket_medio', 2)}, 0) AS ticket_medio,
-  coalesce({half_up('f.valor_total', 2)}, 0) AS valor_total, b1.marca AS marca_pref, b2.marca AS segunda_marca,
-  h.ultima_compra, c.total_pedidos AS pedidos_totais, s.score AS saldo_score, s.faixa AS saldo_faixa
-FROM d_dim_cliente c LEFT JOIN d_feat_s f ON c.cliente_id = f.cliente_id LEFT JOIN d_faixas s ON c.cliente_id = s.cliente_id
-LEFT JOIN (SELECT cliente_id, marca, row_number() OVER (PARTITION BY cliente_id ORDER BY sum(receita) DESC, marca) AS rn
-           FROM d_fato GROUP BY 1, 2) b1 ON b1.cliente_id = c.cliente_id AND b1.rn = 1
-LEFT JOIN (SELECT cliente_id, marca, row_number() OVER (PARTITION BY cliente_id ORDER BY sum(receita) DESC, marca) AS rn
-           FROM d_fato GROUP BY 1, 2) b2 ON b2.cliente_id = c.cliente_id AND b2.rn = 2
-LEFT JOIN (SELECT cliente_id, max(data_pedido) AS ultima_compra FROM d_fato GROUP BY 1) h ON h.cliente_id = c.cliente_id""")
+SELECT cliente_id, razao_social, cidade, uf, coalesce({half_up('ticket_medio', 2)}, 0) AS ticket_medio,
+  coalesce({half_up('valor_total', 2)}, 0) AS valor_total, marcas[1] AS marca_pref, marcas[2] AS segunda_marca, ultima_compra,
+  total_pedidos AS pedidos_totais, score AS saldo_score, faixa AS saldo_faixa
+FROM d_dim_cliente LEFT JOIN (SELECT cliente_id, ticket_medio, valor_total FROM d_feat_s) USING (cliente_id)
+LEFT JOIN d_faixas USING (cliente_id) LEFT JOIN d_marcas_cliente USING (cliente_id)""")
 def _(d):
     return serving.customer_context(d.dim_cliente, d.saved_features, d.banded_scores, d.saved_fact)
 
 
 def _suggest_oracle(strict: bool) -> str:
-    anti = (f"AND NOT EXISTS (SELECT 1 FROM d_fato n WHERE n.cliente_id = f.cliente_id AND n.sku = f.sku "
-            f"AND n.data_pedido >= DATE '{AS_OF}' - 90)") if strict else ""
+    """Twenty dearest SKUs among those bought before the look-back; strict: and not since."""
+    unbought = "ANTI JOIN d_recentes USING (cliente_id, sku)" if strict else ""
     return f"""
-SELECT cliente_id, sku, sku_nome, marca, categoria, receita_total, ult_compra, saldo_estoque, em_ruptura FROM (
-  SELECT f.cliente_id, p.sku, p.nome AS sku_nome, p.marca, p.categoria, CAST(sum(f.receita) AS DOUBLE) AS receita_total,
-    max(f.data_pedido) AS ult_compra, coalesce(e.saldo, 0) AS saldo_estoque, coalesce(e.ruptura, false) AS em_ruptura,
-    row_number() OVER (PARTITION BY f.cliente_id ORDER BY sum(f.receita) DESC, p.sku) AS rn
-  FROM d_fato f JOIN d_produtos p ON f.sku = p.sku LEFT JOIN d_estoque_atual e ON f.sku = e.sku
-  WHERE f.data_pedido < DATE '{AS_OF}' - 90 {anti}
-  GROUP BY f.cliente_id, p.sku, p.nome, p.marca, p.categoria, e.saldo, e.ruptura) WHERE rn <= 20"""
+SELECT cliente_id, sku, sku_nome, marca, categoria, CAST(gasto AS DOUBLE) AS receita_total, ult_compra,
+  coalesce(saldo, 0) AS saldo_estoque, coalesce(ruptura, false) AS em_ruptura
+FROM (SELECT * FROM (
+        SELECT cliente_id, sku, sum(receita) AS gasto, max(data_pedido) AS ult_compra FROM d_fato
+        WHERE data_pedido < DATE '{AS_OF}' - 90 GROUP BY ALL) {unbought}
+      QUALIFY row_number() OVER (PARTITION BY cliente_id ORDER BY gasto DESC, sku) <= 20)
+JOIN (SELECT sku, nome AS sku_nome, marca, categoria FROM d_produtos) USING (sku)
+LEFT JOIN (SELECT sku, saldo, ruptura FROM d_estoque_atual) USING (sku)"""
 
 
 @query("suggest_products", _suggest_oracle(False))
@@ -735,11 +917,46 @@ def _(d):
     return serving.suggest_products(d.fato, d.dim_produto, d.estoque, AS_OF, strict=True)
 
 
-@query("check_availability", "SELECT e.sku, p.nome AS sku_nome, p.marca, e.saldo, e.ruptura, e.data_snapshot FROM d_estoque_atual e JOIN d_produtos p ON e.sku = p.sku")
+@query("check_availability", """
+SELECT sku, sku_nome, marca, saldo, ruptura, data_snapshot
+FROM (SELECT sku, nome AS sku_nome, marca FROM d_produtos) JOIN d_estoque_atual USING (sku)""")
 def _(d):
     return serving.check_availability(d.dim_produto, d.estoque)
 
 
+def _for_each(d: Domain, name: str, answers: DataFrame, entities: DataFrame, arguments: str) -> DataFrame:
+    """Call a SQL table function once per entity."""
+    table_functions.create(d.spark, name, answers)
+    ids = f"ids_{uuid.uuid4().hex[:12]}"
+    entities.createOrReplaceTempView(ids)
+    return d.spark.sql(f"SELECT f.* FROM {ids} AS i, LATERAL {name}({arguments}) AS f")
+
+
+@query("sql_priorizar_carteira", same_as="prioritize_portfolio")
+def _(d):
+    queue = session.materialize(d.fila, "fila")
+    return _for_each(d, "priorizar_carteira", queue, d.vendedores.select("vendedor_id"), "i.vendedor_id, 2")
+
+
+@query("sql_contexto_cliente", same_as="customer_context")
+def _(d):
+    answers = serving.customer_context(d.dim_cliente, d.saved_features, d.saved_scores, d.saved_fact)
+    return _for_each(d, "contexto_cliente", answers, d.clientes.select("cliente_id"), "i.cliente_id")
+
+
+@query("sql_sugerir_produtos", same_as="suggest_products")
+def _(d):
+    answers = serving.suggest_products(d.saved_fact, d.dim_produto, d.estoque, AS_OF)
+    buyers = d.saved_fact.select("cliente_id").distinct()     # discarded registrations included
+    return _for_each(d, "sugerir_produtos", answers, buyers, "i.cliente_id")
+
+
+@query("sql_checar_disponibilidade", same_as="check_availability")
+def _(d):
+    answers = serving.check_availability(d.dim_produto, d.estoque)
+    return _for_each(d, "checar_disponibilidade", answers, d.produtos.select("sku"), "i.sku")
+
+
 # ---- dashboard and example questions ------------------------------------------------------------
 
 @query("kpi_monthly", "SELECT * FROM d_kpis")
@@ -799,57 +1016,64 @@ def _(d):
 
 
 @query("top_customers", """
-SELECT c.razao_social, c.cidade, c.uf, CAST(sum(f.receita) AS DOUBLE) AS receita_total, count(DISTINCT f.pedido_id) AS total_pedidos
-FROM d_fato f JOIN d_dim_cliente c ON f.cliente_id = c.cliente_id WHERE NOT f.devolucao GROUP BY 1, 2, 3
-ORDER BY sum(f.receita) DESC, 1, 2, 3 LIMIT 10""")
+SELECT razao_social, cidade, uf, CAST(sum(valor) AS DOUBLE) AS receita_total, CAST(sum(pedidos) AS BIGINT) AS total_pedidos
+FROM (SELECT cliente_id, sum(receita) AS valor, count(DISTINCT pedido_id) AS pedidos FROM d_vendidas GROUP BY cliente_id)
+JOIN (SELECT cliente_id, razao_social, cidade, uf FROM d_dim_cliente) USING (cliente_id)
+GROUP BY ALL ORDER BY sum(valor) DESC, razao_social, cidade, uf LIMIT 10""")
 def _(d):
     return serving.top_customers(d.fato, d.dim_cliente)
 
 
 @query("products_by_category", """
-SELECT p.categoria, p.nome AS produto, p.marca, CAST(sum(f.quantidade) AS BIGINT) AS quantidade_total, CAST(sum(f.receita) AS DOUBLE) AS receita_total
-FROM d_fato f JOIN d_produtos p ON f.sku = p.sku WHERE NOT f.devolucao GROUP BY 1, 2, 3""")
+SELECT categoria, produto, marca, CAST(sum(pecas) AS BIGINT) AS quantidade_total, CAST(sum(valor) AS DOUBLE) AS receita_total
+FROM (SELECT sku, sum(quantidade) AS pecas, sum(receita) AS valor FROM d_vendidas GROUP BY sku)
+JOIN (SELECT sku, categoria, nome AS produto, marca FROM d_produtos) USING (sku) GROUP BY ALL""")
 def _(d):
     return serving.products_by_category(d.fato, d.dim_produto)
 
 
 @query("rep_attainment", """
-SELECT v.nome AS vendedor, v.regiao, m.ano, m.mes, m.receita, m.meta_mensal, m.atingimento_pct
-FROM d_mart_vendedor m JOIN d_vendedores v ON m.vendedor_id = v.vendedor_id WHERE v.ativo
-ORDER BY m.atingimento_pct DESC, m.vendedor_id, m.ano, m.mes LIMIT 20""")
+SELECT vendedor, regiao, ano, mes, receita, meta_mensal, atingimento_pct
+FROM d_mart_vendedor JOIN (SELECT vendedor_id, nome AS vendedor, regiao FROM d_vendedores WHERE ativo) USING (vendedor_id)
+ORDER BY atingimento_pct DESC, vendedor_id, ano, mes LIMIT 20""")
 def _(d):
     return serving.rep_attainment(d.mart_vendedor, d.vendedores)
 
 
 @query("sales_by_region_month", """
-SELECT v.regiao, f.ano, f.mes, CAST(sum(f.receita) AS DOUBLE) AS receita_total, CAST(sum(f.quantidade) AS BIGINT) AS quantidade_total,
-  count(DISTINCT f.cliente_id) AS clientes_unicos
-FROM d_fato f JOIN d_vendedores v ON f.vendedor_id = v.vendedor_id WHERE NOT f.devolucao GROUP BY 1, 2, 3""")
+SELECT regiao, ano, mes, CAST(sum(valor) AS DOUBLE) AS receita_total, CAST(sum(pecas) AS BIGINT) AS quantidade_total,
+  count(DISTINCT cliente_id) AS clientes_unicos
+FROM (SELECT vendedor_id, cliente_id, ano, mes, sum(receita) AS valor, sum(quantidade) AS pecas FROM d_vendidas GROUP BY ALL)
+JOIN (SELECT vendedor_id, regiao FROM d_vendedores) USING (vendedor_id) GROUP BY regiao, ano, mes""")
 def _(d):
     return serving.sales_by_region_month(d.fato, d.vendedores)
 
 
-@query("stockouts", "SELECT e.sku, p.nome AS produto, p.marca, p.categoria, e.saldo FROM d_estoque_atual e JOIN d_produtos p ON e.sku = p.sku WHERE e.ruptura")
+@query("stockouts", """
+SELECT sku, produto, marca, categoria, saldo FROM (SELECT sku, saldo FROM d_estoque_atual WHERE ruptura)
+JOIN (SELECT sku, nome AS produto, marca, categoria FROM d_produtos) USING (sku)""")
 def _(d):
     return serving.stockouts(d.dim_produto, d.estoque)
 
 
 @query("margin_by_brand", f"""
-SELECT marca, count(DISTINCT sku) AS total_skus, CAST(sum(receita) AS DOUBLE) AS receita_total,
-  {quotient('sum(margem) * 100', 'nullif(sum(receita), 0)', 1, 2)} AS margem_pct
-FROM d_fato WHERE NOT devolucao GROUP BY marca""")
+SELECT marca, count(*) AS total_skus, CAST(sum(valor) AS DOUBLE) AS receita_total,
+  {quotient('sum(ganho) * 100', 'nullif(sum(valor), 0)', 1, 2)} AS margem_pct
+FROM (SELECT marca, sku, sum(receita) AS valor, sum(margem) AS ganho FROM d_vendidas GROUP BY ALL) GROUP BY marca""")
 def _(d):
     return serving.margin_by_brand(d.fato)
 
 
-@query("active_customers_30d", f"SELECT count(DISTINCT cliente_id) AS clientes_ativos_30d FROM d_fato WHERE data_pedido >= DATE '{AS_OF}' - 30 AND NOT devolucao")
+@query("active_customers_30d", f"""
+SELECT count(*) AS clientes_ativos_30d FROM (
+  SELECT cliente_id FROM d_vendidas WHERE cliente_id IS NOT NULL GROUP BY cliente_id HAVING max(data_pedido) >= DATE '{AS_OF}' - 30)""")
 def _(d):
     return serving.active_customers(d.fato, AS_OF)
 
 
 @query("longest_inactive", """
-SELECT razao_social, cidade, uf, segmento, dias_sem_comprar, receita_acumulada, total_pedidos FROM d_dim_cliente WHERE ativo
-ORDER BY dias_sem_comprar DESC NULLS LAST, cliente_id LIMIT 20""")
+SELECT razao_social, cidade, uf, segmento, dias_sem_comprar, receita_acumulada, total_pedidos FROM (
+  SELECT * FROM d_dim_cliente WHERE ativo ORDER BY ultimo_pedido ASC NULLS LAST, cliente_id LIMIT 20)""")
 def _(d):
     return serving.longest_inactive(d.dim_cliente)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vendaflow.operators.ordering import exact_quantiles, join_whole, order_bucket, row_numbers, running_totals
+from vendaflow.operators.ordering import exact_quantiles, fine_bucket, join_whole, order_bucket, row_numbers, running_totals
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,27 @@ def test_join_whole_matches_nulls(spark):
     a = spark.createDataFrame([(1, None, "x"), (None, None, "y")], "p int, q int, l string")
     b = spark.createDataFrame([(1, None, 10), (None, None, 20), (2, 2, 30)], "p int, q int, r int")
     assert {(r.l, r.r) for r in join_whole(a, b, ["p", "q"]).collect()} == {("x", 10), ("y", 20)}
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_nan_infinities_and_null_are_ordered_as_spark_does(spark, descending):
+    odd = [5.0, float("nan"), 1.0, float("inf"), float("-inf"), None, -0.0, 0.0, float("nan"), -3.0, 1e308, 5e-324]
+    df = spark.createDataFrame([(f"k{i}", v) for i, v in enumerate(odd)], "k string, v double")
+    axis = F.col("v").desc() if descending else F.col("v").asc()
+    tie = F.md5(F.col("k").cast("binary"))
+    want = df.withColumn("n", F.row_number().over(Window.orderBy(axis, tie, "k")).cast("long")).select("k", "n")
+    got = row_numbers(df, [], "v", "k", "n", descending).select("k", F.col("n").cast("long"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_a_narrow_band_is_spread_and_exact(spark, descending):
+    df = spark.range(5000).selectExpr("CAST(id AS STRING) AS k", "IF(id % 2 = 0, 1, -1) * (1.7e9 + (id * 37) % 4999) AS v")
+    parts = df.select(order_bucket(F.col("v")).alias("b"), fine_bucket(F.col("v")).alias("f")).distinct()
+    assert parts.select("b").distinct().count() <= 4 and parts.count() > 8
+    assert parts.agg(F.min("f"), F.max("f")).first()[0] >= 0
+    axis = F.col("v").desc() if descending else F.col("v").asc()
+    tie = F.md5(F.col("k").cast("binary"))
+    want = df.withColumn("n", F.row_number().over(Window.orderBy(axis, tie, "k")).cast("long")).select("k", "n")
+    got = row_numbers(df, [], "v", "k", "n", descending).select("k", F.col("n").cast("long"))
+    assert got.exceptAll(want).count() == 0

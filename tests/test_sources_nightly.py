@@ -100,6 +100,7 @@ def test_nightly_end_to_end(spark, domain, landed):
     assert counts["gold.fila_semanal"] == 40 and spark.table("n_gold.modelo_metricas").count() == 1
     assert spark.table("n_silver.pedidos").select("_linhas_origem").distinct().first()[0] == 1500
 
+    assert tables.column_comments(spark, "n_gold.fato_vendas")["receita"] == schemas.FACT_COMMENTS["receita"]
     assert register_table_functions(spark, "2001-08-01", "n_")[0] == "priorizar_carteira"
     row = spark.table("n_gold.fila_semanal").first()
     mine = spark.sql(f"SELECT * FROM priorizar_carteira('{row.vendedor_id}', 2)").collect()
@@ -116,10 +117,32 @@ def test_nightly_stops_at_failed_gates(spark, landed):
     run.databases(), run.arrival(), run.bronze()
     with pytest.raises(QualityError, match="data_cadastro_obrigatoria"):
         run.silver()
+    assert not spark.catalog.tableExists("g_silver.clientes")
     run.s.strict = ("quality",)
-    run.silver(), run.gold()
+    run.silver()
+    shown = spark.sql("SHOW CREATE TABLE g_silver.clientes").first()[0]
+    run.s.strict = ("constraints", "quality")
+    with pytest.raises(QualityError, match="data_cadastro_obrigatoria"):
+        run.silver()
+    # the failing run leaves the tables of the run before
+    assert spark.sql("SHOW CREATE TABLE g_silver.clientes").first()[0] == shown
+    assert spark.table("g_silver.clientes").count() > 0
+    run.s.strict = ("quality",)
+    run.gold()
     with pytest.raises(QualityError, match="receita gold = silver"):
         run.gates()
+    assert not spark.catalog.tableExists("g_gold.fato_vendas")
+
+
+def test_publish_keeps_the_version_before(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS pub")
+    spark.range(1).write.saveAsTable("pub.t")
+    for n in (1, 2, 3):
+        tables.overwrite(tables.commented(spark.range(n), {"id": "chave"}), f"pub.t__v10{n}", "com 'aspas'")
+        tables.publish(spark, "pub.t", f"v10{n}", "com 'aspas'")
+        assert spark.table("pub.t").count() == n
+    assert {t.name for t in spark.catalog.listTables("pub") if not t.isTemporary} == {"t", "t__v102", "t__v103"}
+    assert tables.column_comments(spark, "pub.t") == {"id": "chave"}
 
 
 def test_count_mismatch_stops_bronze(spark, landed):

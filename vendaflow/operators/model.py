@@ -20,7 +20,7 @@ from vendaflow.schemas import FEATURES, LABEL
 from vendaflow.session import materialize
 
 # Boosting parameters and acceptance limits.
-ITERATIONS, LEARNING_RATE, DEPTH, MIN_LEAF, SEED = 150, 0.1, 5, 10, 42
+ITERATIONS, LEARNING_RATE, DEPTH, MIN_LEAF, MAX_BINS, SEED = 150, 0.1, 5, 10, 255, 42
 MIN_GAIN, MAX_AUC, MIN_LIFT, TOP_K = 0.05, 0.85, 2.5, 200
 PERMUTATIONS = 5
 
@@ -68,7 +68,7 @@ def fit(train: DataFrame, iterations: int = ITERATIONS) -> PipelineModel:
     """Boosted trees. Read `train` from a table or checkpoint: every tree level scans it again."""
     trees = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=iterations,
                           stepSize=LEARNING_RATE, maxDepth=DEPTH, minInstancesPerNode=MIN_LEAF,
-                          seed=SEED)
+                          maxBins=MAX_BINS, seed=SEED)
     stages = [imputer(), VectorAssembler(inputCols=MODEL_COLUMNS, outputCol="features"), trees]
     return Pipeline(stages=stages).fit(_imputable(with_indicators(train)))
 
@@ -149,6 +149,10 @@ class Evaluation:
     baselines: dict[str, float]
     feature_top_1: str | None
     linhas: int
+    menor_recencia: float | None = None
+    linhas_holdout: int = 0
+    positivos_holdout: int = 0
+    iteracoes: int = ITERATIONS
 
     @property
     def best_baseline(self) -> tuple[str, float]:
@@ -170,10 +174,11 @@ def diagnostics(spark: SparkSession, e: Evaluation) -> DataFrame:
     """One row to keep when a gate fails."""
     name, base = e.best_baseline
     return spark.createDataFrame(
-        [(e.auc, e.lift_top, e.taxa_base, base, name, e.auc - base, e.linhas,
-          datetime.now(timezone.utc))],
+        [(e.auc, e.lift_top, e.taxa_base, base, name, e.auc - base, e.linhas, e.menor_recencia, e.linhas_holdout,
+          e.positivos_holdout, e.iteracoes, datetime.now(timezone.utc))],
         "auc double, lift double, taxa_base double, melhor_baseline double, nome_melhor_baseline string, "
-        "diferenca_auc double, linhas long, ts timestamp")
+        "diferenca_auc double, linhas long, menor_recencia double, linhas_holdout long, positivos_holdout long, "
+        "iteracoes int, ts timestamp")
 
 
 def metrics_row(spark: SparkSession, e: Evaluation, version: int) -> DataFrame:
@@ -205,10 +210,13 @@ def evaluate(train: DataFrame, baselines: DataFrame, iterations: int = ITERATION
     top = None
     if importance:
         top = permutation_importance(held, split.filter("holdout")).first()["feature"]
+    seen = holdout.agg(F.count("*").alias("n"), F.sum(LABEL).alias("y")).first()
+    whole = split.agg(F.count("*").alias("n"), F.min("recencia_dias").alias("r")).first()
     figures = Evaluation(
         auc=rank_auc(oof, "score").first()["auc"] or 0.0,
         auc_holdout=rank_auc(holdout, "score").first()["auc"] or 0.0,
         lift_top=lift["lift"] or 0.0, acertos_top=lift["acertos"] or 0, taxa_base=lift["taxa_base"] or 0.0,
         baselines={r["regra"]: r["auc"] for r in baselines.collect()}, feature_top_1=top,
-        linhas=split.count())
+        linhas=whole["n"], menor_recencia=whole["r"], linhas_holdout=seen["n"], positivos_holdout=int(seen["y"] or 0),
+        iteracoes=iterations)
     return figures, oof, holdout

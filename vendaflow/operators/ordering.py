@@ -12,24 +12,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per doubling of the value. One bucket spans 0.017 % of its value.
-BUCKETS_PER_DOUBLING = 4096
-# Shifts the smallest positive double (2 ** -1074) to a positive bucket number.
+# Buckets per doubling of the value. One bucket spans 0.017 % of its value; FINE parts split it further, so that a
+# measure whose values lie close together (epoch numbers, scores near 1) is still spread over many tasks.
+BUCKETS_PER_DOUBLING, FINE = 4096, 256
+# Shifts the smallest positive double (2 ** -1074) to a positive bucket number; the largest is below twice that.
 _OFFSET = 1075 * BUCKETS_PER_DOUBLING
+_TOP = 2 * _OFFSET
 # Hex digits of the tie hash that split the holders of one value into slots.
 _SLOT_DIGITS = 3
 
 
-# Bucket of NULL: before every number, as in an ascending sort.
-_NULL_BUCKET = -(2 * 1075 * BUCKETS_PER_DOUBLING) - 1
+def _scaled(value: Column) -> tuple[Column, Column]:
+    """The value as a double, and its logarithm in buckets (NULL for zero, NaN and the infinities)."""
+    v = value.cast("double")
+    finite = F.when((v != 0) & (F.abs(v) < F.lit(float("inf"))), F.abs(v))
+    return v, F.log2(finite) * BUCKETS_PER_DOUBLING
 
 
 def order_bucket(value: Column) -> Column:
-    """Monotone non-decreasing bucket number of a finite number; NULL sorts first."""
-    v = value.cast("double")
-    size = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_DOUBLING) + _OFFSET
-    return (F.when(v > 0, size).when(v < 0, -size).when(v == 0, F.lit(0))
-            .otherwise(F.lit(_NULL_BUCKET)))
+    """Monotone non-decreasing bucket number in Spark's ascending order: NULL, -Infinity, numbers, Infinity, NaN."""
+    v, scaled = _scaled(value)
+    size = F.floor(scaled) + _OFFSET
+    return (F.when(v.isNull(), F.lit(-_TOP - 1)).when(F.isnan(v), F.lit(_TOP + 1))
+            .when(v == F.lit(float("inf")), F.lit(_TOP)).when(v == F.lit(float("-inf")), F.lit(-_TOP))
+            .when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0))).cast("long")
+
+
+def fine_bucket(value: Column) -> Column:
+    """Monotone part of a bucket, 0 to FINE - 1."""
+    v, scaled = _scaled(value)
+    part = F.floor((scaled - F.floor(scaled)) * FINE)
+    return F.coalesce(F.when(v < 0, FINE - 1 - part).otherwise(part), F.lit(0)).cast("int")
 
 
 def join_whole(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -50,24 +63,30 @@ def running_totals(df: DataFrame, part: list[str], value: str, amounts: dict[str
     names = list(amounts)
     group = F.struct(*part).alias("_g") if part else F.struct(F.lit(0)).alias("_g")
     tied = df.groupBy(group, value).agg(*[F.sum(c).alias(n) for n, c in amounts.items()])
-    bucket = order_bucket(F.col(value))
-    tied = tied.withColumn("_bucket", -bucket if descending else bucket)
+    bucket, fine = order_bucket(F.col(value)), fine_bucket(F.col(value))
+    tied = tied.withColumns({"_bucket": -bucket if descending else bucket, "_fine": -fine if descending else fine})
+
+    # Totals of earlier buckets, and of earlier parts of the same bucket: two small ordered tables, both bounded by the
+    # bucket rule, whatever the number of values.
+    parts = tied.groupBy("_g", "_bucket", "_fine").agg(*[F.sum(n).alias(f"_h_{n}") for n in names])
+    buckets = parts.groupBy("_g", "_bucket").agg(*[F.sum(f"_h_{n}").alias(f"_h_{n}") for n in names])
 
-    heads = tied.groupBy("_g", "_bucket").agg(*[F.sum(n).alias(f"_h_{n}") for n in names])
-    before = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    def earlier(keys: list[str], order: str, n: str) -> Column:
+        frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(f"_h_{n}").over(frame), F.lit(0))
     whole = Window.partitionBy("_g")
-    heads = heads.select(
-        "_g", "_bucket",
-        *[F.coalesce(F.sum(f"_h_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in names],
-        *[F.sum(f"_h_{n}").over(whole).alias(f"{n}_total") for n in names])
+    buckets = buckets.select("_g", "_bucket", *[earlier(["_g"], "_bucket", n).alias(f"_b_{n}") for n in names],
+                             *[F.sum(f"_h_{n}").over(whole).alias(f"{n}_total") for n in names])
+    parts = parts.select("_g", "_bucket", "_fine", *[earlier(["_g", "_bucket"], "_fine", n).alias(f"_f_{n}") for n in names])
+    heads = parts.join(buckets, ["_g", "_bucket"])
 
     axis = F.col(value).desc() if descending else F.col(value).asc()
-    inside = (Window.partitionBy("_g", "_bucket").orderBy(axis)
+    inside = (Window.partitionBy("_g", "_bucket", "_fine").orderBy(axis)
               .rowsBetween(Window.unboundedPreceding, 0))
     local = tied.select("*", *[F.sum(n).over(inside).alias(f"_l_{n}") for n in names])
-    return local.join(heads, ["_g", "_bucket"]).select(
+    return local.join(heads, ["_g", "_bucket", "_fine"]).select(
         *[F.col(f"_g.{c}").alias(c) for c in part], value, *names,
-        *[(F.col(f"_b_{n}") + F.col(f"_l_{n}")).alias(f"{n}_ate") for n in names],
+        *[(F.col(f"_b_{n}") + F.col(f"_f_{n}") + F.col(f"_l_{n}")).alias(f"{n}_ate") for n in names],
         *[f"{n}_total" for n in names])
 
 

@@ -19,7 +19,7 @@ def brand_revenue(fact: DataFrame) -> DataFrame:
 
 
 def top_brand(fact: DataFrame) -> DataFrame:
-    """Best brand by revenue per customer, then by name; a `min` of structs, so no group is sorted."""
+    """Best brand by revenue per customer, then by name; a `min` of structs, combined before the shuffle."""
     best = F.min(F.struct((-F.col("receita_marca")).alias("_menos"), F.col("marca"))).alias("b")
     return (brand_revenue(fact).groupBy("cliente_id").agg(best)
             .select("cliente_id", "b.marca", (-F.col("b._menos")).alias("receita_marca")))

@@ -1,6 +1,7 @@
 """The nightly run: arrival, bronze, silver, gold, gates, features, model, queue.
 
-Every stage reads tables and overwrites tables; a failed gate raises and the next stage never starts.
+Bronze, silver, gold and the queue are written as new versions beside the published tables, checked there, and published
+only when their gates pass; a failed gate raises, the next stage never starts, and readers keep the tables of the run before.
 """
 
 from __future__ import annotations
@@ -43,15 +44,35 @@ class Settings:
 class Nightly:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark, self.s = tune(spark), settings
+        self._staged: dict[tuple[str, str], str] = {}     # written in this run, not yet published
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.s.prefix}{layer}.{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(layer, table))
-
-    def _save(self, layer: str, table: str, df: DataFrame, comment: str | None = None, **kw) -> None:
-        self.s.counts[f"{layer}.{table}"] = tables.overwrite(df, self.name(layer, table), comment, **kw)
+        """The version that this run has written and not yet published, else the published table."""
+        name, version = self.name(layer, table), self._staged.get((layer, table))
+        return self.spark.table(tables.version_name(name, version) if version else name)
+
+    def _comment(self, table: str) -> str | None:
+        return schemas.TABLE_COMMENTS.get(table)
+
+    def _save(self, layer: str, table: str, df: DataFrame, **kw) -> None:
+        self.s.counts[f"{layer}.{table}"] = tables.overwrite(
+            tables.commented(df, schemas.COLUMN_COMMENTS), self.name(layer, table), self._comment(table), **kw)
+
+    def _stage(self, layer: str, table: str, df: DataFrame, **kw) -> None:
+        version = f"v{time.time_ns() // 1_000_000}"
+        self.s.counts[f"{layer}.{table}"] = tables.overwrite(
+            tables.commented(df, schemas.COLUMN_COMMENTS), tables.version_name(self.name(layer, table), version),
+            self._comment(table), **kw)
+        self._staged[layer, table] = version
+
+    def _publish(self, layer: str) -> None:
+        for (where, table), version in list(self._staged.items()):
+            if where == layer:
+                tables.publish(self.spark, self.name(layer, table), version, self._comment(table))
+                del self._staged[where, table]
 
     def _gate(self, kind: str, results: DataFrame) -> DataFrame:
         if kind in self.s.strict:
@@ -78,20 +99,21 @@ class Nightly:
     def bronze(self) -> None:
         expected = {r["arquivo"]: r["linhas"] for r in self.read("bronze", "_raw_arquivos").collect()}
         wrong = []
-        for t, (system, file, _) in schemas.RAW_TABLES.items():
+        for t, (_, file, _) in schemas.RAW_TABLES.items():
             raw = raw_csv.with_source(raw_csv.read_raw(self.spark, self.s.raw_root, t), t)
-            self._save("bronze", t, raw, f"Extrato {file} do sistema {system}; todas as colunas em texto.")
+            self._stage("bronze", t, raw)
             if self.s.counts[f"bronze.{t}"] != expected.get(file):
                 wrong.append(f"{t}: {self.s.counts[f'bronze.{t}']} lidas, {expected.get(file)} no controle")
         if wrong:
             raise CountMismatch("; ".join(wrong))
+        self._publish("bronze")
 
     def silver(self) -> None:
         raw = {t: self.read("bronze", t) for t in schemas.RAW_TABLES}
         ready: dict[str, DataFrame] = {}
 
         def save(t: str, df: DataFrame) -> None:
-            self._save("silver", t, silver.with_audit(df, self.s.counts[f"bronze.{t}"]))
+            self._stage("silver", t, silver.with_audit(df, self.s.counts[f"bronze.{t}"]))
             ready[t] = self.read("silver", t)
 
         save("produtos", silver.produtos(raw["produtos"]))
@@ -100,7 +122,7 @@ class Nightly:
         save("carteira", silver.carteira(raw["carteira"], ready["vendedores"]))
         save("clientes", silver.clientes(raw["clientes"]))
         mapping = silver.duplicate_map(silver.typed(raw["clientes"], "clientes"))
-        self._save("silver", "clientes_descartados", mapping)
+        self._stage("silver", "clientes_descartados", mapping)
         orders = silver.pedidos(raw["pedidos"])
         if self.s.remap_duplicates:
             orders = silver.remap_duplicate_ids(orders, self.read("silver", "clientes_descartados"))
@@ -112,28 +134,30 @@ class Nightly:
         self._gate("constraints", broken.selectExpr(
             "tabela || '.' || regra AS teste", "CAST(violacoes AS STRING) AS observado", "'0' AS esperado",
             "violacoes = 0 AS passou"))
+        self._publish("silver")
 
     def gold(self) -> None:
         s = {t: self.read("silver", t) for t in schemas.RAW_TABLES}
-        self._save("gold", "dim_cliente",
+        self._stage("gold", "dim_cliente",
                    gold.dim_cliente(s["clientes"], s["pedidos"], s["itens_pedido"], self.s.as_of))
-        self._save("gold", "dim_produto", gold.dim_produto(s["produtos"]))
-        self._save("gold", "dim_vendedor", gold.dim_vendedor(s["vendedores"]))
-        self._save("gold", "dim_calendario", gold.dim_calendario(self.spark, *self.s.calendar))
+        self._stage("gold", "dim_produto", gold.dim_produto(s["produtos"]))
+        self._stage("gold", "dim_vendedor", gold.dim_vendedor(s["vendedores"]))
+        self._stage("gold", "dim_calendario", gold.dim_calendario(self.spark, *self.s.calendar))
         fact = gold.fato_vendas(s["pedidos"], s["itens_pedido"], s["produtos"], s["clientes"])
-        self._save("gold", "fato_vendas", tables.commented(fact, schemas.FACT_COMMENTS),
-                   "Grão de item de pedido; sem cancelados, com devoluções.", partition_by=["ano", "mes"])
+        self._stage("gold", "fato_vendas", fact, partition_by=["ano", "mes"])
         fact = self.read("gold", "fato_vendas")
-        self._save("gold", "mart_vendas_por_vendedor",
+        self._stage("gold", "mart_vendas_por_vendedor",
                    gold.mart_vendas_por_vendedor(fact, self.read("gold", "dim_vendedor")))
-        self._save("gold", "mart_produto_performance", gold.mart_produto_performance(fact))
-        self._save("gold", "mart_financeiro_recebimento",
+        self._stage("gold", "mart_produto_performance", gold.mart_produto_performance(fact))
+        self._stage("gold", "mart_financeiro_recebimento",
                    gold.mart_financeiro_recebimento(s["pagamentos"], self.s.as_of))
 
     def gates(self) -> DataFrame:
-        return self._gate("quality", quality.quality_suite(
+        results = self._gate("quality", quality.quality_suite(
             self.read("gold", "fato_vendas"), self.read("silver", "clientes"), self.read("silver", "pedidos"),
             self.read("gold", "dim_cliente"), self.read("gold", "mart_produto_performance"), self.s.volume))
+        self._publish("gold")
+        return results
 
     def features(self) -> None:
         fact = self.read("gold", "fato_vendas")
@@ -141,9 +165,8 @@ class Nightly:
                   self.read("gold", "dim_produto"))
         training = features.training_table(features.feature_table(*inputs, self.s.train_ref), fact,
                                            self.s.train_ref)
-        self._save("gold", "features_treino", training, "Features antes do corte, com o alvo da semana seguinte.")
-        self._save("gold", "features_cliente", features.feature_table(*inputs, self.s.score_ref),
-                   "Features para pontuação; sem alvo.")
+        self._save("gold", "features_treino", training)
+        self._save("gold", "features_cliente", features.feature_table(*inputs, self.s.score_ref))
 
     def model(self) -> None:
         train = materialize(metrics.stratified_split(self.read("gold", "features_treino")), "divisao")
@@ -180,5 +203,6 @@ class Nightly:
             self.read("gold", "features_cliente"), self.read("gold", "fato_vendas"),
             self.read("gold", "dim_produto"), self.read("silver", "estoque"), as_date(self.s.as_of),
             self.s.queue_size)
-        self._save("gold", "fila_semanal", rows, "Fila semanal de ligações, numerada por vendedor.")
+        self._stage("gold", "fila_semanal", rows)
         self._gate("queue", quality.queue_tests(self.read("gold", "fila_semanal"), self.s.queue_size))
+        self._publish("gold")

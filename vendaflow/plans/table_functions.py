@@ -1,58 +1,57 @@
-"""SQL table functions over the saved tables, for callers that query by SQL."""
+"""SQL table functions for callers that query by SQL.
+
+Each one filters the DataFrame operator of the same answer for all entities, kept as a view: the rules are written once, and
+Catalyst carries the filter on the parameter down to the base tables.
+"""
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from vendaflow.operators import serving
+from vendaflow.schemas import COLUMN_COMMENTS, QUEUE_SCHEMA
+
+# name: (parameters, condition, order, description)
+FUNCTIONS = {
+    "priorizar_carteira": ("p_vendedor STRING COMMENT 'Id do vendedor', p_quantos INT COMMENT 'Quantas ligações'",
+                           "vendedor_id = p_vendedor AND ordem <= p_quantos", "ordem", "Primeiras ligações da fila de um vendedor."),
+    "contexto_cliente": ("p_cliente_id STRING COMMENT 'Id do cliente'", "cliente_id = p_cliente_id", "cliente_id",
+                         "Números, marcas e score de um cliente."),
+    "sugerir_produtos": ("p_cliente_id STRING COMMENT 'Id do cliente'", "cliente_id = p_cliente_id", "receita_total DESC, sku",
+                         "SKUs que o cliente comprava antes do período recente."),
+    "checar_disponibilidade": ("p_sku STRING COMMENT 'SKU'", "sku = p_sku", "sku", "Saldo do SKU no último inventário."),
+}
+
+
+def create(spark: SparkSession, name: str, answers: DataFrame) -> None:
+    """Create or replace one function for this session over `answers`, the operator's rows for every entity."""
+    parameters, condition, order, description = FUNCTIONS[name]
+    told = {**COLUMN_COMMENTS, **{f.name: f.metadata["comment"] for f in QUEUE_SCHEMA.fields}}
+    view = f"{name}_{uuid.uuid4().hex[:12]}"
+    answers.createOrReplaceTempView(view)
 
-from vendaflow.functions.dates import days_before
-from vendaflow.operators.ranking import LOOKBACK_DAYS
-from vendaflow.operators.serving import SUGGESTED
+    def column(f) -> str:
+        note = " COMMENT '{}'".format(told[f.name].replace("'", "''")) if f.name in told else ""
+        return f"{f.name} {f.dataType.simpleString()}{note}"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) "
+              f"RETURNS TABLE({', '.join(column(f) for f in answers.schema.fields)}) COMMENT '{description}' "
+              f"RETURN SELECT * FROM {view} WHERE {condition} ORDER BY {order}")
 
 
 def register_table_functions(spark: SparkSession, as_of: str | date, prefix: str = "") -> list[str]:
-    """Create the four lookups for this session; returns their names.
+    """Create the four functions over the saved tables, for this session; returns their names.
 
-    They are temporary because Spark calls a table function by its bare name only. Filters on the parameter sit on the base tables, so each call reads one entity's rows.
+    They are temporary because Spark calls a table function by its bare name only.
     """
-    g, s = f"{prefix}gold", f"{prefix}silver"
-    cutoff = days_before(as_of, LOOKBACK_DAYS).isoformat()
-    now = f"(SELECT * FROM {s}.estoque WHERE data_snapshot = (SELECT max(data_snapshot) FROM {s}.estoque))"
-
-    def brand(n: int) -> str:
-        return f"max(CASE WHEN posicao = {n} THEN marca END)"
-
-    functions = {
-        "priorizar_carteira": ("p_vendedor STRING, p_quantos INT", f"""
-            SELECT vendedor, ordem, cliente_id, razao_social, cidade, uf, score, faixa, ticket_medio, motivo, sugestao
-            FROM {g}.fila_semanal WHERE vendedor_id = p_vendedor AND ordem <= p_quantos"""),
-        "contexto_cliente": ("p_cliente_id STRING", f"""
-            SELECT c.cliente_id, c.razao_social, c.cidade, c.uf,
-              coalesce(round(f.ticket_medio, 2), 0D) AS ticket_medio, coalesce(round(f.valor_total, 2), 0D) AS valor_total,
-              b.marca_pref, b.segunda_marca, b.ultima_compra, c.total_pedidos AS pedidos_totais,
-              p.score AS saldo_score, p.faixa AS saldo_faixa
-            FROM {g}.dim_cliente c LEFT JOIN {g}.features_cliente f ON f.cliente_id = c.cliente_id
-            LEFT JOIN {g}.score_propensao p ON p.cliente_id = c.cliente_id
-            LEFT JOIN (
-              SELECT cliente_id, {brand(1)} AS marca_pref, {brand(2)} AS segunda_marca, max(ultima) AS ultima_compra
-              FROM (SELECT *, row_number() OVER (PARTITION BY cliente_id ORDER BY receita DESC, marca) AS posicao
-                    FROM (SELECT cliente_id, marca, sum(receita) AS receita, max(data_pedido) AS ultima
-                          FROM {g}.fato_vendas WHERE cliente_id = p_cliente_id GROUP BY cliente_id, marca))
-              GROUP BY cliente_id) b ON b.cliente_id = c.cliente_id
-            WHERE c.cliente_id = p_cliente_id"""),
-        "sugerir_produtos": ("p_cliente_id STRING", f"""
-            SELECT t.cliente_id, t.sku, d.nome AS sku_nome, d.marca, d.categoria, t.receita_total, t.ult_compra,
-              coalesce(e.saldo, 0) AS saldo_estoque, coalesce(e.ruptura, false) AS em_ruptura
-            FROM (SELECT cliente_id, sku, sum(receita) AS receita_total, max(data_pedido) AS ult_compra
-                  FROM {g}.fato_vendas WHERE cliente_id = p_cliente_id AND data_pedido < DATE '{cutoff}'
-                  GROUP BY cliente_id, sku) t
-            JOIN {g}.dim_produto d ON d.sku = t.sku LEFT JOIN {now} e ON e.sku = t.sku
-            ORDER BY t.receita_total DESC, t.sku LIMIT {SUGGESTED}"""),
-        "checar_disponibilidade": ("p_sku STRING", f"""
-            SELECT e.sku, d.nome AS sku_nome, d.marca, e.saldo, e.ruptura, e.data_snapshot
-            FROM {now} e JOIN {g}.dim_produto d ON d.sku = e.sku WHERE e.sku = p_sku"""),
-    }
-    for name, (params, body) in functions.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS TABLE RETURN {body}")
-    return list(functions)
+    def gold(t: str) -> DataFrame:
+        return spark.table(f"{prefix}gold.{t}")
+    stock, fact, products = spark.table(f"{prefix}silver.estoque"), gold("fato_vendas"), gold("dim_produto")
+    create(spark, "priorizar_carteira", gold("fila_semanal"))
+    create(spark, "contexto_cliente", serving.customer_context(
+        gold("dim_cliente"), gold("features_cliente"), gold("score_propensao"), fact))
+    create(spark, "sugerir_produtos", serving.suggest_products(fact, products, stock, as_of))
+    create(spark, "checar_disponibilidade", serving.check_availability(products, stock))
+    return list(FUNCTIONS)

@@ -89,7 +89,7 @@ SILVER_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
         ("saldo", "saldo", "int")],
 }
 
-# CHECK predicates: a row violates the rule when the predicate is false (NULL passes, as in SQL).
+# CHECK names. A row violates the rule when the predicate is false (NULL passes, as in SQL).
 CHECKS: dict[str, dict[str, str]] = {
     "clientes": {
         "cnpj_14_digitos": "length(cnpj) = 14",
@@ -102,12 +102,61 @@ CHECKS: dict[str, dict[str, str]] = {
 }
 
 FACT_COMMENTS: dict[str, str] = {
-    "quantidade": "Quantidade do item; negativa em devolução.",
-    "receita": "quantidade x preco_praticado; negativa em devolução.",
-    "custo": "quantidade absoluta x custo unitário do produto; nunca negativo.",
-    "margem": "receita menos custo; sem desconto comercial nem frete.",
-    "devolucao": "Verdadeiro quando a quantidade é negativa; a linha é mantida.",
-    "sku_descontinuado": "Situação atual do SKU no catálogo.",
+    "quantidade": "Peças da linha, com sinal: menor que zero quando volta mercadoria.",
+    "receita": "quantidade vezes preco_praticado, com o sinal da quantidade.",
+    "custo": "quantidade_abs vezes custo_unitario do cadastro; zero ou mais.",
+    "margem": "receita - custo.",
+    "devolucao": "quantidade < 0.",
+    "sku_descontinuado": "SKU inativo no cadastro de hoje.",
+}
+
+TABLE_COMMENTS: dict[str, str] = {
+    **{t: f"Extrato ou tabela limpa de {t}." for t in RAW_TABLES},
+    "_raw_arquivos": "Arquivos recebidos na última carga, com tamanho e linhas.",
+    "clientes_descartados": "Cada cadastro repetido e o cadastro que ficou no lugar.",
+    "dim_cliente": "Um cliente por linha, com o resumo das compras.",
+    "dim_produto": "Um SKU por linha.",
+    "dim_vendedor": "Um vendedor por linha.",
+    "dim_calendario": "Um dia por linha.",
+    "fato_vendas": "Uma linha de pedido faturado por linha, devoluções incluídas.",
+    "mart_vendas_por_vendedor": "Vendas de cada vendedor em cada mês, contra a meta.",
+    "mart_produto_performance": "Vendas de cada SKU em cada mês, com a classe ABC.",
+    "mart_financeiro_recebimento": "Parcelas por mês de vencimento.",
+    "features_treino": "Variáveis até o corte de treino, com o rótulo da semana seguinte.",
+    "features_cliente": "As mesmas variáveis no corte de pontuação.",
+    "score_propensao": "Propensão de compra por cliente.",
+    "calibragem_holdout": "Taxa observada por faixa na parte reservada.",
+    "diag_falha_modelo": "Números do treino que a aceitação recusou.",
+    "modelo_artefato": "Onde está o modelo salvo.",
+    "fila_semanal": "Quem ligar para quem nesta semana, e por quê.",
+}
+COLUMN_COMMENTS: dict[str, str] = {
+    **FACT_COMMENTS,
+    "cnpj": "Só dígitos, com zeros à esquerda até catorze; números maiores ficam inteiros.",
+    "data_cadastro": "Data lida de um dos dois formatos; nula quando ilegível.",
+    "qtd_registros": "Cadastros com o mesmo CNPJ.",
+    "cliente_id_mantido": "Cadastro que representa este CNPJ.",
+    "valor_liquido": "Zero em pedido cancelado.",
+    "vigente": "Carteira aberta com vendedor em atividade.",
+    "orfao_vendedor_desligado": "Carteira aberta cujo vendedor saiu.",
+    "ruptura": "Saldo igual a zero.",
+    "receita_acumulada": "Soma do valor bruto dos pedidos válidos.",
+    "dias_sem_comprar": "Dias entre o último pedido e a data de referência.",
+    "descontinuado": "O contrário de ativo.",
+    "pedidos_unicos": "Pedidos diferentes no período.",
+    "atingimento_pct": "Receita sobre a meta do mês, em %.",
+    "curva_abc": "A até 80 % da receita acumulada do mês, B até 95 %, C o resto.",
+    "atraso_medio_dias": "Média de dias depois do vencimento.",
+    "custo_taxa": "Taxas das formas de pagamento.",
+    "recencia_dias": "Dias desde a última compra antes do corte.",
+    "atraso_relativo": "Recência sobre o intervalo médio, no máximo 10.",
+    "score": "Entre 0 e 1.",
+    "faixa": "Quartil do score, do mais quente ao mais frio.",
+    "_referencia": "Data de corte.",
+    "_linhas_origem": "Linhas do extrato de origem.",
+    "_processado_em": "Momento da limpeza.",
+    "_ingerido_em": "Momento da leitura.",
+    "_arquivo_origem": "Arquivo de onde veio a linha.",
 }
 
 # The twenty model features, in table order.

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def commented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
@@ -13,12 +14,6 @@ def commented(df: DataFrame, comments: dict[str, str]) -> DataFrame:
                       for c in df.columns])
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project to a declared schema, comments included."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata)
-                      for f in schema.fields])
-
-
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("linhas")), seen
@@ -44,6 +39,27 @@ def overwrite(df: DataFrame, table: str, comment: str | None = None,
     return int(seen.get["linhas"])
 
 
+def version_name(table: str, version: str) -> str:
+    return f"{table}__{version}"
+
+
+def publish(spark: SparkSession, table: str, version: str, comment: str | None = None) -> None:
+    """Let `table`, a view, show the version written as `version_name(table, version)`.
+
+    One catalog change: readers see the old rows or the new ones, and no data moves. The version before stays for going
+    back; older ones are dropped. A plain table of that name, left by an earlier release, gives way."""
+    database, name = table.split(".")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")
+    note = " COMMENT '{}'".format(comment.replace("'", "''")) if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {table}{note} AS SELECT * FROM {version_name(table, version)}")
+    versions = sorted(t.name for t in spark.catalog.listTables(database)
+                      if not t.isTemporary and re.fullmatch(re.escape(name.lower()) + r"__v\d+", t.name.lower()))
+    current = version_name(name, version).lower()
+    for old in [v for v in versions if v.lower() < current][:-1]:
+        spark.sql(f"DROP TABLE {database}.{old}")
+
+
 def overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> int:
     """Refresh that replaces only the partitions present in `df`; the table must exist."""
     watched, seen = _counted(_clustered(df, keys))
