@@ -16,9 +16,10 @@ _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _words(text: Column) -> Column:
-    """Words after lower-casing A-Z. `lower` is faster than `translate` and the same unless other letters have case."""
+    """Words after lower-casing A-Z. `lower` is faster than `translate` and the same unless other letters have case; letters
+    that the pattern's Unicode version does not know yet may have."""
     text = F.coalesce(text.cast("string"), F.lit(""))
-    low = F.when(text.rlike(r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^A-Z]]"), F.translate(text, _UPPER, _SMALL)).otherwise(F.lower(text))
+    low = F.when(text.rlike(r"[\p{Lu}\p{Lt}\p{Nl}\p{So}\p{Cn}&&[^A-Z]]"), F.translate(text, _UPPER, _SMALL)).otherwise(F.lower(text))
     return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
