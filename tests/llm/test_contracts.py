@@ -145,7 +145,7 @@ def test_sharding(spark, documents):
     assert max(abs(s - sum(sizes.values()) / 40) for s in sizes.values()) <= max(r["size"] for r in found)
 
 
-@pytest.mark.parametrize("n", [7])
+@pytest.mark.parametrize("n", [7, 9, 10])
 def test_oracle(spark, n):
     import duckdb
 
@@ -153,6 +153,8 @@ def test_oracle(spark, n):
     c = duckdb.connect()
     for t in ("documents", "benchmark"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    want = c.execute(queries.REGISTRY[name].oracle).fetchdf().sort_values("doc_id")
-    got = queries.REGISTRY[name].run(spark, SF).toPandas()[list(want.columns)].sort_values("doc_id")
-    assert [list(map(str, r)) for r in got.values] == [list(map(str, r)) for r in want.values]
+    want = c.execute(queries.REGISTRY[name].oracle)
+    columns, by_id = [x[0] for x in want.description], lambda r: r["doc_id"]
+    want = sorted((dict(zip(columns, r)) for r in want.fetchall()), key=by_id)
+    got = sorted((r.asDict() for r in queries.REGISTRY[name].run(spark, SF).collect()), key=by_id)
+    assert got == want

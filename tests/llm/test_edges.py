@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing extra columns."""
 
+import random
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from vendaflow.llm.decontamination import find_benchmark_words
 from vendaflow.llm.embeddings import near_vectors
 from vendaflow.llm.near_duplicates import near_duplicates
 from vendaflow.llm.packing import pack
-from vendaflow.llm.pii import NO_MODEL, find_pii, fit_pii, redact
+from vendaflow.llm.pii import NO_MODEL, Taken, find_pii, fit_pii, redact
 from vendaflow.llm.queries import prepare
 from vendaflow.llm.repeats import remove_repeats
 from vendaflow.llm.secrets import find_secrets, train_randomness
@@ -141,3 +143,33 @@ def test_pipeline_stages(spark, documents):
         else:
             assert set(new) <= set(old) and len(new) > 0.8 * len(old) and all(new[i] == old[i] for i in new)
         before = after
+
+
+def test_very_many_spans_in_one_text(spark):
+    """Lists longer than a stretch, and spans tested against thousands of others, in time that grows with their number."""
+    secrets = " ".join(f"{i:032x} token: value{i} x" for i in range(1_500))
+    found = find_secrets(spark.createDataFrame([(1, secrets)], SCHEMA)).first()
+    assert found["base_sha256"] == brute.sha(brute.listed(brute.secrets(secrets), ["assign", "access", "hex"]))
+    assert (found["n_hex"], found["n_assign"], found["n_random"]) == (1_500, 1_500, 0)
+
+
+def test_taken_ranges_agree_with_comparing_all():
+    draw = random.Random(3)
+    for _ in range(200):
+        spans = [(s, 0, s + draw.randint(1, 9)) for s in (draw.randrange(80) for _ in range(draw.randrange(8)))]
+        taken = Taken(spans)
+        for _ in range(12):
+            start = draw.randrange(90)
+            end = start + draw.randint(1, 9)
+            free = all(end <= s or e <= start for s, _, e in spans)
+            assert taken.free(start, end) == free
+            if free:
+                taken.add(start, end)
+                spans.append((start, 0, end))
+
+
+def test_repeated_rows_spread_over_shards(spark):
+    """Rows that agree in everything still form gapless shards of near equal size."""
+    rows = shard_by_bytes(spark.createDataFrame([(None, "abc")] * 300 + [(i, "abc") for i in range(100)], SCHEMA), 8).collect()
+    of = {k: sorted(r["slot"] for r in rows if r["shard"] == k) for k in range(8)}
+    assert all(v == list(range(50)) for v in of.values())

@@ -16,7 +16,7 @@ from vendaflow.llm.packing import pack
 from vendaflow.llm.pii import KINDS, find_pii, fit_pii
 from vendaflow.llm.repeats import remove_repeats
 from vendaflow.llm.secrets import find_secrets
-from vendaflow.llm.sharding import shard_by_bytes
+from vendaflow.llm.sharding import ROW_OVERHEAD, shard_by_bytes
 from vendaflow.llm.token_counts import count_tokens
 from vendaflow.llm.tokens import tokenizer_path
 from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
@@ -123,6 +123,53 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
+# documents of equal sets stand for one another, so that only different sets are compared
+_OP9 = r"""
+WITH RECURSIVE
+     d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     words AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+     grams AS (
+       SELECT doc_id, n, pos, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS shingle
+       FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+     shingles AS MATERIALIZED (SELECT DISTINCT doc_id, shingle FROM grams WHERE pos <= greatest(n - 4, 1)),
+     sets AS (SELECT doc_id, count(*) AS n, sha256(string_agg(shingle, chr(10) ORDER BY shingle)) AS name FROM shingles GROUP BY doc_id),
+     named AS MATERIALIZED (
+       SELECT doc_id, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY name) END AS rep
+       FROM d LEFT JOIN sets USING (doc_id)),
+     reps AS MATERIALIZED (SELECT rep, n, shingle FROM named JOIN shingles USING (doc_id) WHERE doc_id = rep),
+     common AS (
+       SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+       FROM reps a JOIN reps b ON a.shingle = b.shingle AND a.rep < b.rep GROUP BY 1, 2),
+     links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * k >= 85 * (na + nb - k)),
+     both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+     reached(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reached r JOIN both_ways e ON r.b = e.a),
+     lowest AS (SELECT a AS rep, least(a, min(b)) AS component FROM reached GROUP BY a)
+SELECT x.doc_id, CAST(x.n AS BIGINT) AS n_shingles, coalesce(l.component, x.rep) AS component_id, x.doc_id = coalesce(l.component, x.rep) AS kept
+FROM named x LEFT JOIN lowest l USING (rep)
+"""
+
+# the checksum is computed byte by byte; its table of 256 entries follows from the polynomial
+_OP10 = f"""
+WITH RECURSIVE
+     bits(byte, c, step) AS (
+       SELECT range, range, 0 FROM range(256)
+       UNION ALL
+       SELECT byte, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+     crc AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE step = 8),
+     sized AS (
+       SELECT doc_id, strlen(coalesce(text, '')) + {ROW_OVERHEAD} AS size,
+              list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS raw
+       FROM documents),
+     summed AS (
+       SELECT doc_id, size, xor(4294967295, list_reduce(raw, lambda c, x: xor(t[xor(c & 255, x) + 1], c >> 8), 4294967295)) AS text_crc32
+       FROM sized, crc),
+     placed AS (
+       SELECT *, CAST((2 * sum(size) OVER (ORDER BY doc_id) - size) * {SHARDS} // (2 * sum(size) OVER ()) AS INTEGER) AS shard FROM summed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
 
 @dataclass(frozen=True)
 class Query:
@@ -140,5 +187,5 @@ REGISTRY = {
     "op1_token_counts": Query(op1_token_counts), "op2_secrets": Query(op2_secrets), "op3_packing": Query(op3_packing),
     "op4_near_vectors": Query(op4_near_vectors), "op5_toxicity": Query(op5_toxicity), "op6_repeats": Query(op6_repeats),
     "op7_decontamination": Query(op7_decontamination, _OP7), "op8_pii": Query(op8_pii),
-    "op9_near_duplicates": Query(op9_near_duplicates), "op10_sharding": Query(op10_sharding), "pipeline": Query(pipeline),
+    "op9_near_duplicates": Query(op9_near_duplicates, _OP9), "op10_sharding": Query(op10_sharding, _OP10), "pipeline": Query(pipeline),
 }
