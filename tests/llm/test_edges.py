@@ -173,3 +173,17 @@ def test_repeated_rows_spread_over_shards(spark):
     rows = shard_by_bytes(spark.createDataFrame([(None, "abc")] * 300 + [(i, "abc") for i in range(100)], SCHEMA), 8).collect()
     of = {k: sorted(r["slot"] for r in rows if r["shard"] == k) for k in range(8)}
     assert all(v == list(range(50)) for v in of.values())
+
+
+def test_whole_small_sets_are_decided_on_all_their_values(spark):
+    """Pairs just above and below the limit whose sets fit a sketch each, but whose union does not."""
+    rows, linked = [], {}
+    for size, common, link in ((125, 115, True), (128, 118, True), (128, 117, False)):
+        for _ in range(40):
+            i = len(rows)
+            own = [[f"{side}{i}x{w}" if w >= common + 4 else f"c{i}x{w}" for w in range(size + 4)] for side in "ab"]
+            rows += [(i, " ".join(own[0])), (i + 1, " ".join(own[1]))]
+            linked[i] = link
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {found[i][0] for i in linked} == {125, 128}
+    assert {i: found[i + 1][1] == i for i in linked} == linked

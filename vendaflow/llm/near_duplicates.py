@@ -115,18 +115,22 @@ def _comparer(percent: int, by_component: bool):
         if by_component:
             maybe &= component[left][:, None] != component[right][None, :]
         i, j = np.nonzero(maybe)
+        whole = shared[i, j].astype(np.int64)
         i, j = left[i], right[j]
         if not len(i):
             return i, j, i, i, i
         padded = np.full((m, KEEP), _PAD)
         padded[np.repeat(np.arange(m), lengths), np.arange(len(values)) - np.repeat(at, lengths)] = values
         mine = first_common(padded, lengths, i, j, key)
-        i, j = i[mine], j[mine]
+        i, j, whole = i[mine], j[mine], whole[mine]
         if not len(i):
             return i, j, i, i, i
         parts = [_estimates(padded, i[s:s + 4096], j[s:s + 4096]) for s in range(0, len(i), 4096)]
         common, union = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        # two whole sets: every common value counts, also where the union has more than k values
         exact = (n[i] <= KEEP) & (n[j] <= KEEP)
+        common = np.where(exact, whole, common)
+        union = np.where(exact, n[i] + n[j] - common, union)
         ok = np.where(exact, 100 * common >= percent * union, common >= least(n[i], n[j]) * union)
         return i[ok], j[ok], common[ok], union[ok], exact[ok]
 
@@ -194,8 +198,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     so huge groups of copies are cheap) and only its smallest id goes on. Inverted lists hold each class under every run of two
     neighbouring values (the first: from the start) among its 16 smallest; two sets at the limit have no such run in common with
     a probability of about 2e-6. Long lists are cut into blocks, and tasks compare blocks: common values, then, in the
-    first list that holds both, the estimate from the union's k smallest, which may fall 4.5 standard errors below the limit. Sets of at most k values are decided there;
-    other pairs are verified on full sets. First only a heaviest spanning forest of each list is verified; then, in lists that
+    first list that holds both, the estimate from the union's k smallest, which may fall 4.5 standard errors below the limit. Two sets of at most k values each are decided there, by all
+    their values; other pairs are verified on full sets. First only a heaviest spanning forest of each list is verified; then, in lists that
     still hold several components, all pairs that pass and lie in different ones. So no link that would join components is lost, and a group's links are
     never written out in full.
 
