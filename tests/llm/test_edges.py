@@ -187,3 +187,12 @@ def test_whole_small_sets_are_decided_on_all_their_values(spark):
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert {found[i][0] for i in linked} == {125, 128}
     assert {i: found[i + 1][1] == i for i in linked} == linked
+
+
+def test_copies_of_one_text_leave_the_fit_its_other_candidates(spark):
+    """A text with far more copies than `fit_rows` neither ends the model nor hides the other texts' candidates."""
+    prepare(spark)
+    many = " ".join(f"x {'a' * i}@{'b' * (i % 7 + 1)}.org y" for i in range(1, 60))
+    others = [f"call +1 ({200 + i}) 555-{1000 + i} {'z' * (i % 9)} or {'n' * (i % 11 + 1)}{i}@mail.org, sum {10 ** (i % 5 + 7) + i}% {i}.{i}.{i % 5} x" for i in range(150)]
+    frame = spark.createDataFrame([(1, many)] * 2_000 + [(i + 2, t) for i, t in enumerate(others)], SCHEMA)
+    assert fit_pii(frame, fit_rows=1_000) != NO_MODEL
