@@ -196,3 +196,19 @@ def test_copies_of_one_text_leave_the_fit_its_other_candidates(spark):
     others = [f"call +1 ({200 + i}) 555-{1000 + i} {'z' * (i % 9)} or {'n' * (i % 11 + 1)}{i}@mail.org, sum {10 ** (i % 5 + 7) + i}% {i}.{i}.{i % 5} x" for i in range(150)]
     frame = spark.createDataFrame([(1, many)] * 2_000 + [(i + 2, t) for i, t in enumerate(others)], SCHEMA)
     assert fit_pii(frame, fit_rows=1_000) != NO_MODEL
+
+
+def test_personal_data_in_other_forms_is_added(spark):
+    """Forms that no base pattern knows are found; values that fail a kind's check, dates and parts of identifiers are not."""
+    prepare(spark)
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 9)))
+    card = lambda: next(c for c in (str(draw.randrange(4 * 10**15, 5 * 10**15)) for _ in range(999)) if brute.luhn(c))
+    texts = [f"{word()} {word()}.{word()}@{word()}.example.com {word()} +1 ({draw.randint(200, 999)}) 555-{draw.randint(1000, 9999)} {word()} {card()} {word()} "
+             f"{draw.randint(1, 255)}.{draw.randint(1, 255)}.0.{draw.randint(1, 255)} {word()} {draw.randrange(10**15, 10**16) * 10 + 3} {word()}" for _ in range(400)]
+    model = fit_pii(spark.createDataFrame(list(enumerate(texts)), SCHEMA))
+    good = {"jo.doe(at)mail.example.org": 0, "jo.doe [at] mail.example.org": 0, "1 (743) 555-3824": 3, "743.555.38241": 3, "4111.1111.1111.1111": 2, "10[.]20[.]30[.]4": 1}
+    for span, kind in good.items():
+        assert model.spans(f"words {span} words") == ([], [(6, kind, 6 + len(span))]), span
+    for span in ("4111.1111.1111.1112", "5731080387325255", "1.2.3", "2024-01-15 1030", "300[.]20[.]30[.]4", "token = 11acdfb36bb72224148e61"):
+        assert model.spans(f"words {span} words") == ([], []), span
