@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir), works on all its predecessor kept and returns a DataFrame; all but the last return the
 columns of `documents`. `run` writes each stage's result and reads it again for the next. No stage drops rows for other
-reasons than its own decision: rows with null ids or texts pass through every filter."""
+reasons than its own decision, which is made for each row: a null or shared id neither saves a row nor condemns another."""
 
 from __future__ import annotations
 
@@ -18,6 +18,9 @@ from vendaflow.llm.tokens import tokenizer_path
 from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
 from vendaflow.session import materialize
 
+#: Number of a row within a stage, which carries decisions that belong to the row and not to its id.
+ROW = "__row"
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
@@ -25,19 +28,28 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, written once so that every reader sees the same numbers."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "linhas")
+
+
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near-duplicates."""
+    """One row of each group of near-duplicates: the one with the smallest id, a null id last; of repeated rows one."""
     prepare(spark)
-    copies = materialize(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "copias")
-    # copies grow with the corpus: never a broadcast, the same plan at every size
-    return docs.join(copies.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    rows = _numbered(docs)
+    groups = materialize(near_duplicates(rows, id_col=ROW).select(ROW, "component_id"), "copias")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", ROW)).alias("first")
+    chosen = materialize(groups.join(rows.select(ROW, "doc_id").hint("merge"), ROW).groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW)), "escolhidas")
+    # they grow with the corpus: never a broadcast, the same plan at every size
+    return rows.join(chosen.hint("merge"), ROW, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of a benchmark item."""
-    found = find_benchmark_words(docs, table(spark, sf_dir, "benchmark"))
-    leaked = materialize(found.where("contaminated and doc_id is not null").select("doc_id").distinct(), "vazados")
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    """Rows without any passage of a benchmark item."""
+    rows = _numbered(docs)
+    found = find_benchmark_words(rows, table(spark, sf_dir, "benchmark"), ROW)
+    leaked = materialize(found.where("contaminated").select(ROW), "vazados")
+    return rows.join(leaked, ROW, "left_anti").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -212,3 +212,16 @@ def test_personal_data_in_other_forms_is_added(spark):
         assert model.spans(f"words {span} words") == ([], [(6, kind, 6 + len(span))]), span
     for span in ("4111.1111.1111.1112", "5731080387325255", "1.2.3", "2024-01-15 1030", "300[.]20[.]30[.]4", "token = 11acdfb36bb72224148e61"):
         assert model.spans(f"words {span} words") == ([], []), span
+
+
+def test_pipeline_decides_rows_not_ids(spark, tmp_path):
+    """Null ids and shared ids: leaks and copies go, whatever their id, and nothing else goes with them."""
+    item, clean = " ".join(f"i{k}" for k in range(12)), " ".join(f"c{k}" for k in range(30))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    prepare(spark)
+    leaks = spark.createDataFrame([(None, f"x {item} y"), (1, f"z {item}"), (1, clean), (None, clean)], SCHEMA)
+    left = corpus_pipeline.decontamination(spark, leaks, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == [(0, clean), (1, clean)]
+    copies = spark.createDataFrame([(None, BASE), (None, BASE), (7, BASE), (4, BASE), (4, BASE), (4, clean), (None, item), (None, item), (None, None), (5, "")], SCHEMA)
+    left = corpus_pipeline.near_duplicate(spark, copies, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left) == sorted([(4, BASE), (4, clean), (0, item), (0, ""), (5, "")])
