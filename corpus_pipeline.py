@@ -20,6 +20,8 @@ from vendaflow.session import materialize
 
 #: Number of a row within a stage, which carries decisions that belong to the row and not to its id.
 ROW = "__row"
+#: Similarity in percent from which the near-duplicate stage links; the limit of `op9_near_duplicates`.
+PERCENT = 85
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """One row of each group of near-duplicates: the one with the smallest id, a null id last; of repeated rows one."""
     prepare(spark)
     rows = _numbered(docs)
-    groups = materialize(near_duplicates(rows, id_col=ROW).select(ROW, "component_id"), "copias")
+    groups = materialize(near_duplicates(rows, PERCENT, ROW).select(ROW, "component_id"), "copias")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", ROW)).alias("first")
     chosen = materialize(groups.join(rows.select(ROW, "doc_id").hint("merge"), ROW).groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW)), "escolhidas")
     # they grow with the corpus: never a broadcast, the same plan at every size
