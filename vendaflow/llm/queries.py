@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from vendaflow.llm.decontamination import find_benchmark_words
 from vendaflow.llm.embeddings import near_vectors
+from vendaflow.llm.hard_negatives import hard_negatives
 from vendaflow.llm.near_duplicates import near_duplicates
 from vendaflow.llm.packing import pack
 from vendaflow.llm.pii import KINDS, find_pii, fit_pii
 from vendaflow.llm.repeats import remove_repeats
 from vendaflow.llm.secrets import find_secrets
 from vendaflow.llm.sharding import ROW_OVERHEAD, shard_by_bytes
+from vendaflow.llm.source_divergence import source_divergence
 from vendaflow.llm.token_counts import count_tokens
 from vendaflow.llm.tokens import tokenizer_path
 from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
@@ -101,6 +103,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _OP7 = rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -170,6 +180,53 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
 FROM placed
 """
 
+_OP11 = """
+WITH r AS (
+       SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+              list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+       FROM embeddings
+       WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     scored AS MATERIALIZED (
+       SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+       FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+     positives AS (
+       SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+       QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+_OP12 = r"""
+WITH d AS (
+       SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+              regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+       FROM documents),
+     words AS MATERIALIZED (SELECT doc, lang, source, unnest(terms) AS term FROM d),
+     langs AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+     lang_sums AS (SELECT lang, count(*) AS v, sum(n) AS n FROM langs GROUP BY lang),
+     counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN langs USING (lang, term) GROUP BY ALL),
+     groups AS (
+       SELECT g.lang, g.source, coalesce(c.n, 0) AS n, coalesce(l.v, 0) AS v, coalesce(l.n, 0) AS lang_n
+       FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL) c USING (lang, source)
+       LEFT JOIN lang_sums l USING (lang)),
+     shares AS MATERIALIZED (
+       SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (g.n + 5 * g.v) AS p,
+              1 + CAST(1000000000 AS HUGEINT) * (t.n + 5) // (g.lang_n + 5 * g.v) AS q
+       FROM groups g JOIN langs t ON t.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+     sums AS (
+       SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+       FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     found AS (
+       SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+       FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+       UNION ALL
+       SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 50
+"""
+
 
 @dataclass(frozen=True)
 class Query:
@@ -187,5 +244,6 @@ REGISTRY = {
     "op1_token_counts": Query(op1_token_counts), "op2_secrets": Query(op2_secrets), "op3_packing": Query(op3_packing),
     "op4_near_vectors": Query(op4_near_vectors), "op5_toxicity": Query(op5_toxicity), "op6_repeats": Query(op6_repeats),
     "op7_decontamination": Query(op7_decontamination, _OP7), "op8_pii": Query(op8_pii),
-    "op9_near_duplicates": Query(op9_near_duplicates, _OP9), "op10_sharding": Query(op10_sharding, _OP10), "pipeline": Query(pipeline),
+    "op9_near_duplicates": Query(op9_near_duplicates, _OP9), "op10_sharding": Query(op10_sharding, _OP10),
+    "op11_hard_negatives": Query(op11_hard_negatives, _OP11), "op12_source_divergence": Query(op12_source_divergence, _OP12), "pipeline": Query(pipeline),
 }
