@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vendaflow.llm.decontamination import find_benchmark_words
 from vendaflow.llm.embeddings import near_vectors
 from vendaflow.llm.hard_negatives import hard_negatives
+from vendaflow.llm.lm_scoring import language_model_scores
 from vendaflow.llm.near_duplicates import near_duplicates
 from vendaflow.llm.packing import pack
 from vendaflow.llm.pii import KINDS, find_pii, fit_pii
@@ -111,6 +112,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_model_scores(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2)
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _OP7 = rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -245,5 +251,6 @@ REGISTRY = {
     "op4_near_vectors": Query(op4_near_vectors), "op5_toxicity": Query(op5_toxicity), "op6_repeats": Query(op6_repeats),
     "op7_decontamination": Query(op7_decontamination, _OP7), "op8_pii": Query(op8_pii),
     "op9_near_duplicates": Query(op9_near_duplicates, _OP9), "op10_sharding": Query(op10_sharding, _OP10),
-    "op11_hard_negatives": Query(op11_hard_negatives, _OP11), "op12_source_divergence": Query(op12_source_divergence, _OP12), "pipeline": Query(pipeline),
+    "op11_hard_negatives": Query(op11_hard_negatives, _OP11), "op12_source_divergence": Query(op12_source_divergence, _OP12),
+    "op13_lm_scoring": Query(op13_lm_scoring), "pipeline": Query(pipeline),
 }
