@@ -20,9 +20,9 @@ from vendaflow.llm.tables import bucketed
 from vendaflow.session import materialize
 
 #: Bytes of text of a shard (a longer text stands alone), bytes that are hashed at once.
-SHARD, SLICE = 16 << 20, 1 << 20
+SHARD, SLICE = 6 << 20, 1 << 20
 #: Requests that one bucket answers, on average.
-ASKED = 2_000_000
+ASKED = 500_000
 #: Occurrences of a context from which its pairs are dealt over several buckets: at least HOT, and no more than TOP contexts' worth.
 HOT, TOP = 65_536, 10_000
 #: Tokens of a stretch of text; the stretches of a shard's texts are followed side by side.
