@@ -16,11 +16,12 @@ from registry.oracle import REASON, half_up, quotient, sql
 from vendaflow import schemas, session
 from vendaflow.functions import text
 from vendaflow.functions.dates import date_window
-from vendaflow.operators import (features, gold, metrics, model, quality, ranking, serving, silver,
+from vendaflow.operators import (features, gold, incremental, metrics, model, quality, ranking, serving, silver,
                                  weekly_queue)
 from vendaflow.operators.ordering import exact_quantiles, row_numbers
 from vendaflow.plans import table_functions
 from vendaflow.sources import catalog, fixtures, raw_csv, tables
+from vendaflow.sources.layers import Layer
 
 
 @dataclass
@@ -251,6 +252,73 @@ def _(d):
             .groupBy("ano", "mes").agg(F.count("*").alias("linhas"), F.sum("receita").alias("receita")))
 
 
+def _database(d: Domain, name: str) -> str:
+    full = f"{name}_{uuid.uuid4().hex[:12]}"
+    d.spark.sql(f"CREATE DATABASE {full}")
+    return full
+
+
+_OLD_ORDERS = "data_pedido < DATE '2000-01-01'"
+
+
+@query("layer_publication", f"""
+SELECT * FROM (WITH p AS (SELECT count(*) FILTER ({_OLD_ORDERS}) AS antigos, count(*) AS todos FROM d_pedidos),
+     c AS (SELECT count(*) FILTER (ativo) AS ativos, count(*) AS todos FROM d_clientes)
+SELECT etapa, CASE WHEN novo THEN p.todos ELSE antigos END AS pedidos, CASE WHEN novo THEN c.todos ELSE ativos END AS clientes
+FROM (VALUES ('1 publicada', false), ('2 gravando', false), ('3 nova', true), ('4 de volta', false)) AS v(etapa, novo), p, c)""")
+def _(d):
+    """What readers of two tables of a layer see: first run, second run while it writes, published, and withdrawn."""
+    name = _database(d, "camada")
+
+    def stage(orders: DataFrame, customers: DataFrame) -> Layer:
+        run = Layer(d.spark, name)
+        run.write("pedidos", orders)
+        run.write("clientes", customers)
+        return run
+
+    def seen(label: str) -> DataFrame:
+        counts = d.spark.sql(f"SELECT '{label}' AS etapa, (SELECT count(*) FROM {name}.pedidos) AS pedidos, (SELECT count(*) FROM {name}.clientes) AS clientes")
+        return session.materialize(counts, "visto")
+    stage(d.pedidos.filter(_OLD_ORDERS), d.clientes_unicos.filter("ativo")).publish()
+    out = [seen("1 publicada")]
+    second = stage(d.pedidos, d.clientes_unicos)
+    out.append(seen("2 gravando"))
+    second.publish()
+    out.append(seen("3 nova"))
+    second.roll_back()
+    return reduce(DataFrame.unionByName, [*out, seen("4 de volta")])
+
+
+@query("fact_incremental", """
+SELECT * FROM (WITH antes AS (SELECT * FROM d_fato WHERE NOT (ano = 1999 AND mes = 7)),
+     mexido AS (SELECT DISTINCT ano, mes FROM antes WHERE (ano = 2000 AND mes = 3) OR sku = '7')
+SELECT ano, mes, linhas, CAST(receita AS DOUBLE) AS receita,
+  CASE WHEN ano = 1999 AND mes = 7 THEN 'nova' WHEN m.ano IS NOT NULL THEN 'alterada' ELSE 'igual' END AS estado,
+  NOT (ano = 1999 AND mes = 7) AND m.ano IS NULL AS mesmos_arquivos
+FROM (SELECT ano, mes, count(*) AS linhas, sum(receita) AS receita FROM d_fato GROUP BY ano, mes) LEFT JOIN mexido m USING (ano, mes))""")
+def _(d):
+    """Two runs. The first lacks one month, has another channel in a second one and another cost of one SKU; the second writes
+    only the months which that concerns and shares the files of the others."""
+    name = _database(d, "incremental")
+
+    def refresh(orders: DataFrame, products: DataFrame) -> tuple[Layer, DataFrame]:
+        run = Layer(d.spark, name)
+        incremental.refresh_fact(run, orders, d.itens, products, d.clientes_unicos)
+        run.publish()
+        files = run.read(incremental.FACT).select("ano", "mes", F.col("_metadata.file_path").alias("f"))
+        return run, session.materialize(files.groupBy("ano", "mes").agg(F.array_sort(F.collect_set("f")).alias("arquivos")), "arquivos")
+    orders = d.pedidos.filter("NOT (ano = 1999 AND mes = 7)").withColumn(
+        "canal", F.when(F.expr("ano = 2000 AND mes = 3"), F.lit("outro")).otherwise(F.col("canal")))
+    cost = F.when(F.col("sku") == "7", F.col("custo_unitario") + 1).otherwise(F.col("custo_unitario")).cast("decimal(18,2)")
+    _, before = refresh(orders, d.produtos.withColumn("custo_unitario", cost))
+    run, after = refresh(d.pedidos, d.produtos)
+    same = after.join(before.withColumnRenamed("arquivos", "antes"), ["ano", "mes"], "left").select(
+        "ano", "mes", F.coalesce(F.col("arquivos") == F.col("antes"), F.lit(False)).alias("mesmos_arquivos"))
+    months = d.spark.table(f"{name}.fato_vendas").groupBy("ano", "mes").agg(F.count("*").alias("linhas"), F.sum("receita").alias("receita"))
+    return (months.join(run.read(incremental.MONTHS).select("ano", "mes", "estado"), ["ano", "mes"]).join(same, ["ano", "mes"])
+            .select("ano", "mes", "linhas", "receita", "estado", "mesmos_arquivos"))
+
+
 @query("commented_schema", "\nUNION ALL ".join(
     f"SELECT 'fato_vendas' AS tabela, {p} AS posicao, '{c}' AS coluna, '{t}' AS tipo, '{schemas.FACT_COMMENTS[c]}' AS comentario, count({c}) AS preenchidos FROM d_fato"
     for p, c, t in ((16, "quantidade", "int"), (19, "receita", "decimal(29,2)"), (20, "custo", "decimal(29,2)"), (21, "margem", "decimal(30,2)"), (22, "devolucao", "boolean"), (23, "sku_descontinuado", "boolean"))))

@@ -134,17 +134,6 @@ def test_nightly_stops_at_failed_gates(spark, landed):
     assert not spark.catalog.tableExists("g_gold.fato_vendas")
 
 
-def test_publish_keeps_the_version_before(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS pub")
-    spark.range(1).write.saveAsTable("pub.t")
-    for n in (1, 2, 3):
-        tables.overwrite(tables.commented(spark.range(n), {"id": "chave"}), f"pub.t__v10{n}", "com 'aspas'")
-        tables.publish(spark, "pub.t", f"v10{n}", "com 'aspas'")
-        assert spark.table("pub.t").count() == n
-    assert {t.name for t in spark.catalog.listTables("pub") if not t.isTemporary} == {"t", "t__v102", "t__v103"}
-    assert tables.column_comments(spark, "pub.t") == {"id": "chave"}
-
-
 def test_count_mismatch_stops_bronze(spark, landed):
     run = Nightly(spark, settings(landed, prefix="m_"))
     run.databases(), run.arrival()

@@ -123,15 +123,3 @@ def pagamentos(raw: DataFrame) -> DataFrame:
 def estoque(raw: DataFrame) -> DataFrame:
     """Stock snapshots; a stock-out is a balance of exactly zero."""
     return typed(raw, "estoque").withColumn("ruptura", is_true(F.col("saldo") == 0))
-
-
-# Build order matters only where a second frame is needed.
-def build_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    out = {"produtos": produtos(raw["produtos"]), "vendedores": vendedores(raw["vendedores"])}
-    out["itens_pedido"] = itens_pedido(raw["itens_pedido"], out["produtos"])
-    out["carteira"] = carteira(raw["carteira"], out["vendedores"])
-    for name, build in (("clientes", clientes), ("pedidos", pedidos),
-                        ("oportunidades", oportunidades), ("visitas", visitas),
-                        ("pagamentos", pagamentos), ("estoque", estoque)):
-        out[name] = build(raw[name])
-    return out

@@ -1,7 +1,8 @@
 """The nightly run: arrival, bronze, silver, gold, gates, features, model, queue.
 
-Bronze, silver, gold and the queue are written as new versions beside the published tables, checked there, and published
-only when their gates pass; a failed gate raises, the next stage never starts, and readers keep the tables of the run before.
+Every table is written beside the published ones, checked there, and shown when the gates of its stage pass: each layer has one
+pointer, so all tables of a stage appear at once. A failed gate raises, the next stage never starts, and readers keep the tables of
+the run before. The order-line fact is refreshed by month: months whose inputs did not change are shared with the run before.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vendaflow import schemas
 from vendaflow.functions.dates import as_date
-from vendaflow.operators import (features, gold, metrics, model, quality, silver, weekly_queue)
-from vendaflow.session import materialize, tune
+from vendaflow.operators import (features, gold, incremental, metrics, model, quality, silver, weekly_queue)
+from vendaflow.session import materialize, shared_dir, tune
 from vendaflow.sources import raw_csv, tables
+from vendaflow.sources.layers import RETENTION_HOURS, Layer
 
 
 class CountMismatch(Exception):
@@ -37,22 +39,22 @@ class Settings:
     calendar: tuple[str, str] = ("2024-09-01", "2026-08-31")
     remap_duplicates: bool = False        # move orders of discarded customer ids to the kept id
     strict: tuple[str, ...] = ("constraints", "quality", "model", "queue")
-    model_root: str | None = None
+    model_root: str | None = None         # default: below the folder that driver and executors share
+    retention_hours: float = RETENTION_HOURS
     counts: dict[str, int] = field(default_factory=dict)
 
 
 class Nightly:
     def __init__(self, spark: SparkSession, settings: Settings):
         self.spark, self.s = tune(spark), settings
-        self._staged: dict[tuple[str, str], str] = {}     # written in this run, not yet published
+        self.layers = {layer: Layer(spark, f"{settings.prefix}{layer}") for layer in ("bronze", "silver", "gold")}
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.s.prefix}{layer}.{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        """The version that this run has written and not yet published, else the published table."""
-        name, version = self.name(layer, table), self._staged.get((layer, table))
-        return self.spark.table(tables.version_name(name, version) if version else name)
+        """The rows that this run has staged, else those that the layer showed when the run began."""
+        return self.layers[layer].read(table)
 
     def _comment(self, table: str) -> str | None:
         return schemas.TABLE_COMMENTS.get(table)
@@ -62,17 +64,11 @@ class Nightly:
             tables.commented(df, schemas.COLUMN_COMMENTS), self.name(layer, table), self._comment(table), **kw)
 
     def _stage(self, layer: str, table: str, df: DataFrame, **kw) -> None:
-        version = f"v{time.time_ns() // 1_000_000}"
-        self.s.counts[f"{layer}.{table}"] = tables.overwrite(
-            tables.commented(df, schemas.COLUMN_COMMENTS), tables.version_name(self.name(layer, table), version),
-            self._comment(table), **kw)
-        self._staged[layer, table] = version
+        self.s.counts[f"{layer}.{table}"] = self.layers[layer].write(
+            table, tables.commented(df, schemas.COLUMN_COMMENTS), comment=self._comment(table), **kw)
 
     def _publish(self, layer: str) -> None:
-        for (where, table), version in list(self._staged.items()):
-            if where == layer:
-                tables.publish(self.spark, self.name(layer, table), version, self._comment(table))
-                del self._staged[where, table]
+        self.layers[layer].publish(self.s.retention_hours)
 
     def _gate(self, kind: str, results: DataFrame) -> DataFrame:
         if kind in self.s.strict:
@@ -143,8 +139,8 @@ class Nightly:
         self._stage("gold", "dim_produto", gold.dim_produto(s["produtos"]))
         self._stage("gold", "dim_vendedor", gold.dim_vendedor(s["vendedores"]))
         self._stage("gold", "dim_calendario", gold.dim_calendario(self.spark, *self.s.calendar))
-        fact = gold.fato_vendas(s["pedidos"], s["itens_pedido"], s["produtos"], s["clientes"])
-        self._stage("gold", "fato_vendas", fact, partition_by=["ano", "mes"])
+        self.s.counts["gold.fato_vendas"] = incremental.refresh_fact(
+            self.layers["gold"], s["pedidos"], s["itens_pedido"], s["produtos"], s["clientes"], self._comment("fato_vendas"))
         fact = self.read("gold", "fato_vendas")
         self._stage("gold", "mart_vendas_por_vendedor",
                    gold.mart_vendas_por_vendedor(fact, self.read("gold", "dim_vendedor")))
@@ -165,14 +161,15 @@ class Nightly:
                   self.read("gold", "dim_produto"))
         training = features.training_table(features.feature_table(*inputs, self.s.train_ref), fact,
                                            self.s.train_ref)
-        self._save("gold", "features_treino", training)
-        self._save("gold", "features_cliente", features.feature_table(*inputs, self.s.score_ref))
+        self._stage("gold", "features_treino", training)
+        self._stage("gold", "features_cliente", features.feature_table(*inputs, self.s.score_ref))
+        self._publish("gold")
 
     def model(self) -> None:
         train = materialize(metrics.stratified_split(self.read("gold", "features_treino")), "divisao")
         rules = metrics.baseline_auc(train.filter("holdout"))
         figures, _, holdout = model.evaluate(train, rules, self.s.iterations)
-        self._save("gold", "calibragem_holdout", metrics.calibration_table(holdout))
+        self._stage("gold", "calibragem_holdout", metrics.calibration_table(holdout))
         results = model.gates(self.spark, figures)
         try:
             self._gate("model", results)
@@ -181,9 +178,9 @@ class Nightly:
             raise
         version = int(time.time())
         fitted = model.fit(train, self.s.iterations)
-        path = f"{(self.s.model_root or self.spark.conf.get('spark.sql.warehouse.dir') + '/modelos').rstrip('/')}/{version}"
+        path = f"{(self.s.model_root or shared_dir(self.spark) + '/modelos').rstrip('/')}/{version}"
         fitted.write().overwrite().save(path)
-        self._save("gold", "modelo_artefato", self.spark.createDataFrame(
+        self._stage("gold", "modelo_artefato", self.spark.createDataFrame(
             [(str(version), path)], "versao string, caminho string"))
         self.score(version, path)
         tables.append(model.metrics_row(self.spark, figures, version), self.name("gold", "modelo_metricas"))
@@ -193,8 +190,9 @@ class Nightly:
         base = self.read("gold", "features_cliente")
         scored = materialize(model.predict(PipelineModel.load(path), base)
                              .select("cliente_id", "score", "_referencia"), "scores")
-        self._save("gold", "score_propensao", metrics.score_bands(scored).selectExpr(
+        self._stage("gold", "score_propensao", metrics.score_bands(scored).selectExpr(
             "cliente_id", "score", "faixa", "_referencia", f"CAST({version} AS BIGINT) AS versao_modelo"))
+        self._publish("gold")
 
     def queue(self) -> None:
         rows = weekly_queue.weekly_queue(

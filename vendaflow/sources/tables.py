@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,27 +37,6 @@ def overwrite(df: DataFrame, table: str, comment: str | None = None,
     return int(seen.get["linhas"])
 
 
-def version_name(table: str, version: str) -> str:
-    return f"{table}__{version}"
-
-
-def publish(spark: SparkSession, table: str, version: str, comment: str | None = None) -> None:
-    """Let `table`, a view, show the version written as `version_name(table, version)`.
-
-    One catalog change: readers see the old rows or the new ones, and no data moves. The version before stays for going
-    back; older ones are dropped. A plain table of that name, left by an earlier release, gives way."""
-    database, name = table.split(".")
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
-        spark.sql(f"DROP TABLE {table}")
-    note = " COMMENT '{}'".format(comment.replace("'", "''")) if comment else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {table}{note} AS SELECT * FROM {version_name(table, version)}")
-    versions = sorted(t.name for t in spark.catalog.listTables(database)
-                      if not t.isTemporary and re.fullmatch(re.escape(name.lower()) + r"__v\d+", t.name.lower()))
-    current = version_name(name, version).lower()
-    for old in [v for v in versions if v.lower() < current][:-1]:
-        spark.sql(f"DROP TABLE {database}.{old}")
-
-
 def overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> int:
     """Refresh that replaces only the partitions present in `df`; the table must exist."""
     watched, seen = _counted(_clustered(df, keys))
@@ -68,6 +45,18 @@ def overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> int:
     return int(seen.get["linhas"])
 
 
+def append_batches(df: DataFrame, table: str, keys: list[str], prefix: str) -> tuple[list[str], int]:
+    """Add rows in new partitions, named by the first key; returns the names, which start with `prefix`, and the rows written."""
+    spark = df.sparkSession
+    watched, seen = _counted(_clustered(df, keys) if len(keys) > 1 else df.select(*[c for c in df.columns if c not in keys], *keys))
+    if spark.catalog.tableExists(table):
+        watched.write.insertInto(table)
+    else:
+        watched.write.format("parquet").partitionBy(*keys).saveAsTable(table)
+    named = {p.split("/")[0].split("=", 1)[1] for (p,) in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    return sorted(n for n in named if n == prefix or n.startswith(f"{prefix}-")), int(seen.get["linhas"])
+
+
 def append(df: DataFrame, table: str) -> int:
     watched, seen = _counted(df)
     watched.write.mode("append").format("parquet").saveAsTable(table)
