@@ -19,6 +19,8 @@ from vendaflow.session import materialize, tune
 # Cut-offs inside the date range of the benchmark orders.
 TRAIN_REF, SCORE_REF = "2001-07-01", "2001-08-01"
 AS_OF = SCORE_REF
+#: Twelve cut-offs, the first days of the months up to the scoring date.
+HISTORY = tuple(f"{2000 + (8 + i) // 12}-{(8 + i) % 12 + 1:02d}-01" for i in range(12))
 
 # Declared, so that no job is spent on reading file footers for a schema.
 TABLES = {

@@ -316,6 +316,8 @@ LEFT JOIN d_opp_{tag} o ON r.cliente_id = o.cliente_id LEFT JOIN d_vis_{tag} v O
 
 _feature_relations("t", TRAIN_REF)
 _feature_relations("s", SCORE_REF)
+for _i in range(12):
+    _feature_relations(f"h{_i}", f"{2000 + (8 + _i) // 12}-{(8 + _i) % 12 + 1:02d}-01")
 R["d_alvo"] = f"""
 SELECT DISTINCT cliente_id FROM d_fato WHERE data_pedido BETWEEN DATE '{TRAIN_REF}' AND DATE '{TRAIN_REF}' + 6"""
 R["d_treino"] = """

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from registry.domain import AS_OF, SCORE_REF, TRAIN_REF, Domain
+from registry.domain import AS_OF, HISTORY, SCORE_REF, TRAIN_REF, Domain
 from registry.oracle import REASON, half_up, quotient, sql
 from vendaflow import schemas, session
 from vendaflow.functions import text
-from vendaflow.functions.dates import date_window
-from vendaflow.operators import (features, gold, incremental, metrics, model, quality, ranking, serving, silver,
-                                 weekly_queue)
+from vendaflow.functions.dates import date_window, days_before
+from vendaflow.operators import (active_windows, feature_history, features, gold, incremental, metrics, model, month_quantiles, quality,
+                                 ranking, serving, silver, weekly_queue)
 from vendaflow.operators.ordering import exact_quantiles, row_numbers
 from vendaflow.plans import table_functions
 from vendaflow.sources import catalog, fixtures, raw_csv, tables
@@ -640,6 +640,13 @@ def _(d):
     return d.training
 
 
+@query("feature_history", " UNION ALL ".join(
+    f"SELECT cliente_id, {_r(*schemas.FEATURES)}, sem_historico_ritmo, _referencia FROM d_feat_h{i}" for i in range(len(HISTORY))))
+def _(d):
+    """The features at twelve cut-offs from one scan of the fact."""
+    return feature_history.feature_history(d.fato, d.oportunidades, d.visitas, d.produtos, HISTORY)
+
+
 @query("feature_checks", """
 SELECT 'treino' AS tabela, count(*) AS clientes, min(_referencia) AS corte, CAST(sum(comprou_em_7d) AS DOUBLE) AS compraram,
   min(recencia_dias) AS menor_recencia, round(100 * CAST(avg(comprou_em_7d) AS DOUBLE), 2) AS taxa_base_pct FROM d_treino
@@ -1139,6 +1146,56 @@ def _(d):
     return serving.active_customers(d.fato, AS_OF)
 
 
+@query("active_customers_by_day", f"""
+SELECT CAST(dia AS DATE) AS dia, CAST(janela AS INTEGER) AS janela, count(DISTINCT cliente_id) AS clientes_ativos
+FROM (SELECT unnest(generate_series(DATE '{AS_OF}' - 89, DATE '{AS_OF}', INTERVAL 1 DAY)) AS dia), (VALUES (7), (30), (90)) AS w(janela)
+LEFT JOIN (SELECT DISTINCT cliente_id, data_pedido FROM d_vendidas) ON data_pedido BETWEEN CAST(dia AS DATE) - janela AND CAST(dia AS DATE) GROUP BY 1, 2""")
+def _(d):
+    """Customers who bought in the last 7, 30 and 90 days, for each of 90 days, from one bitmap per day."""
+    sales = session.materialize(serving.sold(d.fato).select("cliente_id", "data_pedido").distinct(), "dias")
+    maps = active_windows.bitmaps(sales, active_windows.dense_numbers(sales, "cliente_id"), "cliente_id", ["data_pedido"])
+    found = active_windows.distinct_by_day(maps, "data_pedido", days_before(AS_OF, 89), AS_OF, [7, 30, 90])
+    return found.withColumnRenamed("distintos", "clientes_ativos")
+
+
+@query("region_customers_any_period", """
+SELECT regiao, periodo, count(DISTINCT cliente_id) AS clientes FROM (
+  SELECT regiao, cliente_id, unnest(CASE WHEN ano = 2000 AND mes <= 6 THEN ['ano 2000', 'semestre'] WHEN ano = 2000 THEN ['ano 2000', 'inverno'] WHEN ano = 2001 AND mes <= 2 THEN ['inverno'] ELSE [] END) AS periodo
+  FROM (SELECT vendedor_id, cliente_id, ano, mes FROM d_vendidas WHERE ano = 2000 AND mes <> 0 OR ano = 2001) JOIN (SELECT vendedor_id, regiao FROM d_vendedores) USING (vendedor_id))
+GROUP BY regiao, periodo""")
+def _(d):
+    """Distinct customers of each region in periods of several months, all from the same monthly bitmaps."""
+    sales = session.materialize(serving.sold(d.fato).select("cliente_id", "vendedor_id", "ano", "mes").distinct()
+                                .join(d.vendedores.select("vendedor_id", "regiao"), "vendedor_id").select("regiao", "ano", "mes", "cliente_id"), "regioes")
+    maps = session.materialize(active_windows.bitmaps(sales, active_windows.dense_numbers(sales, "cliente_id"), "cliente_id", ["regiao", "ano", "mes"]), "mapas")
+    periods = {"ano 2000": "ano = 2000", "semestre": "ano = 2000 AND mes <= 6", "inverno": "(ano = 2000 AND mes > 6) OR (ano = 2001 AND mes <= 2)"}
+    return reduce(DataFrame.unionByName, [
+        active_windows.distinct_count(maps.filter(rule), ["regiao"]).select("regiao", F.lit(name).alias("periodo"), F.col("distintos").alias("clientes"))
+        for name, rule in periods.items()])
+
+
+_ORDER_VALUES = "SELECT ano * 12 + mes - 1 AS m, sum(receita) AS valor FROM d_fato GROUP BY pedido_id, ano, mes"
+
+
+@query("order_value_sketches", f"""
+SELECT CAST(inicio AS INTEGER) AS inicio, CAST(fim AS INTEGER) AS fim, count(*) AS pedidos, round(quantile_cont(CAST(valor AS DOUBLE), 0.5), 6) AS mediana,
+  round(quantile_cont(CAST(valor AS DOUBLE), 0.9), 6) AS p90, true AS dentro_do_erro
+FROM ({_ORDER_VALUES}) JOIN (SELECT 2000 * 12 + i AS fim, 2000 * 12 + i - 3 * (i % 4) AS inicio FROM range(12) AS r(i)) ON m BETWEEN inicio AND fim GROUP BY ALL""")
+def _(d):
+    """Twelve ranges of one to ten months: number, exact median and 90 % quantile of order values, and whether the quantiles merged
+    from monthly sketches keep their rank error."""
+    orders = d.fato.groupBy("pedido_id", "ano", "mes").agg(F.sum("receita").cast("double").alias("valor"))
+    values, probs = session.materialize(orders, "valores"), {"mediana": 0.5, "p90": 0.9}
+    ranges = d.spark.createDataFrame([(24000 + i - 3 * (i % 4), 24000 + i) for i in range(12)], "inicio int, fim int")
+    sketches = session.materialize(month_quantiles.month_sketches(values, "valor"), "rascunhos")
+    found = session.materialize(month_quantiles.merged_quantiles(sketches, ranges, probs), "quantis")
+    errors = month_quantiles.rank_error(values, "valor", found, probs)
+    kept = F.greatest("erro_mediana", "erro_p90") <= month_quantiles.RANK_ERROR
+    exact = exact_quantiles(month_quantiles.in_ranges(values, ranges), "valor", probs, ["inicio", "fim"])
+    return (found.select("inicio", "fim", F.col("valores").alias("pedidos")).join(exact, ["inicio", "fim"])
+            .join(errors.select("inicio", "fim", kept.alias("dentro_do_erro")), ["inicio", "fim"]))
+
+
 @query("longest_inactive", """
 SELECT razao_social, cidade, uf, segmento, dias_sem_comprar, receita_acumulada, total_pedidos FROM (
   SELECT * FROM d_dim_cliente WHERE ativo ORDER BY ultimo_pedido ASC NULLS LAST, cliente_id LIMIT 20)""")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaflow.functions.dates import as_date, date_window, days_before
@@ -84,28 +84,25 @@ def rfm_and_rhythm(fact: DataFrame, ref: str | date) -> DataFrame:
              F.sum(F.when(in_rhythm, F.col("_gap") * F.col("_gap"))).alias("_quadrados"),
              F.sum(F.when(recent, F.col("pedidos")).otherwise(0)).cast("double")
              .alias("pedidos_ultimos_90d")))
+    return per_customer.select("cliente_id", *rhythm_columns(F.lit(cut)))
+
+
+def rhythm_columns(cut: Column) -> list[Column]:
+    """RFM and rhythm features from a customer's totals: `_primeiro`, `_ultimo`, `_pedidos` and `_quadrados` before `cut`, and
+    `frequencia_pedidos`, `valor_total`, `margem_total` and `pedidos_ultimos_90d`."""
     gaps = F.col("_pedidos") - 1
     span = F.datediff("_ultimo", "_primeiro").cast("double")
-    since = F.datediff(F.lit(cut), F.col("_ultimo")).cast("double")
+    since = F.datediff(cut, F.col("_ultimo")).cast("double")
     mean = F.when(gaps >= 1, span / gaps)
     variance = (F.coalesce("_quadrados", F.lit(0)) - span * span / gaps) / (gaps - 1)
     lateness = (F.when(F.col("_ultimo").isNull(), F.lit(None).cast("double"))
-                .when(F.col("intervalo_medio_dias") > 0,
-                      F.least(since / F.col("intervalo_medio_dias"), F.lit(MAX_LATENESS)))
+                .when(mean > 0, F.least(since / mean, F.lit(MAX_LATENESS)))
                 .otherwise(F.lit(MAX_LATENESS)))
-    return (per_customer
-            .withColumns({
-                "recencia_dias": F.greatest(F.lit(0.0), since),
-                "ticket_medio": ratio(F.col("valor_total"), F.col("frequencia_pedidos")),
-                "margem_percentual": ratio(F.col("margem_total"), F.col("valor_total")),
-                "intervalo_medio_dias": mean,
-                "desvio_intervalo_dias": F.when(gaps >= 2, F.sqrt(F.greatest(variance, F.lit(0.0)))),
-                "sem_historico_ritmo": F.col("_ultimo").isNull()})
-            .withColumn("atraso_relativo", lateness)
-            .select("cliente_id", "recencia_dias", "frequencia_pedidos", "valor_total", "ticket_medio",
-                    "margem_total", "margem_percentual", "intervalo_medio_dias",
-                    "desvio_intervalo_dias", "atraso_relativo", "pedidos_ultimos_90d",
-                    "sem_historico_ritmo"))
+    return [F.greatest(F.lit(0.0), since).alias("recencia_dias"), F.col("frequencia_pedidos"), F.col("valor_total"),
+            ratio(F.col("valor_total"), F.col("frequencia_pedidos")).alias("ticket_medio"), F.col("margem_total"),
+            ratio(F.col("margem_total"), F.col("valor_total")).alias("margem_percentual"), mean.alias("intervalo_medio_dias"),
+            F.when(gaps >= 2, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("desvio_intervalo_dias"), lateness.alias("atraso_relativo"),
+            F.col("pedidos_ultimos_90d"), F.col("_ultimo").isNull().alias("sem_historico_ritmo")]
 
 
 def orders_last_90d(fact: DataFrame, ref: str | date) -> DataFrame:
@@ -173,7 +170,7 @@ def mix(fact: DataFrame, products: DataFrame, ref: str | date) -> DataFrame:
 
 
 # Features that count or sum: absent history means zero. The others stay NULL.
-_ZERO_WHEN_ABSENT = ["oportunidades_abertas", "oportunidades_ganhas", "visitas_90d"]
+ZERO_WHEN_ABSENT = ["oportunidades_abertas", "oportunidades_ganhas", "visitas_90d"]
 
 
 def feature_table(fact: DataFrame, opps: DataFrame, visit_rows: DataFrame, products: DataFrame,
@@ -183,7 +180,7 @@ def feature_table(fact: DataFrame, opps: DataFrame, visit_rows: DataFrame, produ
               .join(mix(fact, products, ref), "cliente_id", "left")
               .join(opportunities(opps, ref), "cliente_id", "left")
               .join(visits(visit_rows, ref), "cliente_id", "left"))
-    filled = joined.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in _ZERO_WHEN_ABSENT})
+    filled = joined.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ZERO_WHEN_ABSENT})
     return filled.select("cliente_id", *FEATURES, "sem_historico_ritmo",
                          F.lit(as_date(ref)).alias("_referencia"))
 
