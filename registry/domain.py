@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaflow.operators import features, gold, ranking, silver, weekly_queue
+from vendaflow.operators import customer_serving, features, gold, ranking, silver, weekly_queue
 from vendaflow.operators.metrics import score_bands
 from vendaflow.session import materialize, tune
 
@@ -295,7 +295,14 @@ class Domain:
 
     @cached_property
     def saved_fact(self) -> DataFrame:
-        return materialize(self.fato, "fato")
+        """The fact's columns that features, marts by SKU, picks and tests read; orders and lines only, no customer attributes."""
+        fact = gold.fato_vendas(self.pedidos, self.itens, self.produtos, None)
+        return materialize(fact.select("pedido_id", "cliente_id", "data_pedido", "ano", "mes", "sku", "categoria", "marca", "quantidade_abs",
+                                       "receita", "margem", "devolucao"), "fato")
+
+    @cached_property
+    def saved_profile(self) -> DataFrame:
+        return materialize(customer_serving.customer_profile(self.saved_fact, self.saved_shelf, AS_OF), "perfil")
 
     @cached_property
     def saved_features(self) -> DataFrame:
@@ -327,5 +334,4 @@ class Domain:
     @cached_property
     def fila(self) -> DataFrame:
         return weekly_queue.weekly_queue(
-            self.saved_scores, self.carteira, self.vendedores, self.dim_cliente, self.saved_features,
-            self.saved_fact, self.dim_produto, self.estoque, AS_OF)
+            self.saved_scores, self.carteira, self.vendedores, self.dim_cliente, self.saved_features, self.saved_profile)

@@ -16,7 +16,7 @@ from registry.oracle import REASON, half_up, quotient, sql
 from vendaflow import schemas, session
 from vendaflow.functions import text
 from vendaflow.functions.dates import date_window, days_before
-from vendaflow.operators import (active_windows, feature_history, features, gold, incremental, metrics, model, month_quantiles, quality,
+from vendaflow.operators import (active_windows, customer_serving, feature_history, features, gold, incremental, metrics, model, month_quantiles, quality,
                                  ranking, serving, silver, weekly_queue)
 from vendaflow.operators.ordering import exact_quantiles, row_numbers
 from vendaflow.plans import table_functions
@@ -923,9 +923,8 @@ def _(d):
 
 @query("best_stock_suggestion", "SELECT cliente_id, marca, sku, nome, saldo, candidatos FROM d_pares_todos WHERE rn = 1")
 def _(d):
-    fact = d.saved_fact
-    return ranking.suggestions(ranking.preferred_brand(fact, d.elegiveis, AS_OF), d.saved_shelf,
-                               ranking.recent_skus(fact, AS_OF))
+    ids = weekly_queue.eligible_ids(d.saved_scores, d.carteira, d.vendedores, d.clientes_unicos, d.saved_features)
+    return customer_serving.suggestion(d.saved_profile).join(ids, "cliente_id", "left_semi")
 
 
 _QUEUE_COLUMNS = "vendedor, ordem, cliente_id, razao_social, cidade, uf, score, faixa, ticket_medio, motivo, sugestao, vendedor_id"
@@ -965,7 +964,7 @@ SELECT cliente_id, razao_social, cidade, uf, coalesce({half_up('ticket_medio', 2
 FROM d_dim_cliente LEFT JOIN (SELECT cliente_id, ticket_medio, valor_total FROM d_feat_s) USING (cliente_id)
 LEFT JOIN d_faixas USING (cliente_id) LEFT JOIN d_marcas_cliente USING (cliente_id)""")
 def _(d):
-    return serving.customer_context(d.dim_cliente, d.saved_features, d.banded_scores, d.saved_fact)
+    return serving.customer_context(d.dim_cliente, d.saved_features, d.saved_scores, d.saved_profile)
 
 
 def _suggest_oracle(strict: bool) -> str:
@@ -1015,8 +1014,12 @@ def _(d):
 
 @query("sql_contexto_cliente", same_as="customer_context")
 def _(d):
-    answers = serving.customer_context(d.dim_cliente, d.saved_features, d.saved_scores, d.saved_fact)
-    return _for_each(d, "contexto_cliente", answers, d.clientes.select("cliente_id"), "i.cliente_id")
+    """Calls answered by a table bucketed by customer."""
+    answers = serving.customer_context(d.dim_cliente, d.saved_features, d.saved_scores, d.saved_profile)
+    layer = Layer(d.spark, _database(d, "servico"))
+    layer.write("contexto_servico", answers, bucket_by=("cliente_id", 8))
+    layer.publish()
+    return _for_each(d, "contexto_cliente", layer.read("contexto_servico"), d.clientes.select("cliente_id"), "i.cliente_id")
 
 
 @query("sql_sugerir_produtos", same_as="suggest_products")

@@ -4,9 +4,11 @@ import random
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from vendaflow.operators import ranking, weekly_queue
+from registry.domain import AS_OF
+from vendaflow.operators import customer_serving, ranking, weekly_queue
 from vendaflow.schemas import QUEUE_SCHEMA
 from vendaflow.operators import quality, serving
 
@@ -96,6 +98,23 @@ def test_weekly_queue(domain):
     assert serving.prioritize_portfolio(q, 1, rep).count() == 1
 
 
+@pytest.mark.parametrize("days", [90, 400, None])
+def test_profile_equals_the_separate_picks(spark, domain, days):
+    fact, shelf = domain.saved_fact, domain.saved_shelf
+    got = customer_serving.customer_profile(fact, shelf, AS_OF, days).cache()
+    everyone = fact.select("cliente_id").distinct()
+    assert got.count() == everyone.count()
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()))
+    want = ranking.suggestions(ranking.preferred_brand(fact, everyone, AS_OF, days), shelf, ranking.recent_skus(fact, AS_OF))
+    assert rows(customer_serving.suggestion(got)) == rows(want)
+    for n, column in ((1, "marca_pref"), (2, "segunda_marca")):
+        assert rows(got.where(f"{column} IS NOT NULL").select("cliente_id", column)) == rows(ranking.nth_brand(fact, n).select("cliente_id", "marca"))
+    assert rows(got.select("cliente_id", "ultima_compra")) == rows(ranking.last_purchase(fact))
+    got.unpersist()
+
+
 def test_shelf_numbers_only_stocked(spark):
     p = spark.createDataFrame([("a", "n", "M"), ("b", "n", "M"), ("c", "n", "M")], "sku string, nome string, marca string")
     s = spark.createDataFrame([(date(2026, 1, 1), "a", 3), (date(2026, 1, 1), "b", 0), (date(2026, 1, 1), "c", 7)],

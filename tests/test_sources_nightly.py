@@ -101,10 +101,19 @@ def test_nightly_end_to_end(spark, domain, landed):
     assert spark.table("n_silver.pedidos").select("_linhas_origem").distinct().first()[0] == 1500
 
     assert tables.column_comments(spark, "n_gold.fato_vendas")["receita"] == schemas.FACT_COMMENTS["receita"]
-    assert register_table_functions(spark, "2001-08-01", "n_")[0] == "priorizar_carteira"
+    assert register_table_functions(spark, "n_")[0] == "priorizar_carteira"
     row = spark.table("n_gold.fila_semanal").first()
     mine = spark.sql(f"SELECT * FROM priorizar_carteira('{row.vendedor_id}', 2)").collect()
     assert mine and all(r.ordem <= 2 for r in mine)
+    # a lookup reads one bucket of one table and nothing of the fact; the planner prints buckets of bucketed scans only
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        for call, table in ((f"contexto_cliente('{row.cliente_id}')", "contexto_servico"), (f"sugerir_produtos('{row.cliente_id}')", "sugestoes_servico"),
+                            ("checar_disponibilidade('10')", "disponibilidade_servico")):
+            plan = spark.sql(f"SELECT * FROM {call}")._jdf.queryExecution().executedPlan().toString()
+            assert "SelectedBucketsCount: 1 out of 32" in plan and plan.count("FileScan") == 1 and f"{table}__dados" in plan
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     ctx = spark.sql(f"SELECT * FROM contexto_cliente('{row.cliente_id}')").first()
     assert ctx.cliente_id == row.cliente_id and ctx.marca_pref
     sug = spark.sql(f"SELECT * FROM sugerir_produtos('{row.cliente_id}')").collect()

@@ -76,8 +76,8 @@ def calendar_spanning(df: DataFrame, column: str) -> DataFrame:
     return _calendar_columns(bounds.select(F.explode(F.sequence("a", "b")).alias("data")))
 
 
-def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """Order-line fact: cancelled orders out, returns in with their negative sign.
+def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, customers: DataFrame | None) -> DataFrame:
+    """Order-line fact: cancelled orders out, returns in with their negative sign. Without `customers` their attributes are left out.
 
     Customer attributes are joined to orders, which are far fewer than lines, so lines are shuffled
     once (by order). No join is hinted: products and customers are broadcast only when their
@@ -91,12 +91,13 @@ def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, custom
                  "devolucao", "sku_descontinuado"))
     p = (products.filter("custo_unitario IS NOT NULL")
          .select("sku", "categoria", "marca", "nota_olfativa", "custo_unitario"))
-    c = customers.select("cliente_id", "razao_social", "segmento", "cidade")
+    named = [] if customers is None else ["razao_social", "segmento", "cidade"]
+    if customers is not None:
+        o = o.join(customers.select("cliente_id", *named), "cliente_id", "left")
     receita = F.col("quantidade") * F.col("preco_praticado")
     custo = F.col("quantidade_abs") * F.col("custo_unitario")
-    return (i.join(o.join(c, "cliente_id", "left"), "pedido_id").join(p, "sku")
-            .select("pedido_id", "item_id", "cliente_id", "razao_social", "segmento", "cidade",
-                    "data_pedido", "ano", "mes", "canal", "sku", "categoria", "marca",
+    return (i.join(o, "pedido_id").join(p, "sku")
+            .select("pedido_id", "item_id", "cliente_id", *named, "data_pedido", "ano", "mes", "canal", "sku", "categoria", "marca",
                     "nota_olfativa", "vendedor_id", "quantidade", "quantidade_abs",
                     "preco_praticado", receita.alias("receita"), custo.alias("custo"),
                     (receita - custo).alias("margem"), "devolucao", "sku_descontinuado"))

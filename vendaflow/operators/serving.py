@@ -32,22 +32,16 @@ def prioritize_portfolio(queue: DataFrame, n: int, vendedor_id: str | None = Non
     return rows.filter(F.col("ordem") <= n)
 
 
-def customer_context(customers: DataFrame, features: DataFrame, scores: DataFrame, fact: DataFrame,
+def customer_context(customers: DataFrame, features: DataFrame, scores: DataFrame, profile: DataFrame,
                      cliente_id: str | None = None) -> DataFrame:
-    """Ticket, revenue, two best brands, last purchase and score; the id filter reaches every input."""
+    """Ticket, revenue, two best brands, last purchase and score; `profile` is that of `customer_serving`. The id filter reaches every input."""
     def only(df: DataFrame) -> DataFrame:
         return df if cliente_id is None else df.filter(F.col("cliente_id") == cliente_id)
 
-    spent = only(fact).groupBy("cliente_id", "marca").agg(F.sum("receita").alias("receita"), F.max("data_pedido").alias("ultima"))
-    best = Window.partitionBy("cliente_id").orderBy(F.desc("receita"), "marca")
-    brands = (spent.withColumn("posicao", F.row_number().over(best)).groupBy("cliente_id")
-              .agg(F.max(F.when(F.col("posicao") == 1, F.col("marca"))).alias("marca_pref"),
-                   F.max(F.when(F.col("posicao") == 2, F.col("marca"))).alias("segunda_marca"),
-                   F.max("ultima").alias("ultima_compra")))
     return (only(customers)
             .join(only(features).select("cliente_id", "ticket_medio", "valor_total"), "cliente_id", "left")
             .join(only(scores).select("cliente_id", "score", "faixa"), "cliente_id", "left")
-            .join(brands, "cliente_id", "left")
+            .join(only(profile).select("cliente_id", "marca_pref", "segunda_marca", "ultima_compra"), "cliente_id", "left")
             .select("cliente_id", "razao_social", "cidade", "uf",
                     F.coalesce(F.round("ticket_medio", 2), F.lit(0.0)).alias("ticket_medio"),
                     F.coalesce(F.round("valor_total", 2), F.lit(0.0)).alias("valor_total"),

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaflow.operators.ordering import exact_quantiles
-from vendaflow.operators.ranking import LOOKBACK_DAYS, preferred_brand, recent_skus, shelf, suggestions
+from vendaflow.operators.customer_serving import suggestion
 from vendaflow.schemas import QUEUE_SCHEMA
 from vendaflow.session import materialize
 
@@ -78,22 +76,20 @@ def with_reason(df: DataFrame, features: DataFrame) -> DataFrame:
     return df.withColumn("motivo", reason(revenue_threshold(features)))
 
 
-def weekly_queue(scores: DataFrame, portfolio: DataFrame, reps: DataFrame, customers: DataFrame,
-                 features: DataFrame, fact: DataFrame, products: DataFrame, stock: DataFrame,
-                 as_of: str | date, k: int = QUEUE_SIZE,
-                 lookback_days: int | None = LOOKBACK_DAYS) -> DataFrame:
-    """Filter, limit, then number per rep; one row per customer.
+def eligible_ids(scores: DataFrame, portfolio: DataFrame, reps: DataFrame, customers: DataFrame, features: DataFrame) -> DataFrame:
+    """Ids of `eligible`: keys only, so any table with one row per customer may stand for the dimension."""
+    return (scores.select("cliente_id").join(current_assignment(portfolio, reps), "cliente_id", "left_semi")
+            .join(customers.select("cliente_id"), "cliente_id", "left_semi").join(features.select("cliente_id"), "cliente_id", "left_semi"))
 
-    The k customers and the numbered shelf feed several branches, so both are written once.
-    """
+
+def weekly_queue(scores: DataFrame, portfolio: DataFrame, reps: DataFrame, customers: DataFrame, features: DataFrame,
+                 profile: DataFrame, k: int = QUEUE_SIZE) -> DataFrame:
+    """Filter, limit, then number per rep; one row per customer, with the product that `profile` (of `customer_serving`) offers.
+
+    The k customers feed several branches, so they are written once."""
     top = materialize(top_customers(eligible(scores, portfolio, reps, customers, features), k), "top")
-    places = materialize(shelf(products, stock), "estante")
-    ids = top.select("cliente_id")
-    preferred = preferred_brand(fact, ids, as_of, lookback_days)
-    bought = recent_skus(fact.join(ids, "cliente_id", "left_semi"), as_of)
-    picks = suggestions(preferred, places, bought).select(
-        "cliente_id", F.concat("sku", F.lit(TEXT_SUGGESTION[0]), "nome", F.lit(TEXT_SUGGESTION[1]),
-                               F.col("saldo").cast("string"), F.lit(TEXT_SUGGESTION[2])).alias("_sug"))
+    text = F.concat("sku", F.lit(TEXT_SUGGESTION[0]), "nome", F.lit(TEXT_SUGGESTION[1]), F.col("saldo").cast("string"), F.lit(TEXT_SUGGESTION[2]))
+    picks = suggestion(profile).select("cliente_id", text.alias("_sug"))
     per_rep = Window.partitionBy("vendedor_id").orderBy(F.desc("score"), "cliente_id")
     numbered = with_reason(top, features).withColumn("ordem", F.row_number().over(per_rep))
     return (numbered.join(picks, "cliente_id", "left")

@@ -15,8 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from vendaflow import schemas
-from vendaflow.functions.dates import as_date
-from vendaflow.operators import (features, gold, incremental, metrics, model, quality, silver, weekly_queue)
+from vendaflow.operators import (customer_serving, features, gold, incremental, metrics, model, quality, ranking, serving, silver, weekly_queue)
 from vendaflow.session import materialize, shared_dir, tune
 from vendaflow.sources import raw_csv, tables
 from vendaflow.sources.layers import RETENTION_HOURS, Layer
@@ -41,6 +40,7 @@ class Settings:
     strict: tuple[str, ...] = ("constraints", "quality", "model", "queue")
     model_root: str | None = None         # default: below the folder that driver and executors share
     retention_hours: float = RETENTION_HOURS
+    buckets: int = 32                     # of the tables that lookups read; a lookup reads one
     counts: dict[str, int] = field(default_factory=dict)
 
 
@@ -78,7 +78,7 @@ class Nightly:
     def run(self) -> dict[str, int]:
         """All stages in order; returns the rows written per table."""
         for stage in (self.databases, self.arrival, self.bronze, self.silver, self.gold, self.gates,
-                      self.features, self.model, self.queue):
+                      self.features, self.model, self.profile, self.queue, self.lookups):
             stage()
         return self.s.counts
 
@@ -194,13 +194,26 @@ class Nightly:
             "cliente_id", "score", "faixa", "_referencia", f"CAST({version} AS BIGINT) AS versao_modelo"))
         self._publish("gold")
 
+    def profile(self) -> None:
+        """One row per customer, read by the queue and the lookups."""
+        places = materialize(ranking.shelf(self.read("gold", "dim_produto"), self.read("silver", "estoque")), "estante")
+        rows = customer_serving.customer_profile(self.read("gold", "fato_vendas"), places, self.s.as_of)
+        self._stage("gold", "perfil_cliente", rows, bucket_by=("cliente_id", self.s.buckets))
+
     def queue(self) -> None:
         rows = weekly_queue.weekly_queue(
-            self.read("gold", "score_propensao"), self.read("silver", "carteira"),
-            self.read("silver", "vendedores"), self.read("gold", "dim_cliente"),
-            self.read("gold", "features_cliente"), self.read("gold", "fato_vendas"),
-            self.read("gold", "dim_produto"), self.read("silver", "estoque"), as_date(self.s.as_of),
-            self.s.queue_size)
+            self.read("gold", "score_propensao"), self.read("silver", "carteira"), self.read("silver", "vendedores"),
+            self.read("gold", "dim_cliente"), self.read("gold", "features_cliente"), self.read("gold", "perfil_cliente"), self.s.queue_size)
         self._stage("gold", "fila_semanal", rows)
         self._gate("queue", quality.queue_tests(self.read("gold", "fila_semanal"), self.s.queue_size))
+
+    def lookups(self) -> None:
+        """Answers of the table functions, laid out by the id they are asked for, and shown together with the queue they belong to."""
+        products, stock = self.read("gold", "dim_produto"), self.read("silver", "estoque")
+        context = serving.customer_context(self.read("gold", "dim_cliente"), self.read("gold", "features_cliente"),
+                                           self.read("gold", "score_propensao"), self.read("gold", "perfil_cliente"))
+        wanted = serving.suggest_products(self.read("gold", "fato_vendas"), products, stock, self.s.as_of)
+        for table, rows, key in (("contexto_servico", context, "cliente_id"), ("sugestoes_servico", wanted, "cliente_id"),
+                                 ("disponibilidade_servico", serving.check_availability(products, stock), "sku")):
+            self._stage("gold", table, rows, bucket_by=(key, self.s.buckets))
         self._publish("gold")

@@ -7,11 +7,8 @@ Catalyst carries the filter on the parameter down to the base tables.
 from __future__ import annotations
 
 import uuid
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 
-from vendaflow.operators import serving
 from vendaflow.schemas import COLUMN_COMMENTS, QUEUE_SCHEMA
 
 # name: (parameters, condition, order, description)
@@ -41,17 +38,17 @@ def create(spark: SparkSession, name: str, answers: DataFrame) -> None:
               f"RETURN SELECT * FROM {view} WHERE {condition} ORDER BY {order}")
 
 
-def register_table_functions(spark: SparkSession, as_of: str | date, prefix: str = "") -> list[str]:
-    """Create the four functions over the saved tables, for this session; returns their names.
+#: Table in the gold layer that answers each function, laid out by the id it is asked for.
+SERVED_BY = {"priorizar_carteira": "fila_semanal", "contexto_cliente": "contexto_servico", "sugerir_produtos": "sugestoes_servico",
+             "checar_disponibilidade": "disponibilidade_servico"}
+
+
+def register_table_functions(spark: SparkSession, prefix: str = "") -> list[str]:
+    """Create the four functions over the tables that the nightly run saved, for this session; returns their names. A call for one
+    customer or SKU reads one bucket of one table, not the fact.
 
     They are temporary because Spark calls a table function by its bare name only.
     """
-    def gold(t: str) -> DataFrame:
-        return spark.table(f"{prefix}gold.{t}")
-    stock, fact, products = spark.table(f"{prefix}silver.estoque"), gold("fato_vendas"), gold("dim_produto")
-    create(spark, "priorizar_carteira", gold("fila_semanal"))
-    create(spark, "contexto_cliente", serving.customer_context(
-        gold("dim_cliente"), gold("features_cliente"), gold("score_propensao"), fact))
-    create(spark, "sugerir_produtos", serving.suggest_products(fact, products, stock, as_of))
-    create(spark, "checar_disponibilidade", serving.check_availability(products, stock))
+    for name, table in SERVED_BY.items():
+        create(spark, name, spark.table(f"{prefix}gold.{table}"))
     return list(FUNCTIONS)

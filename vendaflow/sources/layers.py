@@ -78,16 +78,19 @@ class Layer:
     # ---- staging --------------------------------------------------------------------------------
 
     def write(self, table: str, df: DataFrame, partition_by: list[str] | None = None, comment: str | None = None,
-              shared: Iterable[str] = ()) -> int:
+              shared: Iterable[str] = (), bucket_by: tuple[str, int] | None = None) -> int:
         """Stage `df` as new batches of `table`, beside the batches `shared` with earlier runs; returns the rows written.
 
+        `bucket_by` (column, buckets) lays rows out for lookups: a query for one value reads one bucket, whose files are sorted by the
+        column and carry a Bloom filter of it.
+
         A partitioned table has one batch per partition and run, so that a later run can share single partitions."""
         keys = partition_by or []
-        data = self.data_table(table, df, keys)
+        data = self.data_table(table, df, [*keys, *map(str, bucket_by or ())])
         self._writes += 1
         prefix = f"{self.run}n{self._writes}"
         parts = [F.lit(prefix), *(F.coalesce(F.col(k).cast("string"), F.lit("nulo")) for k in keys)]
-        written, rows = append_batches(df.withColumn(BATCH, F.concat_ws("-", *parts)), f"{self.database}.{data}", [BATCH, *keys], prefix)
+        written, rows = append_batches(df.withColumn(BATCH, F.concat_ws("-", *parts)), f"{self.database}.{data}", [BATCH, *keys], prefix, bucket_by)
         self._staged[table] = (data, [*shared, *written])
         self._notes[table] = comment
         return rows

@@ -45,14 +45,23 @@ def overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> int:
     return int(seen.get["linhas"])
 
 
-def append_batches(df: DataFrame, table: str, keys: list[str], prefix: str) -> tuple[list[str], int]:
-    """Add rows in new partitions, named by the first key; returns the names, which start with `prefix`, and the rows written."""
+def append_batches(df: DataFrame, table: str, keys: list[str], prefix: str,
+                   bucket_by: tuple[str, int] | None = None) -> tuple[list[str], int]:
+    """Add rows in new partitions, named by the first key; returns the names, which start with `prefix`, and the rows written.
+
+    With `bucket_by` (column, buckets) each bucket is one sorted file per batch, with a Bloom filter of the column."""
     spark = df.sparkSession
+    if bucket_by:
+        df = df.repartition(bucket_by[1], bucket_by[0])
     watched, seen = _counted(_clustered(df, keys) if len(keys) > 1 else df.select(*[c for c in df.columns if c not in keys], *keys))
     if spark.catalog.tableExists(table):
         watched.write.insertInto(table)
     else:
-        watched.write.format("parquet").partitionBy(*keys).saveAsTable(table)
+        writer = watched.write.format("parquet").partitionBy(*keys)
+        if bucket_by:
+            column, buckets = bucket_by
+            writer = writer.bucketBy(buckets, column).sortBy(column).option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer.saveAsTable(table)
     named = {p.split("/")[0].split("=", 1)[1] for (p,) in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     return sorted(n for n in named if n == prefix or n.startswith(f"{prefix}-")), int(seen.get["linhas"])
 
