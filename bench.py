@@ -21,6 +21,7 @@ HEADLINE = [
     "abc_curve", "mart_financeiro", "order_gaps", "feature_table", "training_table", "univariate_auc",
     "score_bands", "calibration_table", "suggest_products", "customer_context", "weekly_queue",
     "kpi_monthly", "sales_by_dimensions", "top20_customers", "sales_by_region_month", "quality_suite",
+    "feature_history", "active_customers_by_day", "order_value_sketches", "best_stock_suggestion",
 ]
 
 

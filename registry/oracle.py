@@ -219,13 +219,18 @@ SELECT * EXCLUDE (qtd_registros, quantos, bruto), coalesce(quantos, 0) AS total_
   CAST(coalesce(bruto, 0) AS DOUBLE) AS receita_acumulada, CAST(DATE '{SCORE_REF}' - ultimo_pedido AS INTEGER) AS dias_sem_comprar
 FROM d_clientes LEFT JOIN d_historico USING (cliente_id)"""
 R["d_vendidas"] = "SELECT * FROM d_fato WHERE NOT devolucao"
+# lines to orders, orders to the customers whom a rep served in a month, those to the month
+R["d_pedido_rep"] = "SELECT vendedor_id, cliente_id, ano, mes, pedido_id, sum(receita) AS valor, sum(margem) AS ganho FROM d_fato GROUP BY ALL"
+R["d_cliente_rep"] = """
+SELECT vendedor_id, ano, mes, cliente_id, count(*) AS quantos, sum(valor) AS valor, sum(ganho) AS ganho FROM d_pedido_rep GROUP BY ALL"""
+R["d_mes_rep"] = """
+SELECT vendedor_id, ano, mes, count(cliente_id) AS clientes_atendidos, CAST(sum(quantos) AS BIGINT) AS pedidos_unicos, sum(valor) AS valor, sum(ganho) AS ganho
+FROM d_cliente_rep GROUP BY ALL"""
 R["d_mart_vendedor"] = f"""
-SELECT f.vendedor_id, ano, mes, count(DISTINCT pedido_id) AS pedidos_unicos, count(DISTINCT cliente_id) AS clientes_atendidos,
-  CAST(sum(receita) AS DOUBLE) AS receita, CAST(sum(margem) AS DOUBLE) AS margem,
-  CAST(sum(receita) - sum(margem) AS DOUBLE) AS custo, CAST(meta_mensal AS DOUBLE) AS meta_mensal,
-  CASE WHEN meta_mensal > 0 THEN {quotient('sum(receita)', 'meta_mensal', 100, 2)} END AS atingimento_pct,
-  {quotient('sum(receita)', 'count(DISTINCT cliente_id)', 1, 2)} AS ticket_por_cliente
-FROM d_fato f JOIN d_vendedores v ON f.vendedor_id = v.vendedor_id GROUP BY f.vendedor_id, ano, mes, meta_mensal"""
+SELECT * EXCLUDE (valor, ganho, meta), CAST(meta AS DOUBLE) AS meta_mensal, CAST(valor AS DOUBLE) AS receita, CAST(ganho AS DOUBLE) AS margem,
+  CAST(valor - ganho AS DOUBLE) AS custo, {quotient('valor', 'clientes_atendidos', 1, 2)} AS ticket_por_cliente,
+  CASE WHEN meta > 0 THEN {quotient('valor', 'meta', 100, 2)} END AS atingimento_pct
+FROM d_mes_rep JOIN (SELECT vendedor_id, meta_mensal AS meta FROM d_vendedores) USING (vendedor_id)"""
 R["d_sku_mes"] = f"""
 SELECT sku, categoria, marca, ano, mes, CAST(sum(quantidade_abs) AS BIGINT) AS quantidade, sum(receita) AS receita,
   sum(margem) AS margem, {quotient('sum(margem)', 'nullif(sum(receita), 0)', 100, 2)} AS margem_pct

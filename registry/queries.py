@@ -7,6 +7,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -521,11 +523,12 @@ def _(d):
 
 
 _FIN = """
-SELECT CAST(year(data_vencimento) AS INTEGER) AS ano, CAST(month(data_vencimento) AS INTEGER) AS mes,
-  count(DISTINCT pedido_id) AS pedidos, count(DISTINCT pagamento_id) AS pagamentos,
-  CAST(sum(valor) AS DOUBLE) AS valor_a_receber, CAST(sum(valor_liquido) AS DOUBLE) AS recebido,
-  round(avg({end} - data_vencimento), 1) AS atraso_medio_dias,
-  CAST(round(sum(valor * taxa_pct) / 100, 2) AS DOUBLE) AS custo_taxa FROM d_pagamentos GROUP BY 1, 2"""
+SELECT ano, mes, count(*) AS pedidos, CAST(sum(quantos) AS BIGINT) AS pagamentos, CAST(sum(bruto) AS DOUBLE) AS valor_a_receber,
+  CAST(sum(liquido) AS DOUBLE) AS recebido, round(sum(dias) / sum(contados), 1) AS atraso_medio_dias, CAST(round(sum(taxas) / 100, 2) AS DOUBLE) AS custo_taxa
+FROM (SELECT CAST(year(data_vencimento) AS INTEGER) AS ano, CAST(month(data_vencimento) AS INTEGER) AS mes, pedido_id, count(DISTINCT pagamento_id) AS quantos,
+        sum(valor) AS bruto, sum(valor_liquido) AS liquido, sum(valor * taxa_pct) AS taxas,
+        sum({end} - data_vencimento) AS dias, count({end} - data_vencimento) AS contados FROM d_pagamentos GROUP BY ALL)
+GROUP BY ano, mes"""
 
 
 @query("mart_financeiro", _FIN.format(end=f"DATE '{AS_OF}'"))
@@ -825,6 +828,15 @@ def _(d):
     return scored.select("cliente_id", (F.col("score") >= 0.5).alias("regra"))
 
 
+@query("model_reloaded", same_as="score_planted_signal")
+def _(d):
+    """The planted signal scored by a model that was saved and read back, as a later run does."""
+    path = session.scratch_path(d.spark, "modelo")
+    model.fit(_planted_input(d), 5).write().save(path)
+    scored = model.predict(PipelineModel.load(path), d.features(SCORE_REF))
+    return scored.select("cliente_id", (F.col("score") >= 0.5).alias("regra"))
+
+
 @query("oof_scores", f"""
 SELECT cliente_id, CAST(rk % 5 AS INTEGER) AS fold, CAST(comprou_em_7d AS DOUBLE) AS comprou_em_7d, true AS valido
 FROM (SELECT *, {_HOLD} AS rk FROM d_treino)""")
@@ -955,6 +967,13 @@ def _(d):
     return serving.queue_listing(d.fila)
 
 
+@query("queue_listing_of_a_rep", """
+SELECT ordem, razao_social, cidade, score, faixa, motivo, sugestao, vendedor FROM d_fila WHERE vendedor = (SELECT min(vendedor) FROM d_fila)""")
+def _(d):
+    queue = session.materialize(d.fila, "fila")
+    return serving.queue_listing(queue, queue.agg(F.min("vendedor")).first()[0])
+
+
 # ---- lookups ------------------------------------------------------------------------------------
 
 @query("customer_context", f"""
@@ -1050,6 +1069,14 @@ def _(d):
     return serving.kpi_monthly(filtered).select("ano", "mes", "receita", "margem", "pedidos_unicos")
 
 
+@query("kpi_of_a_city", """
+SELECT ano, mes, CAST(sum(receita) AS DOUBLE) AS receita, CAST(sum(margem) AS DOUBLE) AS margem, count(DISTINCT pedido_id) AS pedidos_unicos
+FROM d_fato WHERE cidade = (SELECT max(cidade) FROM d_clientes) GROUP BY 1, 2""")
+def _(d):
+    city = d.clientes.agg(F.max("cidade")).first()[0]
+    return serving.kpi_monthly(serving.dashboard_filter(d.fato, cidade=city)).select("ano", "mes", "receita", "margem", "pedidos_unicos")
+
+
 @query("sales_by_dimensions", f"SELECT canal, segmento, cidade, cliente_id, razao_social, marca, categoria, quantidade, {_d('receita', 'margem')}, margem_pct FROM d_dimensoes")
 def _(d):
     return serving.sales_by_dimensions(d.fato)
@@ -1236,6 +1263,24 @@ def _(d):
                                  gold.mart_produto_performance(fact))
 
 
+@query("asserting_aborts", f"SELECT teste, NOT passou AS abortou FROM ({REGISTRY['quality_suite'].oracle})")
+def _(d):
+    """Each test of the suite as a query that aborts when the test fails."""
+    fact = d.saved_fact
+    results = session.materialize(quality.quality_suite(fact, d.clientes, d.pedidos, d.dim_cliente, gold.mart_produto_performance(fact)), "testes")
+
+    def aborts(test: str) -> bool:
+        try:
+            quality.asserting(results.filter(F.col("teste") == test)).collect()
+        except SparkRuntimeException as e:
+            if e.getCondition() != "USER_RAISED_EXCEPTION" or f"FALHOU: {test}" not in str(e):
+                raise
+            return True
+        return False
+    told = [(r["teste"], aborts(r["teste"])) for r in results.select("teste").collect()]
+    return results.select("teste").join(d.spark.createDataFrame(told, "teste string, abortou boolean"), "teste")
+
+
 @query("test_orphan_orders", "SELECT pedido_id FROM d_fato f WHERE NOT EXISTS (SELECT 1 FROM d_pedidos p WHERE p.pedido_id = f.pedido_id AND p.canal <> '5-LOW') GROUP BY pedido_id")
 def _(d):
     """Orders of one channel are withheld, so that orphans exist."""

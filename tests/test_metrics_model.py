@@ -109,6 +109,10 @@ def test_model_learns_saves_and_ranks_importance(spark, tmp_path):
     assert held.exceptAll(again).count() == 0
     imp = model.permutation_importance(fitted, train.filter("holdout"), repeats=2).collect()
     assert len(imp) == 20 and imp[0].feature == "valor_total" and imp[0].queda_auc > 0.2
+    # only features that a tree tests are exchanged; the others keep every score
+    used = model.tested_features(fitted)
+    assert "valor_total" in used and len(used) < 20
+    assert all(r.queda_auc == r.queda_acuracia == 0 for r in imp if r.feature not in used)
 
 
 def test_gates_reject_random_and_leaky_models(spark):

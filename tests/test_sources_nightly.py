@@ -1,6 +1,7 @@
 """Sources, sinks and the whole nightly run on landed extracts."""
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,15 +144,34 @@ def test_nightly_stops_at_failed_gates(spark, landed):
     assert not spark.catalog.tableExists("g_gold.fato_vendas")
 
 
-def test_count_mismatch_stops_bronze(spark, landed):
+def test_bronze_reads_once_and_refuses_before_it_shows(spark, landed, tmp_path, monkeypatch):
+    reads = []
+    read = raw_csv.read_raw
+    monkeypatch.setattr(raw_csv, "read_raw", lambda s, root, t: reads.append(t) or read(s, root, t))
     run = Nightly(spark, settings(landed, prefix="m_"))
+    write_rows = run.layers["bronze"].write
+    run.layers["bronze"].write = lambda t, df, **kw: write_rows(t, df, **kw) + (t == "produtos")
     run.databases(), run.arrival()
-    control = spark.table("m_bronze._raw_arquivos")
-    changed = spark.createDataFrame([tuple(r) for r in control.withColumn("linhas", F.col("linhas") + 1).collect()],
-                                    control.schema)
-    tables.overwrite(changed, "m_bronze._raw_arquivos")
+    assert not reads                                     # the listing only
     with pytest.raises(CountMismatch, match="produtos"):
         run.bronze()
+    assert sorted(reads) == sorted(schemas.RAW_TABLES) and not spark.catalog.tableExists("m_bronze.produtos")
+    run.layers["bronze"].write = write_rows
+    run.bronze()
+    control = {r.arquivo: r.linhas for r in spark.table("m_bronze._raw_arquivos").collect()}
+    assert control["produtos.csv"] == spark.table("m_bronze.produtos").count() > 0
+
+    # an extract with a header only stops the layer, a missing one the run
+    broken = str(tmp_path / "raw")
+    shutil.copytree(landed, broken, ignore=shutil.ignore_patterns("estoque.csv"))
+    write(tmp_path / "raw" / "erp" / "estoque.csv", ",".join(schemas.RAW_TABLES["estoque"][2]) + "\n")
+    later = Nightly(spark, settings(broken, prefix="m_"))
+    later.arrival()
+    with pytest.raises(raw_csv.ArrivalError, match="estoque.csv: VAZIO"):
+        later.bronze()
+    assert spark.table("m_bronze.estoque").count() > 0
+    with pytest.raises(raw_csv.ArrivalError, match="FALTA"):
+        Nightly(spark, settings(str(tmp_path / "nichts"), prefix="m_")).arrival()
 
 
 def test_a_dominant_partition_is_split_by_size(spark, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -103,9 +104,10 @@ def permutation_importance(model: PipelineModel, data: DataFrame, repeats: int =
     """Drop in AUC and in accuracy when one feature is exchanged between rows.
 
     Per repeat the rows are put in a random order and every row takes the value of the next one, so
-    a repeat is one join on the row number. Each (row, repeat) then yields one variant per feature;
-    variants are scored by the model and grouped.
+    a repeat is one join on the row number. Each (row, repeat) then yields one variant per feature that a tree tests;
+    variants are scored by the model and grouped. Exchanging any other feature changes no score: its drops are 0.
     """
+    used = tested_features(model)
     rows = data.select(key, LABEL, *FEATURES)
     pairs = []
     for r in range(repeats):
@@ -116,19 +118,27 @@ def permutation_importance(model: PipelineModel, data: DataFrame, repeats: int =
         pairs.append(order.join(donor, "_r").select(F.lit(r).alias("rodada"), LABEL, *FEATURES, "_doador"))
     paired = reduce(DataFrame.unionByName, pairs)
 
-    variants = paired.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in FEATURES])))
+    variants = paired.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in used]).cast("array<string>")))
     swapped = variants.select(
         "rodada", "feature", LABEL,
         *[F.when(F.col("feature") == f, F.col(f"_doador.{f}")).otherwise(F.col(f)).alias(f)
           for f in FEATURES])
     after = _quality(predict(model, swapped), ["rodada", "feature"])
     before = _quality(predict(model, rows), []).select(F.struct("auc", "acuracia").alias("b")).scalar()
-    return (after.withColumn("_b", before).groupBy("feature")
-            .agg(F.avg(F.col("_b.auc") - F.col("auc")).alias("queda_auc"),
-                 F.avg(F.col("_b.acuracia") - F.col("acuracia")).alias("queda_acuracia"))
+    drops = (after.withColumn("_b", before).groupBy("feature")
+             .agg(F.avg(F.col("_b.auc") - F.col("auc")).alias("queda_auc"),
+                  F.avg(F.col("_b.acuracia") - F.col("acuracia")).alias("queda_acuracia")))
+    every = data.sparkSession.createDataFrame([(f,) for f in FEATURES], "feature string")
+    return (every.join(drops, "feature", "left").select("feature", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("queda_auc", "queda_acuracia")])
             .orderBy(F.desc("queda_auc"), "feature"))
 
 
+def tested_features(model: PipelineModel) -> list[str]:
+    """Features that a split of any tree tests, directly or by their 0/1 companion."""
+    tested = {MODEL_COLUMNS[int(n)] for n in re.findall(r"feature (\d+) ", model.stages[-1].toDebugString)}
+    return [f for f in FEATURES if tested & {f, _filled(f), _missing(f)}]
+
+
 def _quality(scored: DataFrame, part: list[str]) -> DataFrame:
     right = ((F.col("score") >= 0.5).cast("double") == F.col(LABEL)).cast("double")
     accuracy = scored.groupBy(*part).agg(F.avg(right).alias("acuracia"))

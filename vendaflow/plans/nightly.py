@@ -22,7 +22,7 @@ from vendaflow.sources.layers import RETENTION_HOURS, Layer
 
 
 class CountMismatch(Exception):
-    """Rows ingested differ from the arrival control."""
+    """A table holds other than the rows that were read."""
 
 
 @dataclass
@@ -87,21 +87,25 @@ class Nightly:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.s.prefix}{layer}")
 
     def arrival(self) -> None:
-        control = materialize(raw_csv.arrival_control(self.spark, self.s.raw_root), "controle")
-        raw_csv.require_arrival(control)
-        self._save("bronze", "_raw_arquivos",
-                   control.select("sistema", "arquivo", "bytes", "linhas", "conferido_em"))
+        """Refuse a delivery with a missing file, from the listing alone."""
+        self._listing = materialize(raw_csv.arrival_listing(self.spark, self.s.raw_root), "controle")
+        raw_csv.require_arrival(self._listing)
 
     def bronze(self) -> None:
-        expected = {r["arquivo"]: r["linhas"] for r in self.read("bronze", "_raw_arquivos").collect()}
-        wrong = []
-        for t, (_, file, _) in schemas.RAW_TABLES.items():
-            raw = raw_csv.with_source(raw_csv.read_raw(self.spark, self.s.raw_root, t), t)
-            self._stage("bronze", t, raw)
-            if self.s.counts[f"bronze.{t}"] != expected.get(file):
-                wrong.append(f"{t}: {self.s.counts[f'bronze.{t}']} lidas, {expected.get(file)} no controle")
+        """Load every extract with one scan, which also counts it; an empty file, or a table that holds other than the rows that
+        were read, stops the layer before it is shown."""
+        wrong, read = [], {}
+        for t in schemas.RAW_TABLES:
+            self._stage("bronze", t, raw_csv.with_source(raw_csv.read_raw(self.spark, self.s.raw_root, t), t))
+            read[t] = self.s.counts[f"bronze.{t}"]
+            stored = self.read("bronze", t).count()     # from file footers
+            if stored != read[t]:
+                wrong.append(f"{t}: {read[t]} lidas, {stored} gravadas")
+        control = materialize(raw_csv.counted(self._listing, read), "controle")
+        raw_csv.require_arrival(control)
         if wrong:
             raise CountMismatch("; ".join(wrong))
+        self._stage("bronze", "_raw_arquivos", control.select("sistema", "arquivo", "bytes", "linhas", "conferido_em"))
         self._publish("bronze")
 
     def silver(self) -> None:

@@ -44,6 +44,34 @@ def _present(spark: SparkSession, path: str) -> bool:
     return True
 
 
+_FILE = r"([^/]+\.csv)(/|$)"
+
+
+def _sizes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(_f, bytes) of the files, from the listing: no content is read."""
+    return (spark.read.format("binaryFile").load(paths).select("path", "length")
+            .groupBy(F.regexp_extract("path", _FILE, 1).alias("_f")).agg(F.sum("length").alias("bytes")))
+
+
+def arrival_listing(spark: SparkSession, root: str, tables: list[str] | None = None) -> DataFrame:
+    """One row per expected file: size and whether it is there. Rows are counted when the file is loaded, see `counted`."""
+    tables = tables or list(RAW_TABLES)
+    expected = spark.createDataFrame([(t, RAW_TABLES[t][0], RAW_TABLES[t][1]) for t in tables], "tabela string, sistema string, arquivo string")
+    paths = [p for p in (raw_path(root, t) for t in tables) if _present(spark, p)]
+    found = _sizes(spark, paths) if paths else spark.createDataFrame([], "_f string, bytes long")
+    return (expected.join(found, F.col("arquivo") == F.col("_f"), "left")
+            .select("tabela", "sistema", "arquivo", F.coalesce("bytes", F.lit(0)).alias("bytes"), F.when(F.col("_f").isNull(), ABSENT).otherwise(OK).alias("status"),
+                    F.current_timestamp().alias("conferido_em")))
+
+
+def counted(listing: DataFrame, rows: dict[str, int]) -> DataFrame:
+    """The arrival control of files whose data rows were counted while they were loaded (by table)."""
+    counts = listing.sparkSession.createDataFrame(list(rows.items()), "tabela string, linhas long")
+    return listing.join(counts, "tabela", "left").select(
+        "sistema", "arquivo", "bytes", F.coalesce("linhas", F.lit(0)).alias("linhas"),
+        F.when(F.col("status") != OK, F.col("status")).when(F.coalesce("linhas", F.lit(0)) == 0, EMPTY).otherwise(OK).alias("status"), "conferido_em")
+
+
 def arrival_control(spark: SparkSession, root: str, tables: list[str] | None = None) -> DataFrame:
     """One row per expected file: size, data rows, state and check time.
 
@@ -55,12 +83,10 @@ def arrival_control(spark: SparkSession, root: str, tables: list[str] | None = N
         [(RAW_TABLES[t][0], RAW_TABLES[t][1]) for t in tables], "sistema string, arquivo string")
     paths = [p for p in (raw_path(root, t) for t in tables) if _present(spark, p)]
     if paths:
-        name = F.regexp_extract(F.col("path"), r"([^/]+\.csv)(/|$)", 1)
-        sizes = (spark.read.format("binaryFile").load(paths).select("path", "length")
-                 .groupBy(name.alias("_f")).agg(F.sum("length").alias("bytes")))
+        sizes = _sizes(spark, paths)
         one_column = T.StructType([T.StructField("c", T.StringType())])
         rows = (spark.read.csv(paths, header=True, schema=one_column)
-                .select(F.regexp_extract("_metadata.file_path", r"([^/]+\.csv)(/|$)", 1).alias("_g"))
+                .select(F.regexp_extract("_metadata.file_path", _FILE, 1).alias("_g"))
                 .groupBy("_g").agg(F.count("*").alias("linhas")))
         found = sizes.join(rows, sizes["_f"] == rows["_g"], "left")
     else:
