@@ -18,8 +18,6 @@ from vendaflow.llm.tokens import tokenizer_path
 from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
 from vendaflow.session import materialize
 
-#: Number of a row within a stage, which carries decisions that belong to the row and not to its id.
-ROW = "__row"
 #: Similarity in percent from which the near-duplicate stage links; the limit of `op9_near_duplicates`.
 PERCENT = 85
 
@@ -27,38 +25,47 @@ PERCENT = 85
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = fit_toxicity(docs, training_labels(spark, sf_dir))
-    return score_toxicity(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
+    # columns of any name, also those of the score, pass through under numbers
+    numbered = [f"c{i}" for i in range(len(docs.columns))]
+    scored = score_toxicity(docs.toDF(*numbered), model, numbered[docs.columns.index("text")], tuple(numbered))
+    return scored.where("predicted = 0").select(*numbered).toDF(*docs.columns)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number each, written once so that every reader sees the same numbers."""
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "linhas")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, in a column that `docs` does not have, written once so that every reader sees the same numbers.
+    The number carries decisions that belong to the row and not to its id."""
+    name = "__row"
+    while name in docs.columns:
+        name += "_"
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "linhas"), name
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: the one with the smallest id, a null id last; of repeated rows one."""
     prepare(spark)
-    rows = _numbered(docs)
-    groups = materialize(near_duplicates(rows, PERCENT, ROW).select(ROW, "component_id"), "copias")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", ROW)).alias("first")
-    chosen = materialize(groups.join(rows.select(ROW, "doc_id").hint("merge"), ROW).groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW)), "escolhidas")
+    rows, row = _numbered(docs)
+    groups = materialize(near_duplicates(rows, PERCENT, row).select(row, "component_id"), "copias")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", row)).alias("first")
+    chosen = materialize(groups.join(rows.select(row, "doc_id").hint("merge"), row).groupBy("component_id").agg(first).select(F.col(f"first.{row}").alias(row)), "escolhidas")
     # they grow with the corpus: never a broadcast, the same plan at every size
-    return rows.join(chosen.hint("merge"), ROW, "left_semi").select(*docs.columns)
+    return rows.join(chosen.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without any passage of a benchmark item."""
-    rows = _numbered(docs)
-    found = find_benchmark_words(rows, table(spark, sf_dir, "benchmark"), ROW)
-    leaked = materialize(found.where("contaminated").select(ROW), "vazados")
-    return rows.join(leaked, ROW, "left_anti").select(*docs.columns)
+    rows, row = _numbered(docs)
+    found = find_benchmark_words(rows, table(spark, sf_dir, "benchmark"), row)
+    leaked = materialize(found.where("contaminated").select(row), "vazados")
+    return rows.join(leaked, row, "left_anti").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with personal data replaced by its kind, and their new lengths."""
+    """The same documents with personal data replaced by its kind, and their new lengths where there is a column for them."""
     prepare(spark)
     clean = redact(docs, fit_pii(docs))
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
