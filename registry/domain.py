@@ -7,6 +7,7 @@ columns, so that downstream queries do not format and parse every value.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -308,6 +309,22 @@ class Domain:
     def saved_features(self) -> DataFrame:
         return materialize(self.features(SCORE_REF), "features")
 
+    @cached_property
+    def saved_clients(self) -> DataFrame:
+        return materialize(self.dim_cliente, "clientes")
+
+    def prepare_customers(self) -> None:
+        """Write the inputs of queue and context side by side: the dimension and the shelf do not wait for the fact, nor scores and
+        profile for one another."""
+        with ThreadPoolExecutor(3) as pool:
+            early = [pool.submit(getattr, self, n) for n in ("saved_clients", "saved_shelf")]
+            _ = self.saved_fact
+            late = pool.submit(getattr, self, "saved_scores")
+            early[1].result()
+            _ = self.saved_profile
+            for job in (*early, late):
+                job.result()
+
     @cached_property
     def saved_training(self) -> DataFrame:
         return materialize(self.training, "treino")
@@ -333,5 +350,6 @@ class Domain:
 
     @cached_property
     def fila(self) -> DataFrame:
+        self.prepare_customers()
         return weekly_queue.weekly_queue(
-            self.saved_scores, self.carteira, self.vendedores, self.dim_cliente, self.saved_features, self.saved_profile)
+            self.saved_scores, self.carteira, self.vendedores, self.saved_clients, self.saved_features, self.saved_profile)

@@ -935,6 +935,7 @@ def _(d):
 
 @query("best_stock_suggestion", "SELECT cliente_id, marca, sku, nome, saldo, candidatos FROM d_pares_todos WHERE rn = 1")
 def _(d):
+    d.prepare_customers()
     ids = weekly_queue.eligible_ids(d.saved_scores, d.carteira, d.vendedores, d.clientes_unicos, d.saved_features)
     return customer_serving.suggestion(d.saved_profile).join(ids, "cliente_id", "left_semi")
 
@@ -983,7 +984,8 @@ SELECT cliente_id, razao_social, cidade, uf, coalesce({half_up('ticket_medio', 2
 FROM d_dim_cliente LEFT JOIN (SELECT cliente_id, ticket_medio, valor_total FROM d_feat_s) USING (cliente_id)
 LEFT JOIN d_faixas USING (cliente_id) LEFT JOIN d_marcas_cliente USING (cliente_id)""")
 def _(d):
-    return serving.customer_context(d.dim_cliente, d.saved_features, d.saved_scores, d.saved_profile)
+    d.prepare_customers()
+    return serving.customer_context(d.saved_clients, d.saved_features, d.saved_scores, d.saved_profile)
 
 
 def _suggest_oracle(strict: bool) -> str:
@@ -1034,7 +1036,8 @@ def _(d):
 @query("sql_contexto_cliente", same_as="customer_context")
 def _(d):
     """Calls answered by a table bucketed by customer."""
-    answers = serving.customer_context(d.dim_cliente, d.saved_features, d.saved_scores, d.saved_profile)
+    d.prepare_customers()
+    answers = serving.customer_context(d.saved_clients, d.saved_features, d.saved_scores, d.saved_profile)
     layer = Layer(d.spark, _database(d, "servico"))
     layer.write("contexto_servico", answers, bucket_by=("cliente_id", 8))
     layer.publish()
