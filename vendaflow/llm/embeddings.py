@@ -14,7 +14,9 @@ from vendaflow.session import materialize
 #: Vectors, chosen by hash, that fit the codebooks and the number of cells to visit; every vector is indexed.
 FIT_ROWS = 8_192
 RECALL = 0.97
-#: Vectors aimed at per cell, codewords per half at most, members of a cell that one task compares at once.
+#: Vectors aimed at per cell, codewords per half at most, members of a cell that one task compares at once. With 256 codewords a
+#: fitted vector of `FIT_ROWS` stands for 1/32 of one; more would follow single vectors. Beyond some 4 million vectors of a label
+#: cells therefore grow, and are compared in more blocks.
 CELL, CODES, BLOCK = 64, 256, 512
 
 
@@ -55,12 +57,21 @@ class MultiIndex:
         aside = rng.normal(size=probe.shape)
         aside = _unit(aside - (aside * probe).sum(1, keepdims=True) * probe)
         near = threshold * probe + np.sqrt(1 - threshold**2) * aside
-        home = index.cells(near, 1)[:, 0]
-        order = index.cells(probe, codes * codes)
-        ranks = np.sort(np.argmax(order == home[:, None], 1))
-        index.visits = int(ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))))]) + 1
+        ranks = np.sort(index.ranks(probe, index.cells(near, 1)[:, 0]))
+        index.visits = int(ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))))])
         return index
 
+    def ranks(self, x: np.ndarray, cells: np.ndarray, chunk: int = 16) -> np.ndarray:
+        """How many cells each vector must visit to come to the given one of its own: those whose sum is not larger, counted a few
+        vectors at a time, so that the whole grid is held for `chunk` vectors only."""
+        half, out = x.shape[1] // 2, []
+        for s in range(0, len(x), chunk):
+            d1, d2 = _distances(x[s:s + chunk, :half], self.first), _distances(x[s:s + chunk, half:], self.second)
+            i, j = np.divmod(cells[s:s + chunk], len(self.second))
+            at = np.arange(len(d1))
+            out.append((d1[:, :, None] + d2[:, None, :] <= (d1[at, i] + d2[at, j])[:, None, None]).sum((1, 2)))
+        return np.concatenate(out)
+
     def cells(self, x: np.ndarray, visits: int) -> np.ndarray:
         """The nearest `visits` cells of each vector, nearest first: sums of the halves' distances, merged from two sorted
         sequences; a cell (i, j) among the first v of the order has (i + 1) * (j + 1) <= v in the sorted ranks."""
