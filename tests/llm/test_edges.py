@@ -1,14 +1,17 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing extra columns."""
 
 import random
+import tracemalloc
 
 import brute
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vendaflow.llm.decontamination import find_benchmark_words
-from vendaflow.llm.embeddings import near_vectors
+from vendaflow.llm.embeddings import MultiIndex, near_vectors
 from vendaflow.llm.near_duplicates import near_duplicates
 from vendaflow.llm.packing import pack
 from vendaflow.llm.pii import NO_MODEL, Taken, find_pii, fit_pii, redact
@@ -90,12 +93,32 @@ def test_long_texts_are_encoded_as_whole(spark):
             assert encode(text, tokenizer_path()).tolist() == exact.encode(text, add_special_tokens=False).ids
 
 
-def test_cache_encodes_misses_only(spark, docs):
+def test_cache_encodes_misses_only(spark, docs, monkeypatch):
+    """A second run stores nothing and reads no text after the digests; a third one encodes what is new; digests that two runs stored
+    count once; both ways to fetch the texts agree."""
+    from vendaflow.llm import token_counts
+
     cache = scratch_path(spark, "cache")
-    first = count_tokens(docs, cache, tokenizer_path()).count()
-    stored = spark.read.parquet(cache).count()
-    assert stored == len({t or "" for _, t in ROWS})
-    assert count_tokens(docs, cache, tokenizer_path()).count() == first and spark.read.parquet(cache).count() == stored
+
+    def stored():
+        return spark.read.option("recursiveFileLookup", "true").schema(token_counts.CACHE_SCHEMA).parquet(cache)
+
+    def counted(d, where=cache):
+        return sorted(map(str, count_tokens(d, where, tokenizer_path()).collect()))
+
+    first = counted(docs)
+    assert stored().count() == len({t or "" for _, t in ROWS})
+    encoded = []
+    monkeypatch.setattr(token_counts, "_counter", lambda tokenizer: encoded.append(tokenizer))
+    assert counted(docs) == first and not encoded
+    monkeypatch.undo()
+    more = docs.unionByName(docs.where("doc_id = 3").withColumn("text", F.lit("a new text")))
+    assert len(counted(more)) == len(ROWS) + 1
+    assert stored().count() == len({t or "" for _, t in ROWS}) + 1
+    stored().write.parquet(f"{cache}/{token_counts.file_digest(tokenizer_path())}/another-run")
+    assert counted(docs) == first
+    monkeypatch.setattr(token_counts, "FEW", 0)
+    assert counted(docs, scratch_path(spark, "other")) == first
 
 
 def test_vectors(spark):
@@ -110,6 +133,51 @@ def test_vectors(spark):
     assert near_vectors(frame.limit(0)).count() == 0
 
 
+def test_planted_neighbours_are_found(spark):
+    """Recall against comparing all, on a grid of 16 x 16 cells and several labels: neighbours at cosines from the limit to 0.999,
+    in chains too, and pairs just below it. No vector has more links than it should; components follow from the links found."""
+    draw = np.random.default_rng(4)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    base = unit(draw.normal(size=(18_000, 32)))
+    aside = draw.normal(size=base.shape)
+    aside = unit(aside - (aside * base).sum(1, keepdims=True) * base)
+    cosine = draw.choice([0.97999, 0.98 + 1e-9, 0.985, 0.99, 0.999], 3_000)[:, None]
+    near = cosine * base[:3_000] + np.sqrt(1 - cosine**2) * aside[:3_000]
+    third = 0.985 * near[:500] + np.sqrt(1 - 0.985**2) * unit(aside[3_000:3_500] - (aside[3_000:3_500] * near[:500]).sum(1, keepdims=True) * near[:500])
+    label = np.where(np.arange(18_000) % 10 < 9, 0, np.arange(18_000) % 3)
+    x, label = np.concatenate([base, near, third]), np.concatenate([label, label[:3_000], label[:500]])
+    assert (label == 0).sum() > 64 * 15**2
+    want = np.zeros(len(x), int)
+    for s in range(0, len(x), 2_000):
+        ok = (x[s:s + 2_000] @ x.T >= 0.98) & (label[s:s + 2_000, None] == label[None, :])
+        want[s:s + 2_000] = ok.sum(1) - 1
+    assert want.sum() > 5_000
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(x)), "embedding": x.tolist(), "label": label}))
+    found = near_vectors(frame).toPandas().sort_values("vec_id")
+    links, component = found["n_links"].to_numpy(), found["component_id"].to_numpy()
+    assert len(found) == len(x) and (links <= want).all() and links.sum() >= 0.95 * want.sum()
+    # links found and components tell the same: who has a link is in a component with another
+    size = np.bincount(component, minlength=len(x))
+    assert ((size[component] > 1) == (links > 0)).all() and (label[component] == label).all()
+
+
+def test_ranks_count_the_whole_grid_in_little_memory():
+    """Ranks by counting agree with the traversal; at 256 codewords a half they need far less than the ordered grid."""
+    draw = np.random.default_rng(2)
+    x = draw.normal(size=(40, 8))
+    index = MultiIndex(draw.normal(size=(6, 4)), draw.normal(size=(5, 4)), 30)
+    order = index.cells(x, 30)
+    assert (index.ranks(x, order[:, 11]) == 12).all()
+    large, probe = MultiIndex(draw.normal(size=(256, 16)), draw.normal(size=(256, 16)), 1), draw.normal(size=(2048, 32))
+    tracemalloc.start()
+    ranks = large.ranks(probe, large.cells(probe, 1)[:, 0])
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20 and (ranks == 1).all()
+    tracemalloc.stop()
+
+
 def test_models_without_samples(spark, docs):
     assert set(train_randomness(spark.createDataFrame([], "value string, random boolean"))) == {0.0}
     model = fit_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))

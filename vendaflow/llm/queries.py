@@ -23,7 +23,7 @@ from vendaflow.llm.source_divergence import source_divergence
 from vendaflow.llm.token_counts import count_tokens
 from vendaflow.llm.tokens import tokenizer_path
 from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
-from vendaflow.session import scratch_path
+from vendaflow.session import shared_dir
 
 SHARDS = 40
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
@@ -51,7 +51,8 @@ def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "cache-tokens"), tokenizer_path())
+    """Stored counts live at one place of the shared folder, so that later runs encode new texts only."""
+    return count_tokens(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/vendaflow/token-counts", tokenizer_path())
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
