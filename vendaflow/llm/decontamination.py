@@ -28,19 +28,40 @@ def _key(at: Column, size: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per window of an item and shingle in it: window, item, n_win (words), offset, n_shingles, size, key."""
+    """Every different window of each item once: window (digest of its words), item, n_win (words), words."""
     items = (benchmark.select(F.col(id_col).alias("item"), _words(F.col(text_col)).alias("words"))
              .where("item is not null and size(words) > 0")
              .withColumn("n_win", F.least(F.lit(WINDOW), F.size("words"))))
     starts = items.select("item", "n_win", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("n_win"))).alias("s"), "words")
-    windows = (starts.select("item", "n_win", F.expr("slice(words, s + 1, n_win)").alias("words"))
-               .withColumn("size", F.least(F.lit(SHINGLE), F.col("n_win")))
-               .withColumn("n_shingles", F.col("n_win") - F.col("size") + 1)
-               .withColumn("window", F.sha2(F.concat_ws(" ", F.col("words")), 256)).dropDuplicates(["item", "window"]))
+    return (starts.select("item", "n_win", F.expr("slice(words, s + 1, n_win)").alias("words"))
+            .withColumn("window", F.sha2(F.concat_ws(" ", F.col("words")), 256)).dropDuplicates(["item", "window"]))
+
+
+def window_shingles(windows: DataFrame) -> DataFrame:
+    """One row per different window and shingle in it, however many items hold it: window, n_win, offset, n_shingles, size, key."""
+    sized = (windows.dropDuplicates(["window"]).withColumn("size", F.least(F.lit(SHINGLE), F.col("n_win")))
+             .withColumn("n_shingles", F.col("n_win") - F.col("size") + 1))
     key = F.when(F.col("size") == 3, _key(F.col("offset"), 3)).when(F.col("size") == 2, _key(F.col("offset"), 2)).otherwise(
         _key(F.col("offset"), 1))
-    return (windows.select("*", F.explode(F.sequence(F.lit(0), F.col("n_shingles") - 1)).alias("offset"))
-            .select("window", "item", "n_win", "n_shingles", "offset", "size", key.alias("key")))
+    return (sized.select("*", F.explode(F.sequence(F.lit(0), F.col("n_shingles") - 1)).alias("offset"))
+            .select("window", "n_win", "n_shingles", "offset", "size", key.alias("key")))
+
+
+def _item_lists(occurring: DataFrame, owners: DataFrame) -> DataFrame:
+    """row, n_items, items_sha256 from rows (row, window) and (window, item).
+
+    Windows with the same items form a class, and rows with the same classes share one list, so a template that many items
+    and many documents hold is listed once, not once for each of its places."""
+    held = owners.groupBy("window").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
+    held = materialize(held.select("window", F.sha2(F.to_json("items"), 256).alias("class"), "items"), "itens")
+    sets = (occurring.join(held.select("window", "class"), "window").groupBy("row")
+            .agg(F.array_sort(F.collect_set("class")).alias("classes")).withColumn("set", F.sha2(F.array_join("classes", ","), 256)))
+    sets = materialize(sets, "conjuntos")
+    lists = (sets.dropDuplicates(["set"]).select("set", F.explode("classes").alias("class"))
+             .join(held.dropDuplicates(["class"]).select("class", "items"), "class").groupBy("set")
+             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+             .select("set", F.size("items").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")))
+    return sets.select("row", "set").join(lists, "set").select("row", "n_items", "items_sha256")
 
 
 def find_benchmark_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -53,11 +74,12 @@ def find_benchmark_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     a whole window makes every one of its shingles necessary, so the rarest alone is joined; a window with a shingle
     that occurs nowhere is out. The length bound asks that the window ends inside the document, the positional
     bound that every further shingle stands at its own distance; all of them must, which is exact containment, and the
-    same holds for each occurrence.
+    same holds for each occurrence. A window that several items hold is sought once; its items are attached to what was found.
 
     Null text has no words and null items are ignored; null ids and repeated rows are kept row by row; empty tables give
     no hits. Other columns are ignored. Returns id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    windows = materialize(benchmark_windows(benchmark, item_col, item_text_col), "janelas")
+    owned = materialize(benchmark_windows(benchmark, item_col, item_text_col), "janelas")
+    windows = materialize(window_shingles(owned), "trechos")
     shingles = windows.select("size", "key").distinct()
     facts = windows.agg(F.collect_set("size").alias("sizes")).first()
     sizes = sorted(facts["sizes"], reverse=True) or [SHINGLE]
@@ -80,30 +102,29 @@ def find_benchmark_words(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
 
     counts = hits.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     ranked = windows.join(counts, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    by_rarity = Window.partitionBy("item", "window")
+    by_rarity = Window.partitionBy("window")
     prefix = (ranked.withColumn("least", F.min(F.struct("n", "offset")).over(by_rarity))
               .where("least.n > 0 and least.offset = offset")
-              .select("key", "window", "item", "n_win", "n_shingles", "offset"))
+              .select("key", "window", "n_win", "n_shingles", "offset"))
     prefix = materialize(prefix, "prefixos")
     starts = (hits.join(prefix, "key")
-              .select("row", "window", "item", "n_win", "n_shingles", (F.col("pos") - F.col("offset")).alias("start"), "n_words")
+              .select("row", "window", "n_win", "n_shingles", (F.col("pos") - F.col("offset")).alias("start"), "n_words")
               .where("start >= 0 and start + n_win <= n_words"))
-    starts = materialize(starts.select("row", "window", "item", "n_win", "n_shingles", "start"), "candidatos")
-    places = materialize(windows.select("item", "window", "offset", "key"), "lugares")
-    asked = starts.join(places, ["item", "window"]).select(
-        "row", "item", "window", "n_win", "n_shingles", "start", "key", (F.col("start") + F.col("offset")).alias("pos"))
+    starts = materialize(starts.select("row", "window", "n_win", "n_shingles", "start"), "candidatos")
+    places = materialize(windows.select("window", "offset", "key"), "lugares")
+    asked = starts.join(places, "window").select(
+        "row", "window", "n_win", "n_shingles", "start", "key", (F.col("start") + F.col("offset")).alias("pos"))
     kept = (asked.join(hits.select("row", "pos", "key").distinct(), ["row", "pos", "key"])
-            .groupBy("row", "item", "window", "n_win", "n_shingles", "start").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("row", "window", "n_win", "n_shingles", "start").agg(F.count(F.lit(1)).alias("n"))
             .where("n = n_shingles"))
-    kept = materialize(kept.select("row", "item", "start", "n_win"), "ocorrencias")
+    kept = materialize(kept.select("row", "window", "start", "n_win"), "ocorrencias")
     hit = (kept.select("row", "start", "n_win").distinct()
            .select("row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_win") - 1)).alias("pos"))
            .distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n_hit")))
-    items = (kept.select("row", F.col("item").cast("string").alias("item")).distinct().groupBy("row")
-             .agg(F.array_sort(F.collect_list("item")).alias("items")))
+    items = _item_lists(kept.select("row", "window").distinct(), owned.select("window", "item"))
     return (base.join(hit, "row", "left").join(items, "row", "left")
             .select(F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"),
                     F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                    F.greatest(F.lit(0), F.coalesce(F.size("items"), F.lit(0))).cast("long").alias("n_items"),
-                    F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+                    F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+                    F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
