@@ -25,6 +25,8 @@ _KINDS = 1 + len(PREFIXES)
 N_PATTERNS = 6
 N_VOTERS = _KINDS * STRIPES + N_PATTERNS
 _STEP_BYTES = 1 << 20
+#: Likelihood ratio (two degrees of freedom) from which two voters count as dependent; rounds in which dependences are sought.
+SIGNIFICANT, SETTLED = 18.4, 20
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,33 +92,76 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(margin + votes @ self.pattern_weights, -30, 30)))
 
 
-def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 25) -> np.ndarray:
-    """Posterior of the true label from voters that speak or abstain, the given label being one more voter.
-
-    EM estimates how often each voter speaks in either class (its accuracy); the voters' correlations within a class, weighted
-    by the posterior, shrink the evidence of voters that repeat each other."""
-    speak = np.concatenate([votes, labels[:, None]], 1).astype(float)
-    post = np.where(labels > 0, 0.95, 0.05)
-    trust = np.ones(speak.shape[1])
-    for _ in range(rounds):
-        rate = []
-        overlap = np.zeros((speak.shape[1],) * 2)
-        for q in (post, 1 - post):
-            p = (q @ speak + 0.5) / (q.sum() + 1.0)
-            rate.append(p)
-            d = speak - p
-            cov = (d * q[:, None]).T @ d / max(q.sum(), 1.0)
-            sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
-            overlap = np.maximum(overlap, np.abs(cov / np.outer(sd, sd)))
-        np.fill_diagonal(overlap, 0.0)
-        trust = 1 / (1 + overlap.sum(1))
-        trust[-1] = 1.0
-        on = np.log(rate[0] / rate[1])
-        off = np.log((1 - rate[0]) / (1 - rate[1]))
+@dataclass(frozen=True)
+class LabelModel:
+    """Posterior of the true label per row; how often each voter, the given label last, speaks on (toxic, clean) rows; and the
+    voter on which each depends within a class (-1: none)."""
+    posterior: np.ndarray
+    rates: np.ndarray
+    parent: np.ndarray
+
+
+def _dependences(speak: np.ndarray, classes: list[np.ndarray]) -> np.ndarray:
+    """Parent of every voter in a heaviest spanning forest over their mutual information within the classes (-1: a root).
+
+    Only pairs whose dependence is significant are joined."""
+    n, m = speak.shape
+    info = np.zeros((m, m))
+    for q in classes:
+        total = max(q.sum(), 1e-9)
+        both = (speak * q[:, None]).T @ speak / total
+        one = np.diag(both)
+        for x, y, joint in ((1, 1, both), (1, 0, one[:, None] - both), (0, 1, one[None, :] - both), (0, 0, 1 - one[:, None] - one[None, :] + both)):
+            apart = np.where(x, one, 1 - one)[:, None] * np.where(y, one, 1 - one)[None, :]
+            joint = np.maximum(joint, 0)
+            info += total / n * np.where((joint > 0) & (apart > 0), joint * np.log(np.maximum(joint, 1e-300) / np.maximum(apart, 1e-300)), 0)
+    info[2 * n * info < SIGNIFICANT] = 0
+    np.fill_diagonal(info, 0)
+    parent, left = np.full(m, -1), set(range(m))
+    best, source = np.zeros(m), np.full(m, -1)
+    while left:
+        v = max(sorted(left), key=lambda i: best[i])
+        parent[v] = source[v] if best[v] > 0 else -1
+        left.remove(v)
+        for u in left:
+            if info[v, u] > best[u]:
+                best[u], source[u] = info[v, u], v
+    return parent
+
+
+def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 40) -> LabelModel:
+    """Posteriors of the true label from voters that speak or abstain, the given label being one more voter.
+
+    A generative model fitted by EM: given the true label, every voter speaks with a probability that depends on the one voter with
+    which it is most strongly correlated within the classes (pairwise factors on a spanning forest). A voter that repeats another
+    thus adds no evidence. Accuracies and factors are estimated together; the given label depends on the true one only, and the
+    posteriors start from it. The forest is found anew in each of the first `SETTLED` rounds, as
+    what noise of the labels made look dependent falls apart while they proceed, then stays."""
+    speak = votes.astype(float)
+    given = labels.astype(float)
+    n, m = speak.shape
+    post = np.where(given > 0, 0.95, 0.05)
+    parent = np.full(m, -1)
+    rates = np.zeros((2, m + 1))
+    for turn in range(rounds):
+        if turn < SETTLED:
+            parent = _dependences(speak, [post, 1 - post])
+        told = np.where(parent >= 0, speak[:, parent], 0.0)
+        evidence = []
+        for k, q in enumerate((post, 1 - post)):
+            total = q.sum()
+            alone = (q @ speak + 0.5) / (total + 1)
+            label = (q @ given + 0.5) / (total + 1)
+            rates[k] = np.append(alone, label)
+            # where the parent speaks and where it does not, drawn towards the rate over both
+            heard = q @ told
+            with_parent = (q @ (speak * told) + alone) / (heard + 1)
+            without = (q @ (speak * (1 - told)) + alone) / (total - heard + 1)
+            p = np.where(told > 0, with_parent, without)
+            evidence.append(np.log(np.where(speak > 0, p, 1 - p)).sum(1) + np.log(np.where(given > 0, label, 1 - label)))
         prior = np.clip(post.mean(), 1e-3, 1 - 1e-3)
-        margin = np.log(prior / (1 - prior)) + (speak * on + (1 - speak) * off) @ trust
-        post = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-    return post
+        post = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + evidence[0] - evidence[1], -30, 30)))
+    return LabelModel(post, rates, parent)
 
 
 def _linear(row, entry, size, votes, target, steps: int = 300, ridge: float = 1e-4):
@@ -211,7 +256,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     votes = np.zeros((len(target), N_VOTERS), bool)
     votes[row, voter[entry]] = True
     votes[:, _KINDS * STRIPES:] = spoken
-    post = label_model(votes, target)
+    post = label_model(votes, target).posterior
     weights, pattern_weights, intercept = _linear(row, entry, len(lexicon), spoken, post)
     drawn = sizes[1] / (sizes[0] + sizes[1])
     shift = np.log(share / (1 - share)) - np.log(drawn / (1 - drawn))
