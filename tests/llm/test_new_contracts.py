@@ -242,6 +242,17 @@ def test_language_model_on_edges(spark):
     assert language_model_scores(frame, F.lit(None).cast("boolean")).count() == len(rows)
 
 
+def test_packed_lists_take_the_bytes_that_their_values_need():
+    for kind in (np.uint32, np.int64, np.uint64):
+        for values in ([], [0], [0, 0, 5], [255, 256], [2**31, 1], [2**32 - 1] * 3):
+            found = lm.unpack(lm.pack(np.array(values, kind)), kind)
+            assert found.dtype == kind and found.tolist() == values
+    assert lm.unpack(lm.pack(np.array([2**64 - 1, 0], np.uint64)), np.uint64).tolist() == [2**64 - 1, 0]
+    # rows hold many small counts; eight bytes each in memory, however well they compress, was too much for an executor
+    assert len(lm.pack(np.arange(100_000) % 200)) <= 100_001
+    assert len(lm.pack(np.arange(60_000, dtype=np.uint32))) <= 120_001
+
+
 def test_contexts_sum_to_one():
     """Arcs and failure arcs of every state leave a probability of one over all words and one unknown kind."""
     arcs = np.array([0 * 4 + 1, 0 * 4 + 2, 2 * 4 + 0])

@@ -33,13 +33,20 @@ _PIECE = np.uint64(0x9FB21C651E98DF25)
 
 
 def pack(x: np.ndarray) -> bytes:
-    """Values as planes of bytes, the first bytes of all values first: planes of zeros compress to nothing."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    """Values as planes of bytes, the first bytes of all values first, without the last planes that are all zero, behind their number:
+    a list of small counts takes a byte a value wherever rows are held, not only where they are compressed."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T
+    many = x.itemsize
+    while many > 1 and not planes[many - 1].any():
+        many -= 1
+    return bytes([many]) + planes[:many].tobytes()
 
 
 def unpack(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], np.dtype(kind).itemsize), np.uint8)
+    out[:, :data[0]] = planes.T
+    return out.view(kind).ravel()
 
 
 def _ascending(x: np.ndarray) -> bytes:
