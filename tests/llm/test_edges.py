@@ -2,6 +2,7 @@
 
 import random
 import tracemalloc
+from collections import Counter
 
 import brute
 import numpy as np
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from vendaflow.llm import pii
 from vendaflow.llm.decontamination import find_benchmark_words
 from vendaflow.llm.embeddings import MultiIndex, near_vectors
 from vendaflow.llm.near_duplicates import near_duplicates
@@ -22,6 +24,7 @@ from vendaflow.llm.sharding import shard_by_bytes
 from vendaflow.llm.token_counts import count_tokens
 from vendaflow.llm.tokens import encode, tokenizer_path
 from vendaflow.llm.toxicity import fit_toxicity, score_toxicity
+from vendaflow.operators.ordering import running_totals
 from vendaflow.session import scratch_path
 
 LONG = " ".join(f"word{i % 997} of{i}" for i in range(60_000))
@@ -266,6 +269,33 @@ def test_copies_of_one_text_leave_the_fit_its_other_candidates(spark):
     assert fit_pii(frame, fit_rows=1_000) != NO_MODEL
 
 
+def test_every_candidate_takes_part_in_the_fit(spark, monkeypatch):
+    """Far more different candidates than `fit_rows`: trees and thresholds come from all of them, whatever that number."""
+    prepare(spark)
+    texts = [f"mail {'a' * (i % 40 + 1)}{i}@{'b' * (i % 17 + 1)}.org, call +1 ({200 + i}) 555-{1000 + i} {'z' * (i % 9)}, sum {10 ** (i % 9 + 7) + i}% {i}.{i}.{i % 5} x" for i in range(300)]
+    given = Counter((kind, label, tuple(x)) for t in texts for kind, label, x in pii.examples(t))
+    fits, scored = [], []
+
+    class Trees(pii.GBTClassifier):
+        def fit(self, rows):
+            fits.append(rows.select("h", "weight").collect())
+            return super().fit(rows)
+
+    def totals(rows, *args, **named):
+        scored.append(rows.collect())
+        return running_totals(rows, *args, **named)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    monkeypatch.setattr(pii, "running_totals", totals)
+    model = pii.fit_pii(spark.createDataFrame(list(enumerate(texts)), SCHEMA), fit_rows=100)
+    assert model.trees and len(given) > 500 and len(fits[0]) > 0.6 * len(given)
+    # what the trees did not learn from is what the thresholds saw, but for base spans
+    left = sum(given.values()) - sum(r["weight"] for r in fits[0])
+    base = sum(n for (_, label, _), n in given.items() if label == pii.BASE)
+    assert 0 < sum(r["n"] for r in scored[0]) <= left <= sum(r["n"] for r in scored[0]) + base
+    assert len(fits[0]) + len(scored[0]) + sum(label == pii.BASE for _, label, _ in given) >= len(given)
+
+
 def test_personal_data_in_other_forms_is_added(spark):
     """Forms that no base pattern knows are found; values that fail a kind's check, dates and parts of identifiers are not."""
     prepare(spark)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from bisect import bisect_left, bisect_right
@@ -11,15 +12,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vendaflow.operators.ordering import running_totals
 from vendaflow.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-#: Distinct candidates, shared out evenly over kinds and classes and chosen by hash there, that fit the trees and the
-#: thresholds, each with its number of occurrences as weight; the only thing that is sampled.
+#: Different candidates that one task of the fit holds, on average; all take part, each with its number of occurrences as weight.
 FIT_ROWS = 20_000
+#: Most bins of a feature. Up to its square of different candidates, splits are proposed from all of them.
+MAX_BINS = 1_024
 PRECISION = 0.995
 #: Lowest score that any kind's threshold may have, whatever precision held-out examples show below it.
 FLOOR = 0.9
@@ -286,6 +289,14 @@ def _texts(docs: DataFrame, text_col: str):
     return F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")
 
 
+def _scored(model: PiiModel):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(x) for x in batch.column(1).to_pylist()], pa.float64()), *batch.columns[2:]],
+                                             ["kind", "score", "label", "n"])
+    return run
+
+
 def fit_pii(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS, precision: float = PRECISION,
             floor: float = FLOOR) -> PiiModel:
     """Boosted trees that tell personal data in any form from other candidates, by format and context.
@@ -295,41 +306,34 @@ def fit_pii(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS, p
     digits of every length, times, decimals, amounts, orders, versions). What is neither (a number that may be a phone's) is not
     learned from. Thresholds are set on forms and wrong candidates alone, as base spans need no score.
 
-    Candidates of all texts are listed and equal ones counted, so that copies of a text weigh without taking others' place; of
-    each kind and class a bounded number, at most `fit_rows` in all, is chosen by hash and stands for the rest by weight. Trees
-    learn on four fifths; on the rest a kind's threshold is the lowest score (midway to the next lower one) from which on `precision` of
+    Candidates of all texts are listed and equal ones counted; each different one takes part, with its number of occurrences as
+    weight, and none is sampled. They are dealt over tasks of about `fit_rows`. Trees learn on those that a hash puts into four fifths; on
+    the rest a kind's threshold is the lowest score (midway to the next lower one) from which on `precision` of
     the candidates, by weight, are right, though not below `floor`; nothing is added for a kind that never reaches it, which
     `PiiModel.silent` names. With fewer than ten different candidates of a class there is no model and only base spans are
     found."""
     found = docs.select(_texts(docs, text_col)).mapInArrow(_propose, "kind int, class int, x array<double>")
     strata = ["kind", "class"]
     shapes = materialize(found.groupBy(*strata, "x").agg(F.count(F.lit(1)).alias("n")).withColumn("h", F.xxhash64(*strata, "x")), "candidatos")
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy("h", "x"))
-    sample = materialize(shapes.withColumn("rank", rank).where(F.col("rank") <= max(1, fit_rows // (3 * len(KINDS)))), "amostra")
     good = F.col("class") != WRONG
-    seen = {r["good"]: r["n"] for r in sample.groupBy(good.alias("good")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    seen = {r["good"]: r["n"] for r in shapes.groupBy(good.alias("good")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if min(seen.get(True, 0), seen.get(False, 0)) < 10:
         return NO_MODEL
-    scale = shapes.groupBy(*strata).agg(F.sum("n").alias("all")).join(sample.groupBy(*strata).agg(F.sum("n").alias("chosen")), strata)
-    rows = sample.join(scale, strata).select("kind", "class", "x", good.cast("double").alias("label"), array_to_vector("x").alias("features"),
-                                             (F.col("n") * F.col("all") / F.col("chosen")).alias("weight"), "rank", "h")
-    held = F.col("rank") % 5 == 2
-    fitted = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, seed=7, labelCol="label", weightCol="weight").fit(
-        rows.where(~held).coalesce(1).sortWithinPartitions("h", "x"))
+    many = sum(seen.values())
+    held = F.pmod("h", F.lit(5)) == 2
+    rows = shapes.where(~held).select("h", "x", good.cast("double").alias("label"), array_to_vector("x").alias("features"), F.col("n").cast("double").alias("weight"))
+    # Spark proposes splits from all rows where they are no more than the square of the bins
+    bins = min(MAX_BINS, max(32, math.isqrt(many) + 1))
+    fitted = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, maxBins=bins, seed=7, labelCol="label", weightCol="weight").fit(
+        rows.repartition(-(-many // max(1, fit_rows)), "h").sortWithinPartitions("h", "x"))
     model = PiiModel(tuple(_tree(t._java_obj.rootNode()) for t in fitted.trees), tuple(fitted.treeWeights), ())
-    scores: dict[int, list[tuple[float, bool, float]]] = {k: [] for k in range(len(KINDS))}
-    for row in rows.where(held & (F.col("class") != BASE)).select("kind", "x", "label", "weight").collect():
-        scores[row["kind"]].append((model.score(row["x"]), row["label"] > 0, row["weight"]))
-    thresholds = []
-    for kind in range(len(KINDS)):
-        ranked, right, total, cut = sorted(scores[kind], reverse=True), 0.0, 0.0, 2.0
-        for n, (score, good, weight) in enumerate(ranked, 1):
-            right += good * weight
-            total += weight
-            if right >= precision * total and (n == len(ranked) or ranked[n][0] < score):
-                cut = max((score + ranked[n][0]) / 2 if n < len(ranked) else score, floor)
-        thresholds.append(cut)
-    return PiiModel(model.trees, model.weights, tuple(thresholds))
+    kept = shapes.where(held & (F.col("class") != BASE)).select("kind", "x", good.cast("long").alias("label"), "n")
+    scores = materialize(kept.mapInArrow(_scored(model), "kind int, score double, label long, n long"), "notas")
+    curve = materialize(running_totals(scores, ["kind"], "score", {"right": F.col("label") * F.col("n"), "all": F.col("n")}, descending=True), "curva")
+    cuts = curve.where(F.col("right_ate") >= precision * F.col("all_ate")).groupBy("kind").agg(F.min("score").alias("cut"))
+    lower = curve.join(cuts, "kind").groupBy("kind", "cut").agg(F.max(F.when(F.col("score") < F.col("cut"), F.col("score"))).alias("next"))
+    chosen = {r["kind"]: max(r["cut"] if r["next"] is None else (r["cut"] + r["next"]) / 2, floor) for r in lower.collect()}
+    return PiiModel(model.trees, model.weights, tuple(chosen.get(kind, 2.0) for kind in range(len(KINDS))))
 
 
 def find_pii(docs: DataFrame, model: PiiModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
