@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from vendaflow.operators import ordering
 from vendaflow.operators.ordering import exact_quantiles, fine_bucket, join_whole, order_bucket, row_numbers, running_totals
 
 
@@ -49,6 +50,26 @@ def test_row_numbers_equal_window(rows, part, descending):
     assert got.exceptAll(want).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 40, 10_000])
+@pytest.mark.parametrize("part, descending", [(["g"], True), ([], False)])
+def test_row_numbers_by_cells_and_by_slots(rows, monkeypatch, limit, part, descending):
+    """All cells hot, some (equal values), none: the numbers are those of one window."""
+    monkeypatch.setattr(ordering, "CELL_ROWS", limit)
+    got = row_numbers(rows, part, "v", "k", "rn", descending)
+    axis = F.col("v").desc() if descending else F.col("v").asc()
+    w = Window.partitionBy(*part).orderBy(axis, F.md5(F.col("k").cast("binary")), "k")
+    want = rows.withColumn("rn", F.row_number().over(w).cast("long")).withColumn(
+        "rn_n", F.count("*").over(Window.partitionBy(*part)))
+    assert got.count() == rows.count() and got.exceptAll(want).count() == 0
+
+
+def test_row_numbers_move_the_rows_once(spark):
+    """Without a hot value the rows are shuffled once, and the table of cells at most once more."""
+    spread = spark.range(50_000).select(F.rand(3).alias("v"), F.col("id").cast("string").alias("k"))
+    plan = row_numbers(spread, [], "v", "k", "rn")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2, plan
+
+
 def test_no_task_orders_a_third_of_the_rows(spark):
     """All rows share one value: the largest window partition must stay a small slice."""
     hot = spark.range(20000).select(F.lit(5.0).alias("v"), F.col("id").cast("string").alias("k"))

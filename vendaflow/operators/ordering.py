@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vendaflow.session import materialize
+
 # Buckets per doubling of the value. One bucket spans 0.017 % of its value; FINE parts split it further, so that a
 # measure whose values lie close together (epoch numbers, scores near 1) is still spread over many tasks.
 BUCKETS_PER_DOUBLING, FINE = 4096, 256
@@ -20,6 +22,8 @@ _OFFSET = 1075 * BUCKETS_PER_DOUBLING
 _TOP = 2 * _OFFSET
 # Hex digits of the tie hash that split the holders of one value into slots.
 _SLOT_DIGITS = 3
+# Rows that one window of `row_numbers` orders at most; bits by which its cells are coarser than buckets (256 a doubling).
+CELL_ROWS, _CELL_BITS = 65_536, 4
 
 
 def _scaled(value: Column) -> tuple[Column, Column]:
@@ -94,24 +98,53 @@ def row_numbers(df: DataFrame, part: list[str], value: str, key: str, out: str,
                 descending: bool = True) -> DataFrame:
     """`df` plus `out` = ROW_NUMBER and `{out}_n` = rows of the part.
 
-    Order: value, then the MD5 of the key, then the key. The hash only decides between equal values;
-    it spreads the holders of one hot value over 4,096 slots that are numbered independently.
+    Order: value, then the MD5 of the key, then the key. Rows are counted by cells of neighbouring values first; a small table
+    carries the rows of the cells before each, and the rows move once, to be numbered inside their cell. A cell of more than CELL_ROWS,
+    as a hot value makes it, is numbered by values and tie slots instead.
     `df` is read twice, so pass a written table when it is expensive.
     """
+    cell = F.shiftright(order_bucket(F.col(value)), _CELL_BITS)
+    rows = df.select("*", (F.struct(*part) if part else F.struct(F.lit(0))).alias("_parte"), (-cell if descending else cell).alias("_celula"))
+    at = ["_parte", "_celula"]
+    earlier = Window.partitionBy("_parte").orderBy("_celula").rowsBetween(Window.unboundedPreceding, -1)
+    cells = materialize(rows.groupBy(*at).agg(F.count(F.lit(1)).alias("_linhas")).select(
+        *at, "_linhas", F.coalesce(F.sum("_linhas").over(earlier), F.lit(0)).alias("_ate"),
+        F.sum("_linhas").over(Window.partitionBy("_parte")).alias(f"{out}_n")), "celulas")
+    hot = F.col("_linhas") > CELL_ROWS
+    axis = F.col(value).desc() if descending else F.col(value).asc()
+    # the hash is taken after the rows have moved
+    inside = F.row_number().over(Window.partitionBy(*at).orderBy(axis, _tie(key), key))
+
+    def placed(numbered: DataFrame, own: DataFrame) -> DataFrame:
+        return numbered.join(own, at).select(*df.columns, (F.col("_ate") + F.col("_local")).alias(out), f"{out}_n")
+
+    if cells.where(hot).isEmpty():
+        return placed(rows.repartition(*at).withColumn("_local", inside), cells)
+    few, many = cells.where(~hot), cells.where(hot)
+    usual = rows.join(many.select(*at), at, "left_anti").repartition(*at).withColumn("_local", inside)
+    crowded = _tied_numbers(rows.join(many.select(*at), at, "left_semi"), at, value, key, "_local", descending)
+    return placed(usual, few).unionByName(placed(crowded, many))
+
+
+def _tie(key: str) -> Column:
+    return F.coalesce(F.md5(F.col(key).cast("string").cast("binary")), F.lit(""))
+
+
+def _tied_numbers(df: DataFrame, part: list[str], value: str, key: str, out: str, descending: bool) -> DataFrame:
+    """`df` plus `out`, numbered as by `row_numbers`. The hash only decides between equal values; it spreads the holders of one hot value
+    over 4,096 slots that are numbered independently."""
     at = F.struct(*part, value).alias("_at")
-    tie = F.coalesce(F.md5(F.col(key).cast("string").cast("binary")), F.lit(""))
+    tie = _tie(key)
     rows = df.select("*", at, tie.alias("_tie"), F.substring(tie, 1, _SLOT_DIGITS).alias("_slot"))
     slots = rows.groupBy("_at", "_slot").agg(F.count("*").alias("_n"))
     values = running_totals(slots.select("_n", "_at.*"), part, value, {"_q": F.col("_n")}, descending)
-    values = values.select(at, (F.col("_q_ate") - F.col("_q")).alias("_antes"),
-                           F.col("_q_total").alias(f"{out}_n"))
+    values = values.select(at, (F.col("_q_ate") - F.col("_q")).alias("_antes"))
     earlier = Window.partitionBy("_at").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = slots.select("_at", "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_no_valor"))
     offsets = slots.join(values, "_at")
     local = F.row_number().over(Window.partitionBy("_at", "_slot").orderBy("_tie", key))
-    return (rows.select("*", local.alias("_local")).join(offsets, ["_at", "_slot"])
-            .select(*df.columns, (F.col("_antes") + F.col("_no_valor") + F.col("_local")).alias(out),
-                    f"{out}_n"))
+    return (rows.select("*", local.alias("_na_vaga")).join(offsets, ["_at", "_slot"])
+            .select(*df.columns, (F.col("_antes") + F.col("_no_valor") + F.col("_na_vaga")).alias(out)))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], part: list[str] | None = None,

@@ -12,11 +12,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 # Runtime settings the operators rely on: joins carry no salt of their own, so a hot order, SKU,
-# customer or rep is split by adaptive execution, also where that costs an extra shuffle.
+# customer or rep is split by adaptive execution, also where that costs an extra shuffle. Where every measured partition
+# of one side is small, it is hashed instead of sorting both sides.
 SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
