@@ -31,6 +31,28 @@ def test_history_equals_every_single_table(spark, domain, tmp_path):
     assert got == sorted(want, key=lambda r: r[:2]) and len({r[1] for r in got}) >= 3
 
 
+def test_top_share_keeps_one_row_a_brand(spark, monkeypatch):
+    """Best brand's share at many cut-offs, in blocks of them: brands are folded into customers before any cut-off makes a row."""
+    monkeypatch.setattr(feature_history, "REFS_AT_ONCE", 3)
+    line = feature_history.Timeline.of([f"2026-0{m}-01" for m in range(1, 9)])
+    at = [line.points.index(r) for r in line.refs]
+    data = [(c, b, s, None if (c + s) % 11 == 0 else float(c * s % 7 - 1)) for c in range(6) for b in ("x", "y", None) for s in range(c, len(line.points), 3)]
+    found = feature_history._top_share(spark.createDataFrame(data, "cliente_id long, marca string, _seg int, receita double"), line)
+    want = {}
+    for c in range(6):
+        for ref, k in zip(line.refs, at):
+            sums = {}
+            for _, b, _, v in (d for d in data if d[0] == c and d[2] <= k and d[3] is not None):
+                sums[b] = sums.get(b, 0) + v
+            if sums and sum(sums.values()):
+                want[c, ref] = max(sums.values()) / sum(sums.values())
+    got = {(r["cliente_id"], r["_referencia"]): r["concentracao_marca_top"] for r in found.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want) and len(want) > 20
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # three blocks: one Generate each, above both groupings
+    assert plan.count("Generate ") == 3 and plan.count("Aggregate ") == 6 and "Window" not in plan
+
+
 def test_summaries_merge_in_order(spark):
     days = [("a", d) for d in (1, 2, 10, 11, 40)] + [("b", 10)]
     rows = spark.createDataFrame([(c, date(2026, 1, 1) + timedelta(days=d), 1, 1.0, 1.0) for c, d in days], "cliente_id string, data_pedido date, pedidos long, receita double, margem double")

@@ -23,6 +23,8 @@ from vendaflow.session import materialize
 
 #: What the state at a date is used for: totals at the cut-off, rhythm a week earlier, the beginning of the 90 days before that.
 TOTALS, RHYTHM, OLDER = "totais", "ritmo", "antes"
+#: Cut-offs whose sums stand side by side as columns.
+REFS_AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -115,10 +117,7 @@ def _mix(items: DataFrame, products: DataFrame, timeline: Timeline) -> list[Data
     totals = timeline.uses(TOTALS)
     distinct = _states(_running(counts, ["cliente_id"], _COUNTED), ["cliente_id"], totals).select("cliente_id", "_referencia", *[F.col(c).cast("double").alias(c) for c in _COUNTED])
 
-    brands = items.groupBy("cliente_id", "marca", "_seg").agg(F.sum("receita").alias("receita"))
-    spent = _states(_running(brands, ["cliente_id", "marca"], ["receita"]), ["cliente_id", "marca"], totals)
-    share = spent.groupBy("cliente_id", "_referencia").agg(
-        ratio(F.max("receita").cast("double"), F.sum("receita").cast("double")).alias("concentracao_marca_top"))
+    share = _top_share(items.groupBy("cliente_id", "marca", "_seg").agg(F.sum("receita").alias("receita")), timeline)
 
     launched = products.where("data_lancamento IS NOT NULL").groupBy(F.col("sku").alias("_novo")).agg(F.max("data_lancamento").alias("_lancado"))
     reached = F.filter(totals, lambda u: (u["k"] >= F.col("_seg")) & (F.col("_lancado") >= F.date_sub(u["ref"], LAUNCH_DAYS)))
@@ -127,6 +126,22 @@ def _mix(items: DataFrame, products: DataFrame, timeline: Timeline) -> list[Data
     return [distinct, share, launches]
 
 
+def _top_share(brands: DataFrame, timeline: Timeline) -> DataFrame:
+    """Best brand's part of a customer's revenue at every cut-off. A brand stays one row, with a running sum per cut-off as a column, until it
+    is folded into its customer; rows per brand and cut-off would be as many as brands times cut-offs."""
+    at = {p: k for k, p in enumerate(timeline.points)}
+
+    def some(refs: Sequence[date]) -> DataFrame:
+        spent = brands.groupBy("cliente_id", "marca").agg(*[F.sum(F.when(F.col("_seg") <= at[r], F.col("receita"))).alias(f"_r{i}") for i, r in enumerate(refs)])
+        wide = spent.groupBy("cliente_id").agg(*[ratio(F.max(f"_r{i}").cast("double"), F.sum(f"_r{i}").cast("double")).alias(f"_r{i}") for i in range(len(refs))])
+        shares = F.array(*[F.struct(F.lit(r).alias("ref"), F.col(f"_r{i}").alias("share")) for i, r in enumerate(refs)])
+        return (wide.select("cliente_id", F.explode(shares).alias("_s")).where("_s.share IS NOT NULL")
+                .select("cliente_id", F.col("_s.ref").alias("_referencia"), F.col("_s.share").alias("concentracao_marca_top")))
+
+    refs = timeline.refs
+    return reduce(DataFrame.unionAll, [some(refs[i:i + REFS_AT_ONCE]) for i in range(0, len(refs), REFS_AT_ONCE)])
+
+
 _COUNTED = ["skus_distintos", "categorias_distintas", "marcas_distintas"]
 
 
