@@ -115,6 +115,36 @@ def test_model_learns_saves_and_ranks_importance(spark, tmp_path):
     assert all(r.queda_auc == r.queda_acuracia == 0 for r in imp if r.feature not in used)
 
 
+def test_importance_scores_each_row_and_changed_variant_once(spark, monkeypatch):
+    """The same drops as by scoring every variant; a variant that keeps the row's value is not scored, none is scored twice."""
+    train = metrics.stratified_split(table(spark, 200, True).withColumn("visitas_90d", F.lit(3.0))).cache()
+    fitted = model.fit(train.filter("NOT holdout"), iterations=3)
+    rows = train.filter("holdout").cache()
+    monkeypatch.setattr(model, "tested_features", lambda m: ["valor_total", "visitas_90d"])
+    scored, original = spark.sparkContext.accumulator(0), model.predict
+
+    def counting(m, df):
+        def seen(s):
+            scored.add(1)
+            return s
+        return original(m, df).withColumn("score", F.udf(seen, "double")("score"))
+    monkeypatch.setattr(model, "predict", counting)
+    got = {r.feature: r for r in model.permutation_importance(fitted, rows, repeats=2).collect()}
+    n = rows.count()
+    assert n <= scored.value <= 3 * n       # the rows, and at most both repeats of the one feature that changes
+    whole = original(fitted, rows)
+    base = metrics.rank_auc(whole, "score").first()["auc"]
+    keyed = [{r.cliente_id: r for r in rows.withColumn("_h", metrics.shuffle_key("cliente_id", model.SEED + i)).collect()} for i in range(2)]
+    aucs = []
+    for one in keyed:
+        order = sorted(one.values(), key=lambda r: r._h)
+        moved = [(r.cliente_id, order[(i + 1) % len(order)].valor_total) for i, r in enumerate(order)]
+        swapped = rows.drop("valor_total").join(spark.createDataFrame(moved, "cliente_id string, valor_total double"), "cliente_id")
+        aucs.append(metrics.rank_auc(original(fitted, swapped), "score").first()["auc"])
+    assert got["valor_total"].queda_auc == pytest.approx(base - sum(aucs) / 2)
+    assert got["visitas_90d"].queda_auc == got["visitas_90d"].queda_acuracia == 0
+
+
 def test_gates_reject_random_and_leaky_models(spark):
     def run(auc, lift, base):
         e = model.Evaluation(auc, auc, lift, 10, 0.1, {"valor": base, "recencia": None}, None, 100)

@@ -20,9 +20,14 @@ def rank_auc(df: DataFrame, score: str, label: str = LABEL, part: list[str] | No
 
     One row per part with `auc`, NULL when a class is missing.
     """
-    part = part or []
     y = F.col(label).cast("long")
-    curve = running_totals(df, part, score, {"_p": y, "_n": 1 - y})
+    return counted_auc(df.select(*(part or []), score, y.alias("_p"), (1 - y).alias("_n")), score, part)
+
+
+def counted_auc(counts: DataFrame, score: str, part: list[str] | None = None) -> DataFrame:
+    """`rank_auc` of rows that each stand for `_p` buyers and `_n` non-buyers."""
+    part = part or []
+    curve = running_totals(counts, part, score, {"_p": F.col("_p"), "_n": F.col("_n")})
     won = F.col("_p").cast("double") * (F.col("_n_ate") - F.col("_n") / 2)
     pairs = F.max("_p_total").cast("double") * F.max("_n_total")
     return curve.groupBy(*part).agg((F.sum(won) / F.nullif(pairs, F.lit(0.0))).alias("auc"))

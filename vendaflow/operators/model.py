@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendaflow.operators.metrics import FOLDS, lift_at_k, rank_auc, shuffle_key, stratified_split
+from vendaflow.operators.metrics import FOLDS, counted_auc, lift_at_k, rank_auc, shuffle_key, stratified_split
 from vendaflow.operators.ordering import row_numbers
 from vendaflow.schemas import FEATURES, LABEL
 from vendaflow.session import materialize
@@ -105,26 +105,31 @@ def permutation_importance(model: PipelineModel, data: DataFrame, repeats: int =
 
     Per repeat the rows are put in a random order and every row takes the value of the next one, so
     a repeat is one join on the row number. Each (row, repeat) then yields one variant per feature that a tree tests;
-    variants are scored by the model and grouped. Exchanging any other feature changes no score: its drops are 0.
+    variants are scored by the model and grouped. A variant whose value is the row's own keeps the row's score. Exchanging any
+    other feature changes no score: its drops are 0. Every row and every changed variant is scored once.
     """
     used = tested_features(model)
-    rows = data.select(key, LABEL, *FEATURES)
+    rows = materialize(predict(model, data.select(key, LABEL, *FEATURES)), "pontuadas")
     pairs = []
     for r in range(repeats):
         order = materialize(row_numbers(rows.withColumn("_h", shuffle_key(key, seed + r)), [], "_h", key,
                                         "_r", descending=False), "ordem")
         donor = order.select((F.col("_r") % F.col("_r_n") + 1).alias("_r"),
                              F.struct(*FEATURES).alias("_doador"))
-        pairs.append(order.join(donor, "_r").select(F.lit(r).alias("rodada"), LABEL, *FEATURES, "_doador"))
-    paired = reduce(DataFrame.unionByName, pairs)
+        pairs.append(order.join(donor, "_r").select(F.lit(r).alias("rodada"), LABEL, *FEATURES, "score", "_doador"))
+    names = F.array(*[F.lit(f) for f in used]).cast("array<string>")
+    new = F.array(*[F.when(~F.col(f).eqNullSafe(F.col(f"_doador.{f}")), F.lit(f)) for f in used]).cast("array<string>")
+    paired = materialize(reduce(DataFrame.unionByName, pairs).withColumn("_mudam", F.array_compact(new)), "pares")
 
-    variants = paired.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in used]).cast("array<string>")))
-    swapped = variants.select(
+    changed = paired.withColumn("feature", F.explode("_mudam"))
+    swapped = changed.select(
         "rodada", "feature", LABEL,
         *[F.when(F.col("feature") == f, F.col(f"_doador.{f}")).otherwise(F.col(f)).alias(f)
           for f in FEATURES])
-    after = _quality(predict(model, swapped), ["rodada", "feature"])
-    before = _quality(predict(model, rows), []).select(F.struct("auc", "acuracia").alias("b")).scalar()
+    kept = paired.select("rodada", F.explode(F.array_except(names, "_mudam")).alias("feature"), LABEL, "score")
+    scored = predict(model, swapped).select("rodada", "feature", LABEL, "score").unionByName(kept)
+    after = _quality(scored, ["rodada", "feature"])
+    before = _quality(rows, []).select(F.struct("auc", "acuracia").alias("b")).scalar()
     drops = (after.withColumn("_b", before).groupBy("feature")
              .agg(F.avg(F.col("_b.auc") - F.col("auc")).alias("queda_auc"),
                   F.avg(F.col("_b.acuracia") - F.col("acuracia")).alias("queda_acuracia")))
@@ -140,9 +145,12 @@ def tested_features(model: PipelineModel) -> list[str]:
 
 
 def _quality(scored: DataFrame, part: list[str]) -> DataFrame:
-    right = ((F.col("score") >= 0.5).cast("double") == F.col(LABEL)).cast("double")
-    accuracy = scored.groupBy(*part).agg(F.avg(right).alias("acuracia"))
-    auc = rank_auc(scored, "score", part=part)
+    """AUC and accuracy per part. Rows fold to counts per score first, written once: both figures read those."""
+    y = F.col(LABEL).cast("long")
+    counts = materialize(scored.groupBy(*part, "score").agg(F.sum(y).alias("_p"), F.sum(1 - y).alias("_n")), "contagens")
+    right = F.sum(F.when(F.col("score") >= 0.5, F.col("_p")).otherwise(F.col("_n")))
+    accuracy = counts.groupBy(*part).agg((right.cast("double") / F.nullif(F.sum(F.col("_p") + F.col("_n")), F.lit(0))).alias("acuracia"))
+    auc = counted_auc(counts, "score", part)
     if part:
         return auc.join(accuracy, part)
     return auc.withColumn("acuracia", accuracy.scalar())
