@@ -91,6 +91,21 @@ def test_launch_has_no_upper_bound(spark):
     assert {r.cliente_id for r in features.bought_launch(fact(spark, rows), products, REF).collect()} == {"n", "l"}
 
 
+def test_mix_with_gaps_moves_rows_once_by_customer(spark):
+    rows = [("a", "s1", "x", "m"), ("a", "s2", "x", "n"), ("a", "s3", None, "n"), ("a", "s4", "y", None), ("a", "s4", "y", None),
+            ("a", None, "x", "n"), ("b", "s1", None, None)]
+    f = fact(spark, [(c, "1", before(9), before(9).year, before(9).month, sku, category, brand, Decimal(10), Decimal(5), False)
+                     for c, sku, category, brand in rows])
+    products = spark.createDataFrame([("s4", before(9)), ("s4", before(8)), ("s9", before(9))], "sku string, data_lancamento date")
+    out = features.mix(f, products, REF)
+    got = {r.cliente_id: (r.skus_distintos, r.categorias_distintas, r.marcas_distintas, r.comprou_lancamento, r.concentracao_marca_top)
+           for r in out.collect()}
+    assert got == {"a": (4.0, 2.0, 2.0, 1.0, pytest.approx(0.5)), "b": (1.0, 0.0, 0.0, 0.0, 1.0)}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    # one aggregate multiplied rows for two distinct counts, and five steps moved them
+    assert "Expand" not in plan and out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hash") == 2
+
+
 def test_no_feature_sees_the_cutoff_or_later(domain):
     ref = "2001-03-01"
     inputs = [domain.oportunidades, domain.visitas, domain.produtos]
