@@ -11,6 +11,7 @@ from registry.domain import AS_OF
 from vendaflow.operators import customer_serving, ranking, weekly_queue
 from vendaflow.schemas import QUEUE_SCHEMA
 from vendaflow.operators import quality, serving
+from vendaflow.session import materialize
 
 
 def test_reason_cascade(spark):
@@ -115,6 +116,19 @@ def test_profile_equals_the_separate_picks(spark, domain, days):
     got.unpersist()
 
 
+def test_profile_writes_no_row_per_customer_and_sku(domain, monkeypatch):
+    fact, shelf, written = domain.saved_fact, domain.saved_shelf, []
+
+    def counting(df, name="parte"):
+        out = materialize(df, name)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(customer_serving, "materialize", counting)
+    customers = fact.select("cliente_id").distinct().count()
+    assert customer_serving.customer_profile(fact, shelf, AS_OF).count() == customers
+    assert written and max(written) <= customers < fact.select("cliente_id", "sku").distinct().count()
+
+
 def test_shelf_numbers_only_stocked(spark):
     p = spark.createDataFrame([("a", "n", "M"), ("b", "n", "M"), ("c", "n", "M")], "sku string, nome string, marca string")
     s = spark.createDataFrame([(date(2026, 1, 1), "a", 3), (date(2026, 1, 1), "b", 0), (date(2026, 1, 1), "c", 7)],

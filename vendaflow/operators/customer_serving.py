@@ -1,7 +1,7 @@
 """One row per customer with what queue, context and suggestion look up: brands, last purchase and the next product to offer.
 
-The fact is rolled up once to (customer, brand, SKU) with totals over all history and over the look-back; everything else starts from
-that table. Written bucketed and sorted by customer, the row of one customer is found by reading one bucket."""
+The fact is rolled up once to (customer, brand) with totals over all history and over the look-back; SKUs are looked at only for the
+look-back. Written bucketed and sorted by customer, the row of one customer is found by reading one bucket."""
 
 from __future__ import annotations
 
@@ -11,17 +11,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendaflow.functions.dates import days_before
-from vendaflow.operators.ranking import LOOKBACK_DAYS
+from vendaflow.operators.ranking import LOOKBACK_DAYS, recent_skus
 from vendaflow.session import materialize
 
 
-def customer_skus(fact: DataFrame, as_of: str | date, brand_days: int | None = LOOKBACK_DAYS) -> DataFrame:
-    """(customer, brand, SKU): revenue, revenue of the `brand_days` that choose the brand (None: all history), last purchase, and
-    whether that falls into the look-back."""
+def customer_brands(fact: DataFrame, as_of: str | date, brand_days: int | None = LOOKBACK_DAYS) -> DataFrame:
+    """(customer, brand): revenue, revenue of the `brand_days` that choose the brand (None: all history), last purchase, and
+    whether that period holds one."""
     since = F.lit(True) if brand_days is None else F.col("data_pedido") >= F.lit(days_before(as_of, brand_days))
-    return fact.groupBy("cliente_id", "marca", "sku").agg(
-        F.sum("receita").alias("receita"), F.sum(F.when(since, F.col("receita"))).alias("receita_recente"), F.max("data_pedido").alias("ultima"),
-        F.max(since).alias("escolhe"), F.max(F.col("data_pedido") >= F.lit(days_before(as_of, LOOKBACK_DAYS))).alias("recente"))
+    return fact.groupBy("cliente_id", "marca").agg(
+        F.sum("receita").alias("receita"), F.sum(F.when(since, F.col("receita"))).alias("recente_total"), F.max("data_pedido").alias("ultima"),
+        F.max(since).alias("escolhe"))
 
 
 def customer_profile(fact: DataFrame, places: DataFrame, as_of: str | date, brand_days: int | None = LOOKBACK_DAYS) -> DataFrame:
@@ -30,16 +30,14 @@ def customer_profile(fact: DataFrame, places: DataFrame, as_of: str | date, bran
 
     A customer's SKUs of one brand are numbered by their shelf place: while number and place agree the shelf has no gap, so the first
     gap is the first place where they part. That window holds at most one brand's SKUs."""
-    rolled = materialize(customer_skus(fact, as_of, brand_days), "cliente_sku")
-    brands = rolled.groupBy("cliente_id", "marca").agg(F.sum("receita").alias("receita"), F.sum("receita_recente").alias("recente_total"),
-                                                       F.max("ultima").alias("ultima"), F.max("escolhe").alias("escolhe"))
+    brands = customer_brands(fact, as_of, brand_days)
     order = Window.partitionBy("cliente_id").orderBy(F.desc("receita"), "marca")
     favourite = F.min(F.when(F.col("escolhe"), F.struct((-F.col("recente_total")).alias("menos"), "marca")))
     best = materialize(brands.withColumn("_posicao", F.row_number().over(order)).groupBy("cliente_id").agg(
         *[F.max(F.when(F.col("_posicao") == n, F.col("marca"))).alias(name) for n, name in ((1, "marca_pref"), (2, "segunda_marca"))],
         F.max("ultima").alias("ultima_compra"), favourite["marca"].alias("marca_recente")), "marcas")
     shelf = places.select("sku", F.col("marca").alias("_marca"), "estante")
-    owned = (rolled.where("recente").select("cliente_id", "sku").distinct().join(shelf, "sku")
+    owned = (recent_skus(fact, as_of).join(shelf, "sku")
              .join(best.select("cliente_id", "marca_recente"), "cliente_id").where("_marca = marca_recente"))
     place = F.row_number().over(Window.partitionBy("cliente_id").orderBy("estante"))
     taken = owned.withColumn("_lugar", place).groupBy("cliente_id").agg(
