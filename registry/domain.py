@@ -47,7 +47,7 @@ def _mixed(day: str, br: str) -> str:
 _EVENT_DAY = "date_sub(CAST(ts AS DATE), 8249)"
 _SIGNED = "IF(l_returnflag = 'R', -CAST(l_quantity AS INT), CAST(l_quantity AS INT))"
 _PRICE = "CAST(p_retailprice AS DECIMAL(18,2))"
-_ITEM_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey)"
+_ITEM_ID = "concat_ws('-', l_orderkey, l_linenumber, sku)"
 _STAGES = ("array('Prospecção', 'Qualificação', 'Proposta enviada', 'Negociação', 'Fechado ganho', "
            "'Fechado perdido')")
 
@@ -115,14 +115,15 @@ class Domain:
             "IF(o_orderkey % 1000 = 7, 'abc', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)) AS valor_total")
 
     def _lines(self, *part_columns: str) -> DataFrame:
-        part = self.table("part").select("p_partkey", *part_columns)
-        return (self.table("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-                .selectExpr("*", f"{_SIGNED} AS q", f"{_PRICE} AS preco"))
+        # joined by SKU as text, so that a later join by SKU finds the rows in place; prices are converted once per part
+        part = self.table("part").selectExpr("CAST(p_partkey AS STRING) AS sku", f"{_PRICE} AS preco", *part_columns)
+        return (self.table("lineitem").withColumn("sku", F.expr("CAST(l_partkey AS STRING)")).join(part, "sku")
+                .selectExpr("*", f"{_SIGNED} AS q"))
 
     @cached_property
     def raw_itens(self) -> DataFrame:
-        return self._lines("p_retailprice").selectExpr(
-            f"{_ITEM_ID} AS item_id", "CAST(l_orderkey AS STRING) AS pedido_id", "CAST(l_partkey AS STRING) AS sku",
+        return self._lines().selectExpr(
+            f"{_ITEM_ID} AS item_id", "CAST(l_orderkey AS STRING) AS pedido_id", "sku",
             "IF(l_orderkey % 997 = 5, 'abc', CAST(q AS STRING)) AS quantidade",
             "CAST(preco AS STRING) AS preco_praticado",
             "CAST(CAST(l_discount * 100 AS DECIMAL(18,2)) AS STRING) AS desconto_pct",
@@ -221,9 +222,9 @@ class Domain:
 
     @cached_property
     def itens(self) -> DataFrame:
-        return (self._lines("p_retailprice", "p_size")
+        return (self._lines("p_size")
                 .selectExpr("*", "CASE WHEN l_orderkey % 997 <> 5 THEN q END AS quantidade").selectExpr(
-            f"{_ITEM_ID} AS item_id", "CAST(l_orderkey AS STRING) AS pedido_id", "CAST(l_partkey AS STRING) AS sku",
+            f"{_ITEM_ID} AS item_id", "CAST(l_orderkey AS STRING) AS pedido_id", "sku",
             "quantidade", "abs(quantidade) AS quantidade_abs", "quantidade < 0 AS devolucao",
             "preco AS preco_praticado", "CAST(l_discount * 100 AS DECIMAL(18,2)) AS desconto_pct",
             "CAST(q * preco AS DECIMAL(18,2)) AS valor_bruto",

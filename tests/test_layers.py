@@ -172,3 +172,41 @@ def test_months_without_a_date_and_a_lost_line(spark, database, domain):
     n2, states, after = refresh(spark, database, domain, orders, domain.itens.where(F.col("item_id") != line))
     assert n2 == n - 1 and {m for m, s in states.items() if s != "igual"} == {(None, None)}
     assert {m for m in after if after[m] != files[m]} == {(None, None)}
+
+
+def test_whole_fact_is_fingerprinted_from_its_rows(spark, database, domain, monkeypatch):
+    """A fact written whole is not joined a second time for its digests, and these equal the digests of the tables it was made from."""
+    gone, nameless = ([r[0] for r in domain.fato.select("cliente_id").distinct().orderBy("cliente_id").limit(4).collect()][k::2] for k in (0, 1))
+    customers = domain.clientes_unicos.where(~F.col("cliente_id").isin(gone)).withColumns(
+        {c: F.when(~F.col("cliente_id").isin(nameless), F.col(c)) for c in ("razao_social", "segmento", "cidade")})
+    orders = domain.pedidos.unionByName(domain.pedidos.where("pedido_id % 100 = 1")).withColumns(
+        {c: F.when(F.col("pedido_id") % 50 != 0, F.col(c)) for c in ("data_pedido", "ano", "mes", "canal")})
+    want = incremental.month_digests(orders, domain.itens, domain.produtos, customers)
+    fact = gold.fato_vendas(orders, domain.itens, domain.produtos, customers)
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "month_digests", None)
+        n, states, files = refresh(spark, database, domain, orders, customers=customers)
+    assert n == fact.count() and set(states.values()) == {"nova"} and (None, None) in states
+    assert plain(Layer(spark, database).read("fato_vendas_meses").select(*want.columns)) == plain(want)
+    assert plain(spark.table(f"{database}.fato_vendas")) == plain(fact)
+    again = refresh(spark, database, domain, orders, customers=customers)
+    assert set(again[1].values()) == {"igual"} and again[2] == files and again[0] == n
+
+
+def test_a_fact_without_rows_fills_up_later(spark, database, domain):
+    assert refresh(spark, database, domain, domain.pedidos.where("false")) == (0, {}, {})
+    n, states, _ = refresh(spark, database, domain)
+    assert n == domain.fato.count() and set(states.values()) == {"nova"}
+
+
+def test_lines_move_once_by_sku(spark, domain):
+    """Products shuffled by SKU meet lines where the price join left them."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = domain.fato._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # lines by SKU and by order; parts for prices; products
+    assert plan.count("hashpartitioning(sku#") == 3 and "hashpartitioning(l_partkey#" not in plan and "hashpartitioning(p_partkey#" not in plan
+    assert plan.count("hashpartitioning(pedido_id#") == 2

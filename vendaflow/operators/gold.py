@@ -76,11 +76,15 @@ def calendar_spanning(df: DataFrame, column: str) -> DataFrame:
     return _calendar_columns(bounds.select(F.explode(F.sequence("a", "b")).alias("data")))
 
 
+def line_cost() -> Column:
+    return F.col("quantidade_abs") * F.col("custo_unitario")
+
+
 def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, customers: DataFrame | None) -> DataFrame:
     """Order-line fact: cancelled orders out, returns in with their negative sign. Without `customers` their attributes are left out.
 
-    Customer attributes are joined to orders, which are far fewer than lines, so lines are shuffled
-    once (by order). No join is hinted: products and customers are broadcast only when their
+    Products are joined first: lines that come ordered by SKU stay in place, and then move once, by order. Customer attributes are
+    joined to orders, which are far fewer than lines. No join is hinted: products and customers are broadcast only when their
     measured size allows it; otherwise adaptive execution splits the partitions of a hot order,
     SKU or customer.
     """
@@ -95,8 +99,8 @@ def fato_vendas(orders: DataFrame, lines: DataFrame, products: DataFrame, custom
     if customers is not None:
         o = o.join(customers.select("cliente_id", *named), "cliente_id", "left")
     receita = F.col("quantidade") * F.col("preco_praticado")
-    custo = F.col("quantidade_abs") * F.col("custo_unitario")
-    return (i.join(o, "pedido_id").join(p, "sku")
+    custo = line_cost()
+    return (i.join(p, "sku").join(o, "pedido_id")
             .select("pedido_id", "item_id", "cliente_id", *named, "data_pedido", "ano", "mes", "canal", "sku", "categoria", "marca",
                     "nota_olfativa", "vendedor_id", "quantidade", "quantidade_abs",
                     "preco_praticado", receita.alias("receita"), custo.alias("custo"),
